@@ -202,3 +202,127 @@ WHERE snapshot_date = (SELECT max(snapshot_date) FROM deals)""",
     + "SELECT snapshot_date, category, avg_price, median_price FROM cat",
     "fresh_drops": _with(SNAP, STG, HIST, DEALS) + "SELECT * FROM deals WHERE is_fresh_drop",
 }
+
+# --- ingest: landed pages derived from events (mapping in driver_tables) ---
+ING = """
+ing AS (
+  SELECT e.event_id, e.ts, e.user_id, e.event_type AS keyword, e.cur_c, e.orig_c,
+         e.event_id // 250 AS run_no,
+         'R' || lpad(CAST(e.event_id // 250 AS VARCHAR), 6, '0') AS run_id,
+         CAST(1 + e.event_id % 5 AS INTEGER) AS page,
+         p.p_name, p.p_brand, p.p_type, n.n_name,
+         'ITEM' || lpad(CAST(e.user_id AS VARCHAR), 5, '0') AS the_id,
+         CAST(CAST(CAST(e.cur_c AS DOUBLE) / 100 AS DECIMAL(12,2)) AS VARCHAR) AS cur_s,
+         format('{:,.2f}', CAST(e.cur_c AS DOUBLE) / 100) AS cur_f,
+         format('{:,.2f}', CAST(e.orig_c AS DOUBLE) / 100) AS orig_f
+  FROM priced e
+  JOIN part p ON p.p_partkey = e.user_id
+  JOIN nation n ON n.n_nationkey = e.user_id % 25
+),
+docs AS (
+  SELECT run_id, run_no, keyword, page, min(ts) AS captured_at, count(*) AS n_items,
+         (run_no % 7 = 3 AND page = 2) OR (run_no % 11 = 5 AND page = 1) AS blank
+  FROM ing GROUP BY run_id, run_no, keyword, page
+),
+kept AS (
+  SELECT run_id, keyword, page, CAST(n_items AS INTEGER) AS n_items FROM (
+    SELECT *, dense_rank() OVER (PARTITION BY run_id, keyword ORDER BY page) AS r
+    FROM docs WHERE NOT blank AND page <= 3
+  ) WHERE r = page
+),
+items AS (
+  SELECT i.*, d.captured_at, d.blank,
+         CAST(row_number() OVER (PARTITION BY i.run_id, i.keyword, i.page ORDER BY i.event_id) - 1 AS INTEGER) AS pos
+  FROM ing i JOIN docs d ON d.run_id = i.run_id AND d.keyword = i.keyword AND d.page = i.page
+),
+raw_items AS (
+  SELECT run_id, keyword, page, pos, captured_at,
+         CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 31 = 0 THEN '' ELSE the_id END AS itemId,
+         CASE WHEN event_id % 29 = 0 THEN the_id END AS nid,
+         CASE event_id % 6 WHEN 0 THEN '₱' || cur_f WHEN 1 THEN cur_s
+              WHEN 2 THEN '₱' || chr(160) || cur_s || ' ' WHEN 3 THEN '' WHEN 4 THEN 'N/A' END AS price,
+         CASE event_id % 6 WHEN 3 THEN '₱' || cur_s WHEN 5 THEN cur_s END AS priceShow
+  FROM items WHERE NOT blank
+),
+lst AS (
+  SELECT it.*,
+         CASE WHEN event_id % 31 = 0 AND event_id % 29 <> 0 THEN '' ELSE the_id END AS item_id,
+         CASE WHEN event_id % 37 = 0 THEN p_name WHEN event_id % 43 = 0 THEN NULL
+              ELSE '  ' || p_name || ' ' END AS name,
+         CASE event_id % 6 WHEN 0 THEN '₱' || cur_f WHEN 1 THEN cur_s
+              WHEN 2 THEN '₱' || chr(160) || cur_s || ' ' WHEN 3 THEN '₱' || cur_s
+              WHEN 4 THEN 'N/A' ELSE cur_s END AS price,
+         CASE WHEN orig_c IS NULL THEN NULL WHEN event_id % 47 = 0 THEN 'NaN'
+              WHEN event_id % 53 = 0 THEN 'abc' ELSE '₱' || orig_f END AS original_price,
+         p_brand AS brand,
+         CASE WHEN event_id % 17 = 0 THEN ' ' ELSE p_type END AS category,
+         CASE WHEN event_id % 59 = 0 THEN '' ELSE 'https://shop.example/i' || CAST(user_id AS VARCHAR) END AS item_url,
+         'https://img.example/' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '.jpg' AS image_url,
+         CASE WHEN event_id % 23 = 0 THEN 'N/A'
+              ELSE CAST(CAST(event_id % 41 AS DOUBLE) / 10 AS VARCHAR) END AS rating_text,
+         CASE WHEN event_id % 19 = 0 THEN NULL
+              WHEN event_id % 7 = 0 THEN '(' || CAST(event_id % 200 AS VARCHAR) || ')'
+              ELSE CAST(event_id % 200 AS VARCHAR) END AS review_text,
+         n_name AS location,
+         CASE WHEN event_id % 6 = 4 THEN NULL
+              ELSE CAST(CAST(cur_c AS DOUBLE) / 100 AS DECIMAL(38,9)) END AS price_value,
+         CASE WHEN orig_c IS NULL OR event_id % 47 = 0 OR event_id % 53 = 0 THEN NULL
+              ELSE CAST(CAST(orig_c AS DOUBLE) / 100 AS DECIMAL(38,9)) END AS original_value,
+         CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id % 41 AS DOUBLE) / 10 END AS rating,
+         CASE WHEN event_id % 19 = 0 THEN NULL ELSE CAST(event_id % 200 AS INTEGER) END AS review_count,
+         CASE WHEN event_id % 6 <> 4 AND orig_c IS NOT NULL AND event_id % 47 <> 0
+                   AND event_id % 53 <> 0 AND orig_c > 0 AND cur_c < orig_c
+              THEN round_even(CAST((orig_c - cur_c) * 100 AS DOUBLE) / CAST(orig_c AS DOUBLE) * 100, 0) / 100
+         END AS discount_pct,
+         CASE WHEN event_id % 31 = 0 AND event_id % 29 <> 0 THEN 'missing item_id'
+              WHEN event_id % 43 = 0 AND event_id % 37 <> 0 THEN 'missing name'
+              WHEN event_id % 59 = 0 THEN 'missing item_url'
+              WHEN event_id % 6 = 4 THEN 'unparseable current_price'
+              WHEN orig_c IS NOT NULL AND event_id % 47 = 0 THEN 'non-finite original_price'
+         END AS reason
+  FROM items it
+  JOIN kept k ON k.run_id = it.run_id AND k.keyword = it.keyword AND k.page = it.page
+),
+valid AS (
+  SELECT run_id, pos, item_id, name,
+         CAST(CAST(cur_c AS DOUBLE) / 100 AS DECIMAL(12,2)) AS current_price,
+         CASE WHEN orig_c IS NULL OR event_id % 53 = 0 OR orig_c = 0 THEN NULL
+              ELSE CAST(CAST(orig_c AS DOUBLE) / 100 AS DECIMAL(12,2)) END AS original_price,
+         discount_pct, brand, category, item_url, rating, review_count, location, keyword, page,
+         captured_at + to_microseconds(pos) AS scraped_at
+  FROM lst WHERE reason IS NULL
+)"""
+
+_SNAPSHOT_COLS = ("item_id, name, current_price, original_price, discount_pct, brand, category, "
+                  "item_url, rating, review_count, location, keyword, page, scraped_at")
+_LIN = "run_id, keyword, page, pos"
+
+INGEST_SQL = {
+    "explode_pages": _with(SNAP, ING) + f"SELECT {_LIN}, captured_at, itemId, nid, price, priceShow FROM raw_items",
+    "page_prefix": _with(SNAP, ING) + "SELECT run_id, keyword, page, n_items FROM kept",
+    "listing_map": _with(SNAP, ING) + """
+SELECT run_id, pos, item_id, name, price, original_price, brand, category, item_url, image_url,
+       rating_text AS rating, review_text AS review_count, location, keyword, page FROM lst""",
+    "url_repair": _with(SNAP, ING) + f"SELECT {_LIN}, item_url, image_url FROM lst",
+    "keyword_filter": _with(SNAP, ING)
+    + f"SELECT {_LIN}, item_id FROM lst WHERE keyword IN ('click', 'purchase')",
+    "union_keywords": _with(SNAP, ING) + f"""
+SELECT {_LIN}, item_id FROM lst WHERE keyword IN ('click', 'view')
+UNION ALL
+SELECT {_LIN}, item_id FROM lst WHERE keyword IN ('view', 'signup')""",
+    "parse_currency": _with(SNAP, ING) + f"SELECT {_LIN}, price_value, original_value FROM lst",
+    "parse_rating": _with(SNAP, ING) + f"SELECT {_LIN}, rating FROM lst",
+    "parse_reviews": _with(SNAP, ING) + f"SELECT {_LIN}, review_count FROM lst",
+    "discount_pct": _with(SNAP, ING) + f"SELECT {_LIN}, discount_pct FROM lst",
+    "validate": _with(SNAP, ING) + f"SELECT {_SNAPSHOT_COLS} FROM valid",
+    "rejects": _with(SNAP, ING) + f"SELECT {_LIN}, item_id, reason FROM lst WHERE reason IS NOT NULL",
+    "page_counts": _with(SNAP, ING) + """
+SELECT run_id, keyword, page,
+       count(*) FILTER (WHERE reason IS NULL) AS valid_records,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected_records
+FROM lst GROUP BY run_id, keyword, page""",
+    "not_null_guard": _with(SNAP, ING)
+    + "SELECT item_id, name, current_price, item_url, keyword, page, scraped_at FROM valid",
+    "load_quantize": _with(SNAP, ING)
+    + f"SELECT {_LIN}, current_price, original_price, discount_pct FROM valid",
+}

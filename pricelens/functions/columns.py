@@ -149,11 +149,13 @@ def discount_pct(current: Column | str, original: Column | str) -> Column:
     """(original - current) / original * 100 when original > 0 and current is
     below it, half-even to 2 places; otherwise NULL.
 
-    Inputs are the unquantised decimals; one DOUBLE division of the exact
-    difference keeps the quotient correctly rounded before the 2-place step.
+    Inputs are the unquantised prices (decimals, or integer cents). The
+    quotient is taken exactly (decimal division, or one DOUBLE division of
+    integers) and rounded once to DOUBLE before the 2-place step, as a
+    decimal quotient converted to float would be.
     """
     cur, orig = col_(current), col_(original)
-    ratio = ((orig - cur) * 100).cast("double") / orig.cast("double")
+    ratio = ((orig - cur) * 100 / orig).cast("double")
     return F.when(orig.isNotNull() & (orig > 0) & (cur < orig), round2_even(ratio))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions import columns as X
 from pricelens.operators.dimension import join_dimension
-from pricelens.schema import SNAPSHOT_COLUMNS
+from pricelens.schema import ITEM_FIELDS, SNAPSHOT_COLUMNS
 
 NATION_COUNT = 25
 
@@ -90,3 +90,91 @@ def snapshots_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("scraped_at"),
     )
     return out.select(*SNAPSHOT_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Landed catalog pages derived from events (fixed values; the oracle mirrors)
+# ---------------------------------------------------------------------------
+# A run is 250 consecutive event ids; keyword = event_type; page =
+# 1 + event_id % 5, so a page document holds a bounded number of items.
+# Page 2 of runs with run_no % 7 = 3 failed (no payload); page 1 of runs with
+# run_no % 11 = 5 came back empty. Field formats vary with event_id:
+#   price by event_id % 6: 0 '₱1,234.50', 1 '1234.50', 2 '₱<NBSP>1234.50<SP>',
+#     3 '' with priceShow '₱1234.50', 4 'N/A', 5 NULL with priceShow '1234.50'
+#   itemId NULL with nid set when % 29 = 0; itemId '' when % 31 = 0
+#   name '' with title when % 37 = 0; name NULL when % 43 = 0
+#   originalPrice 'NaN' when % 47 = 0, 'abc' when % 53 = 0, else '₱1,234.50'
+#   itemUrl '' when % 59 = 0, protocol-relative when even
+#   ratingScore 'N/A' when % 23 = 0; review '(n)' when % 7 = 0, NULL when % 19 = 0
+RUN_SIZE = 250
+PAGES_PER_RUN = 5
+
+
+def landed_pages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON text line per page document (column ``value``), as the
+    capture would land them."""
+    e = with_catalog(spark, sf_dir, priced_events(spark, sf_dir))
+    eid = F.col("event_id")
+    uid = F.lpad(F.col("user_id").cast("string"), 5, "0")
+    cur = _price(F.col("cur_c")).cast("string")
+    cur_fmt = F.format_number(_price(F.col("cur_c")), 2)
+    orig_fmt = F.format_number(_price(F.col("orig_c")), 2)
+    null = F.lit(None).cast("string")
+    kind = eid % 6
+    item = F.struct(
+        F.when(eid % 29 == 0, null).when(eid % 31 == 0, F.lit(""))
+        .otherwise(F.concat(F.lit("ITEM"), uid)).alias("itemId"),
+        F.when(eid % 29 == 0, F.concat(F.lit("ITEM"), uid)).alias("nid"),
+        F.when(eid % 37 == 0, F.lit("")).when(eid % 43 == 0, null)
+        .otherwise(F.concat(F.lit("  "), F.col("p_name"), F.lit(" "))).alias("name"),
+        F.when(eid % 37 == 0, F.col("p_name")).alias("title"),
+        F.when(kind == 0, F.concat(F.lit("₱"), cur_fmt))
+        .when(kind == 1, cur)
+        .when(kind == 2, F.concat(F.lit("₱\u00a0"), cur, F.lit(" ")))
+        .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.lit("N/A"))
+        .alias("price"),
+        F.when(kind == 3, F.concat(F.lit("₱"), cur)).when(kind == 5, cur).alias("priceShow"),
+        F.when(F.col("orig_c").isNull(), null).when(eid % 47 == 0, F.lit("NaN"))
+        .when(eid % 53 == 0, F.lit("abc"))
+        .otherwise(F.concat(F.lit("₱"), orig_fmt)).alias("originalPrice"),
+        F.col("p_brand").alias("brandName"),
+        F.when(eid % 17 == 0, F.lit(" ")).otherwise(F.col("p_type")).alias("categoryName"),
+        F.when(eid % 59 == 0, F.lit(""))
+        .when(eid % 2 == 0, F.concat(F.lit("//shop.example/i"), F.col("user_id").cast("string")))
+        .otherwise(F.concat(F.lit("https://shop.example/i"), F.col("user_id").cast("string")))
+        .alias("itemUrl"),
+        F.concat(F.lit("//img.example/"), uid, F.lit(".jpg")).alias("image"),
+        F.when(eid % 23 == 0, F.lit("N/A"))
+        .otherwise(((eid % 41).cast("double") / 10).cast("string")).alias("ratingScore"),
+        F.when(eid % 19 == 0, null)
+        .when(eid % 7 == 0, F.concat(F.lit("("), (eid % 200).cast("string"), F.lit(")")))
+        .otherwise((eid % 200).cast("string")).alias("review"),
+        F.col("n_name").alias("location"),
+    )
+    run_no = F.floor(eid / RUN_SIZE)
+    docs = e.select(
+        run_no.alias("run_no"),
+        F.col("event_type").alias("keyword"),
+        (1 + eid % PAGES_PER_RUN).cast("int").alias("page"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.struct(eid.alias("event_id"), item.alias("item")).alias("entry"),
+    ).groupBy("run_no", "keyword", "page").agg(
+        F.min("ts").alias("captured_at"),
+        F.array_sort(F.collect_list("entry")).alias("entries"),
+    )
+    failed = (F.col("run_no") % 7 == 3) & (F.col("page") == 2)
+    empty = (F.col("run_no") % 11 == 5) & (F.col("page") == 1)
+    items = F.transform("entries", lambda x: x["item"])
+    item_array = "array<struct<" + ",".join(f"{f}:string" for f in ITEM_FIELDS) + ">>"
+    mods = F.when(failed, F.lit(None)).otherwise(
+        F.struct(F.when(empty, F.array().cast(item_array)).otherwise(items).alias("listItems"))
+    )
+    page_doc = F.struct(
+        F.concat(F.lit("R"), F.lpad(F.col("run_no").cast("string"), 6, "0")).alias("run_id"),
+        F.col("keyword"),
+        F.col("page"),
+        F.col("captured_at"),
+        mods.alias("mods"),
+    )
+    return docs.select(F.to_json(page_doc, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
