@@ -9,6 +9,21 @@ Rounding, averages and the median use the same exact forms on both sides
 
 from __future__ import annotations
 
+
+def _round2_even(x: str) -> str:
+    """Exact half-even rounding to 2 places of a DOUBLE (see round2_even)."""
+    p = f"(({x}) * 200)"
+    split = f"(({x}) * 134217729.0)"
+    hi = f"({split} - ({split} - ({x})))"
+    lo = f"(({x}) - {hi})"
+    err = f"(({hi} * 200 - {p}) + {lo} * 200)"
+    odd = f"({p} = floor({p}) AND abs(fmod({p}, 2)) = 1)"
+    return (f"(CASE WHEN {odd} AND {err} < 0 THEN ({p} - 1) / 2 "
+            f"WHEN {odd} AND {err} > 0 THEN ({p} + 1) / 2 "
+            f"WHEN {odd} THEN round_even({p} / 2, 0) "
+            f"ELSE round({p} / 2) END / 100)")
+
+
 # --- snapshots from the driver tables (mapping in pricelens.sources.driver_tables)
 SNAP = """
 ev AS (
@@ -29,7 +44,7 @@ snap AS (
     CAST(CAST(e.cur_c AS DOUBLE) / 100 AS DECIMAL(12,2)) AS current_price,
     CAST(CAST(NULLIF(e.orig_c, 0) AS DOUBLE) / 100 AS DECIMAL(12,2)) AS original_price,
     CASE WHEN e.orig_c > 0 AND e.cur_c < e.orig_c
-         THEN round_even(CAST((e.orig_c - e.cur_c) * 100 AS DOUBLE) / CAST(e.orig_c AS DOUBLE) * 100, 0) / 100
+         THEN {DISC_SNAP}
     END AS discount_pct,
     p.p_brand AS brand,
     CASE WHEN e.event_id % 17 = 0 THEN ' ' ELSE p.p_type END AS category,
@@ -43,7 +58,8 @@ snap AS (
   FROM priced e
   JOIN part p ON p.p_partkey = e.user_id
   JOIN nation n ON n.n_nationkey = e.user_id % 25
-)"""
+)""".replace("{DISC_SNAP}", _round2_even(
+    "CAST((e.orig_c - e.cur_c) * 100 AS DOUBLE) / CAST(e.orig_c AS DOUBLE)"))
 
 STG = """
 stg AS (
@@ -272,7 +288,7 @@ lst AS (
          CASE WHEN event_id % 19 = 0 THEN NULL ELSE CAST(event_id % 200 AS INTEGER) END AS review_count,
          CASE WHEN event_id % 6 <> 4 AND orig_c IS NOT NULL AND event_id % 47 <> 0
                    AND event_id % 53 <> 0 AND orig_c > 0 AND cur_c < orig_c
-              THEN round_even(CAST((orig_c - cur_c) * 100 AS DOUBLE) / CAST(orig_c AS DOUBLE) * 100, 0) / 100
+              THEN {DISC_ING}
          END AS discount_pct,
          CASE WHEN event_id % 31 = 0 AND event_id % 29 <> 0 THEN 'missing item_id'
               WHEN event_id % 43 = 0 AND event_id % 37 <> 0 THEN 'missing name'
@@ -291,7 +307,7 @@ valid AS (
          discount_pct, brand, category, item_url, rating, review_count, location, keyword, page,
          captured_at + to_microseconds(pos) AS scraped_at
   FROM lst WHERE reason IS NULL
-)"""
+)""".replace("{DISC_ING}", _round2_even("CAST((orig_c - cur_c) * 100 AS DOUBLE) / CAST(orig_c AS DOUBLE)"))
 
 _SNAPSHOT_COLS = ("item_id, name, current_price, original_price, discount_pct, brand, category, "
                   "item_url, rating, review_count, location, keyword, page, scraped_at")
@@ -326,3 +342,24 @@ FROM lst GROUP BY run_id, keyword, page""",
     "load_quantize": _with(SNAP, ING)
     + f"SELECT {_LIN}, current_price, original_price, discount_pct FROM valid",
 }
+
+
+def _quality_sql() -> str:
+    from pricelens.plans.quality import RULES
+
+    cte = {"price_snapshots": "snap", "stg_prices": "stg", "price_history": "hist",
+           "price_movers": "movers", "category_summary": "cat", "daily_deals": "deals"}
+    parts = []
+    for ds, spec in RULES.items():
+        for col in spec["not_null"]:
+            parts.append(f"SELECT '{ds}' AS dataset, '{col}' AS column_name, 'not_null' AS rule, "
+                         f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {cte[ds]}")
+        for col, values in spec["accepted_values"].items():
+            allowed = ", ".join(f"'{v}'" for v in values)
+            parts.append(f"SELECT '{ds}' AS dataset, '{col}' AS column_name, 'accepted_values' AS rule, "
+                         f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({allowed})) AS failures "
+                         f"FROM {cte[ds]}")
+    return _with(SNAP, STG, HIST, MOVERS, CAT, DEALS) + "\nUNION ALL\n".join(parts)
+
+
+MART_SQL["quality_report"] = _quality_sql()

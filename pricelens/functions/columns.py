@@ -36,8 +36,29 @@ def round2(c: Column | str) -> Column:
 
 
 def round2_even(c: Column | str) -> Column:
-    """Half-even rounding to 2 places on the scaled value (ingest discount)."""
-    return F.bround(col_(c) * 100, 0) / 100
+    """Round a DOUBLE to 2 places by its *exact* binary value, ties to even.
+
+    ``bround(x * 100)`` is not enough: the product is rounded first, so
+    38.275 (stored as 38.27499999999999857...) becomes 3827.5 and then 38.28.
+    Here ``t = 200 * x`` is split into its rounded value ``p`` and the exact
+    rounding error ``err`` (Dekker's error-free product; 200 has few bits so
+    every partial product is exact). ``p`` odd and integral marks a possible
+    tie, which ``err`` resolves: below, above, or an exact tie (to even).
+    """
+    x = col_(c)
+    p = x * 200
+    split = x * 134217729.0  # 2**27 + 1
+    hi = split - (split - x)
+    lo = x - hi
+    err = (hi * 200 - p) + lo * 200
+    odd_integral = (p == F.floor(p)) & (F.abs(p % 2) == 1)
+    hundredths = (
+        F.when(odd_integral & (err < 0), (p - 1) / 2)
+        .when(odd_integral & (err > 0), (p + 1) / 2)
+        .when(odd_integral, F.bround(p / 2, 0))
+        .otherwise(F.round(p / 2, 0))
+    )
+    return hundredths / 100
 
 
 def utrim(c: Column | str) -> Column:
