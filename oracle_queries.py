@@ -207,13 +207,13 @@ MART_SQL = {
     "todays_drops": _with(SNAP, STG, HIST, MOVERS) + """
 SELECT product_name, prev_price, current_price, price_change_pct, item_url
 FROM movers
-WHERE snapshot_date = (SELECT max(snapshot_date) FROM movers) AND price_direction = 'decreased'
+WHERE snapshot_date = (SELECT max(snapshot_date) FROM stg) AND price_direction = 'decreased'
 ORDER BY price_change_pct ASC, item_url, product_name, prev_price, current_price
 LIMIT 10""",
     "todays_deals": _with(SNAP, STG, HIST, DEALS) + """
 SELECT deal_rank, product_name, category, current_price, discount_pct, is_fresh_drop
 FROM deals
-WHERE snapshot_date = (SELECT max(snapshot_date) FROM deals)""",
+WHERE snapshot_date = (SELECT max(snapshot_date) FROM stg)""",
     "category_trend": _with(SNAP, STG, CAT)
     + "SELECT snapshot_date, category, avg_price, median_price FROM cat",
     "fresh_drops": _with(SNAP, STG, HIST, DEALS) + "SELECT * FROM deals WHERE is_fresh_drop",

@@ -5,6 +5,7 @@ from pricelens.functions.columns import (  # noqa: F401
     cents,
     currency_text,
     discount_pct,
+    discount_ratio,
     exact_avg,
     first_present,
     is_non_finite,
@@ -20,4 +21,5 @@ from pricelens.functions.columns import (  # noqa: F401
     round2,
     round2_even,
     utrim,
+    with_discount,
 )

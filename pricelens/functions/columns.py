@@ -49,15 +49,11 @@ def round2_even(c: Column | str) -> Column:
     p = x * 200
     split = x * 134217729.0  # 2**27 + 1
     hi = split - (split - x)
-    lo = x - hi
-    err = (hi * 200 - p) + lo * 200
-    odd_integral = (p == F.floor(p)) & (F.abs(p % 2) == 1)
-    hundredths = (
-        F.when(odd_integral & (err < 0), (p - 1) / 2)
-        .when(odd_integral & (err > 0), (p + 1) / 2)
-        .when(odd_integral, F.bround(p / 2, 0))
-        .otherwise(F.round(p / 2, 0))
-    )
+    err = (hi * 200 - p) + (x - hi) * 200
+    half = F.floor(p / 2)  # p / 2 is exact
+    tie_break = F.when(err > 0, 1).when(err < 0, 0).otherwise(half % 2)
+    # p - 2 * half == 1 exactly when p is an odd integer
+    hundredths = F.when(p - 2 * half == 1, half + tie_break).otherwise(F.floor(p / 2 + 0.5))
     return hundredths / 100
 
 
@@ -166,18 +162,36 @@ def parse_reviews(c: Column | str) -> Column:
     return review_digits(c).try_cast("int")
 
 
-def discount_pct(current: Column | str, original: Column | str) -> Column:
-    """(original - current) / original * 100 when original > 0 and current is
-    below it, half-even to 2 places; otherwise NULL.
+def discount_ratio(current: Column | str, original: Column | str) -> Column:
+    """(original - current) / original * 100 as DOUBLE when original > 0 and
+    current is below it, else NULL.
 
     Inputs are the unquantised prices (decimals, or integer cents). The
     quotient is taken exactly (decimal division, or one DOUBLE division of
-    integers) and rounded once to DOUBLE before the 2-place step, as a
-    decimal quotient converted to float would be.
+    integers) and rounded once to DOUBLE, as a decimal quotient converted to
+    float would be.
     """
     cur, orig = col_(current), col_(original)
-    ratio = ((orig - cur) * 100 / orig).cast("double")
-    return F.when(orig.isNotNull() & (orig > 0) & (cur < orig), round2_even(ratio))
+    return F.when(orig.isNotNull() & (orig > 0) & (cur < orig), ((orig - cur) * 100 / orig).cast("double"))
+
+
+def discount_pct(current: Column | str, original: Column | str) -> Column:
+    """Discount percent, half-even to 2 places (see ``with_discount``)."""
+    return round2_even(discount_ratio(current, original))
+
+
+def with_discount(df, current: Column | str, original: Column | str, out: str = "discount_pct"):
+    """Add ``out`` = discount percent rounded to 2 places.
+
+    The ratio is projected first and rounded in a second projection: the
+    rounding reads its input many times, so Catalyst keeps the two projections
+    apart instead of inlining the division into every use, which keeps the
+    generated stage code small enough to be JIT-compiled.
+    """
+    tmp = f"__{out}_ratio"
+    return df.withColumn(tmp, discount_ratio(current, original)).withColumn(
+        out, round2_even(F.col(tmp))
+    ).drop(tmp)
 
 
 def nan_to_null(c: Column | str) -> Column:

@@ -1,12 +1,10 @@
-"""Joining a fact stream to a dimension with a size-checked broadcast."""
+"""Joining a fact stream to a dimension table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens import config
-
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
@@ -22,14 +20,20 @@ def join_dimension(
     dim: DataFrame,
     on: Column | str | list,
     how: str = "inner",
-    max_rows: int = config.BROADCAST_MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``fact`` to ``dim``, broadcasting ``dim`` only after its row count
-    is checked against ``max_rows``.
+    """Join ``fact`` to ``dim`` without a blind broadcast hint.
+
+    By default the size check is left to Spark: the planner broadcasts only
+    below ``spark.sql.autoBroadcastJoinThreshold`` (estimated from file
+    statistics), and AQE re-plans a shuffle join as a broadcast only when the
+    *measured* shuffle output is below the adaptive threshold. Otherwise it
+    stays a sort-merge join, with AQE splitting skewed fact partitions.
 
-    Beyond the bound the join is left to the planner: a shuffle join, with
-    AQE splitting skewed fact partitions and switching to a broadcast at run
-    time when the measured side turns out small.
+    With ``max_rows`` the dimension is counted (at most ``max_rows + 1`` rows
+    are read) and hinted for broadcast when within the bound.
     """
-    side = F.broadcast(dim) if bounded_rows(dim, max_rows) else dim
+    side = dim
+    if max_rows is not None and bounded_rows(dim, max_rows):
+        side = F.broadcast(dim)
     return fact.join(side, on=on, how=how)

@@ -67,21 +67,18 @@ def skew_safe_lag(
         F.lit(0),
     ).cast("long")
 
-    main = df.join(F.broadcast(hot), on=key, how="left").withColumn(chunk, chunk_of)
-    main = main.drop("__t0", "__span", "__pieces")
+    cols = [F.col(n) for n in df.columns]
+    main = df.join(F.broadcast(hot), on=key, how="left").select(*cols, chunk_of.alias(chunk))
     w = Window.partitionBy(key, chunk).orderBy(*[F.col(c) for c in order])
-    within = (
-        main.withColumn(out, F.lag(F.col(value)).over(w))
-        .withColumn(first, F.row_number().over(w) == 1)
+    within = main.select(
+        "*", F.lag(F.col(value)).over(w).alias(out), (F.row_number().over(w) == 1).alias(first)
     )
 
     # last value of every chunk of a hot key, moved onto the next chunk
     sort_key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order, value])])
     tails = (
-        df.select(key, value, *[c for c in order if c != value])
-        .join(F.broadcast(hot), on=key, how="inner")
-        .withColumn(chunk, chunk_of)
-        .groupBy(key, chunk)
+        df.join(F.broadcast(hot), on=key, how="inner")
+        .groupBy(F.col(key), chunk_of.alias(chunk))
         .agg(F.max_by(F.col(value), sort_key).alias("__tail"))
     )
     carries = tails.select(
@@ -90,7 +87,7 @@ def skew_safe_lag(
 
     joined = within.join(F.broadcast(carries), on=[key, chunk], how="left")
     fixed = F.when(F.col(first), F.col(carry)).otherwise(F.col(out))
-    return joined.withColumn(out, fixed).drop(chunk, first, carry)
+    return joined.select(*[F.col(n) for n in df.columns], fixed.alias(out))
 
 
 def latest_by(

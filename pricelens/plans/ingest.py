@@ -22,6 +22,7 @@ from pricelens.schema import ITEM_FIELDS, LISTING_COLUMNS, REQUIRED_COLUMNS, SNA
 
 c = F.col
 LINEAGE = ["run_id", "keyword", "page", "pos"]
+CHECKED_COLUMNS = ["run_id", "pos", *SNAPSHOT_COLUMNS, "reason"]
 
 
 def item_count() -> Column:
@@ -128,12 +129,12 @@ def check(listing: DataFrame) -> DataFrame:
     cur_w = cur38.try_cast(X.WORK_DECIMAL)
     orig_w = orig38.try_cast(X.WORK_DECIMAL)
     stamped = F.timestamp_add("MICROSECOND", c("pos"), c("captured_at"))
-    return listing.select(
+    typed = listing.select(
         "run_id", "pos", "item_id", "name",
         cur_q.alias("current_price"),
         # a zero original price is no original price (stored as NULL)
         F.when(orig38 != 0, orig_q).alias("original_price"),
-        X.discount_pct(cur_w, orig_w).alias("discount_pct"),
+        X.discount_ratio(cur_w, orig_w).alias("discount_ratio"),
         "brand", "category", "item_url",
         X.parse_rating("rating").alias("rating"),
         X.parse_reviews("review_count").alias("review_count"),
@@ -141,6 +142,10 @@ def check(listing: DataFrame) -> DataFrame:
         F.coalesce(stamped, F.current_timestamp()).alias("scraped_at"),
         reason.alias("reason"),
     )
+    # rounded in its own projection (see functions.columns.with_discount)
+    return typed.withColumn("discount_ratio", X.round2_even("discount_ratio")).withColumnRenamed(
+        "discount_ratio", "discount_pct"
+    ).select(*CHECKED_COLUMNS)
 
 
 def _guarded(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Analyst reports over the marts.
 
-"Today" is a parameter; by default it is the latest day present in the mart,
-taken as a scalar subquery so no data passes through the driver.
+"Today" is a parameter; by default it is the latest snapshot day in the data
+(``days``, e.g. the staging dataset, else the mart itself), taken as a scalar
+subquery so no data passes through the driver.
 """
 
 from __future__ import annotations
@@ -16,18 +17,21 @@ from pricelens import config
 c = F.col
 
 
-def _day(mart: DataFrame, as_of: dt.date | str | None) -> Column:
-    if as_of is None:
-        return mart.agg(F.max("snapshot_date")).scalar()
-    return F.to_timestamp(F.lit(str(as_of)))
+def _day(mart: DataFrame, as_of: dt.date | str | None, days: DataFrame | None = None) -> Column:
+    if as_of is not None:
+        return F.to_timestamp(F.lit(str(as_of)))
+    return (mart if days is None else days).agg(F.max("snapshot_date")).scalar()
 
 
-def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT) -> DataFrame:
+def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT,
+                 days: DataFrame | None = None) -> DataFrame:
     """The day's decreases, steepest percent drop first (a top-k report).
 
     Extra sort keys after the percent make the cut at ``limit`` stable.
     """
-    day = movers.filter((c("snapshot_date") == _day(movers, as_of)) & (c("price_direction") == "decreased"))
+    day = movers.filter(
+        (c("snapshot_date") == _day(movers, as_of, days)) & (c("price_direction") == "decreased")
+    )
     return (
         day.select("product_name", "prev_price", "current_price", "price_change_pct", "item_url")
         .orderBy(c("price_change_pct").asc(), "item_url", "product_name", "prev_price", "current_price")
@@ -35,9 +39,9 @@ def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT
     )
 
 
-def todays_deals(deals: DataFrame, as_of=None) -> DataFrame:
+def todays_deals(deals: DataFrame, as_of=None, days: DataFrame | None = None) -> DataFrame:
     """R2: the day's deals in rank order."""
-    day = deals.filter(c("snapshot_date") == _day(deals, as_of))
+    day = deals.filter(c("snapshot_date") == _day(deals, as_of, days))
     return day.select(
         "deal_rank", "product_name", "category", "current_price", "discount_pct", "is_fresh_drop"
     ).orderBy("deal_rank", "product_name")

@@ -30,9 +30,20 @@ from pricelens.schema import ITEM_FIELDS, SNAPSHOT_COLUMNS
 
 NATION_COUNT = 25
 
+# Declared schemas of the driver tables we read: no footer-inference job per
+# read, and a changed file fails loudly instead of shifting types.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _price(cents_col) -> F.Column:
@@ -60,10 +71,7 @@ def with_catalog(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFra
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = join_dimension(events, part, events["user_id"] == part["p_partkey"])
-    return join_dimension(
-        joined, nation, (F.col("user_id") % NATION_COUNT) == F.col("n_nationkey"),
-        max_rows=10_000,
-    )
+    return join_dimension(joined, nation, (F.col("user_id") % NATION_COUNT) == F.col("n_nationkey"))
 
 
 def snapshots_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +84,7 @@ def snapshots_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")).alias("name"),
         _price(F.col("cur_c")).alias("current_price"),
         _price(F.nullif(F.col("orig_c"), F.lit(0))).alias("original_price"),
-        X.discount_pct(F.col("cur_c"), F.col("orig_c")).alias("discount_pct"),
+        X.discount_ratio(F.col("cur_c"), F.col("orig_c")).alias("discount_ratio"),
         F.col("p_brand").alias("brand"),
         F.when(eid % 17 == 0, F.lit(" ")).otherwise(F.col("p_type")).alias("category"),
         F.concat(F.lit("https://shop.example/i"), uid).alias("item_url"),
@@ -89,6 +97,8 @@ def snapshots_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + eid % 3).cast("int").alias("page"),
         F.col("ts").cast("timestamp").alias("scraped_at"),
     )
+    # rounded in its own projection (see functions.columns.with_discount)
+    out = out.withColumn("discount_pct", X.round2_even("discount_ratio"))
     return out.select(*SNAPSHOT_COLUMNS)
 
 
