@@ -5,15 +5,15 @@
     checked -> valid snapshots (S8/S9, table schema)  |  rejects (V5)
 
 Everything is a per-row expression except the page prefix rule, which needs
-the pages of one (run, keyword): a window over page *documents*, at most the
-page cap per group after the cap filter.
+the pages of one (run, keyword): a bounded aggregate over page documents
+joined back to them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens import config
@@ -34,14 +34,28 @@ def page_prefix(pages: DataFrame, max_pages: int = config.MAX_PAGES_PER_KEYWORD)
     """Per (run, keyword) keep pages 1..k, where k is the last page before
     the first failed, empty or missing one, and k <= ``max_pages``.
 
-    Over the non-empty documents within the cap, ``dense_rank`` by page equals
-    the page number exactly while there is no gap.
+    The pages present per (run, keyword) are gathered with ``collect_set``
+    over non-empty pages within the cap, so each group's buffer holds at most
+    ``max_pages`` numbers and combines map-side: duplicated landings of one
+    run do not pile up in a task. The prefix length is then joined back
+    (null-safe on run and keyword); the joined side has one row per group.
     """
     nonempty = pages.filter(
         (c("page") >= 1) & (c("page") <= max_pages) & (item_count() > 0)
     )
-    w = Window.partitionBy("run_id", "keyword").orderBy("page")
-    return nonempty.withColumn("__r", F.dense_rank().over(w)).filter(c("__r") == c("page")).drop("__r")
+    present = nonempty.groupBy("run_id", "keyword").agg(F.collect_set("page").alias("__pages"))
+    prefix = F.aggregate(
+        F.sequence(F.lit(1), F.lit(max_pages)), F.lit(0),
+        lambda k, p: F.when((k == p - 1) & F.array_contains(c("__pages"), p), p).otherwise(k),
+    )
+    limits = present.select(
+        c("run_id").alias("__run"), c("keyword").alias("__kw"), prefix.alias("__k")
+    )
+    joined = nonempty.join(
+        limits,
+        nonempty["run_id"].eqNullSafe(limits["__run"]) & nonempty["keyword"].eqNullSafe(limits["__kw"]),
+    )
+    return joined.filter(c("page") <= c("__k")).select(*pages.columns)
 
 
 def explode_items(pages: DataFrame) -> DataFrame:
@@ -82,10 +96,18 @@ def listings(pages: DataFrame, max_pages: int = config.MAX_PAGES_PER_KEYWORD) ->
     return map_listings(explode_items(page_prefix(pages, max_pages)))
 
 
+# Lists longer than this are matched with a broadcast semi-join instead of an
+# IN-list predicate (the broadcast side is the caller's list: its size is known).
+KEYWORD_IN_LIST_MAX = 64
+
+
 def keyword_filter(listing: DataFrame, keywords: Sequence[str] | None = None) -> DataFrame:
     """S3: keep the listings of the configured keywords (default five)."""
-    keywords = list(config.DEFAULT_KEYWORDS if keywords is None else keywords)
-    return listing.filter(c("keyword").isin(*keywords))
+    keywords = list(dict.fromkeys(config.DEFAULT_KEYWORDS if keywords is None else keywords))
+    if len(keywords) <= KEYWORD_IN_LIST_MAX:
+        return listing.filter(c("keyword").isin(*keywords))
+    wanted = listing.sparkSession.createDataFrame([(k,) for k in keywords], "keyword string")
+    return listing.join(F.broadcast(wanted), on="keyword", how="left_semi").select(*listing.columns)
 
 
 def union_keywords(batches: Iterable[DataFrame]) -> DataFrame:
@@ -108,44 +130,53 @@ def check(listing: DataFrame) -> DataFrame:
     checks them: required fields, then the price conversions. Values the
     table cannot hold (price >= 10^10, review count beyond INT) reject the
     row rather than the whole load.
+
+    Written as three projections (parse, validate, round): each parsed value
+    is read by several rules, so Catalyst keeps them apart, and every fused
+    stage stays small enough for the JIT.
     """
-    cur38 = X.parse_currency("price")
-    orig38 = X.parse_currency("original_price")
-    cur_q = cur38.try_cast(X.PRICE_DECIMAL)
-    orig_q = orig38.try_cast(X.PRICE_DECIMAL)
-    digits = X.review_digits("review_count")
+    parsed = listing.select(
+        *LISTING_COLUMNS, "run_id", "pos", "captured_at",
+        X.parse_currency("price").alias("__cur"),
+        X.parse_currency("original_price").alias("__orig"),
+        X.is_non_finite("price").alias("__cur_nf"),
+        X.is_non_finite("original_price").alias("__orig_nf"),
+        X.review_digits("review_count").alias("__digits"),
+        X.parse_rating("rating").alias("__rating"),
+    )
+    cur, orig, digits = c("__cur"), c("__orig"), c("__digits")
+    cur_q = cur.try_cast(X.PRICE_DECIMAL)
+    orig_q = orig.try_cast(X.PRICE_DECIMAL)
     reason = (
         F.when(_blank("item_id"), F.lit("missing item_id"))
         .when(_blank("name"), F.lit("missing name"))
         .when(_blank("price"), F.lit("missing price"))
         .when(_blank("item_url"), F.lit("missing item_url"))
-        .when(X.is_non_finite("price"), F.lit("non-finite current_price"))
-        .when(cur38.isNull(), F.lit("unparseable current_price"))
-        .when(X.is_non_finite("original_price"), F.lit("non-finite original_price"))
+        .when(c("__cur_nf"), F.lit("non-finite current_price"))
+        .when(cur.isNull(), F.lit("unparseable current_price"))
+        .when(c("__orig_nf"), F.lit("non-finite original_price"))
         .when(cur_q.isNull(), F.lit("current_price out of range"))
-        .when(orig38.isNotNull() & orig_q.isNull(), F.lit("original_price out of range"))
+        .when(orig.isNotNull() & orig_q.isNull(), F.lit("original_price out of range"))
         .when(digits.isNotNull() & digits.try_cast("int").isNull(), F.lit("review_count out of range"))
     )
-    cur_w = cur38.try_cast(X.WORK_DECIMAL)
-    orig_w = orig38.try_cast(X.WORK_DECIMAL)
     stamped = F.timestamp_add("MICROSECOND", c("pos"), c("captured_at"))
-    typed = listing.select(
+    typed = parsed.select(
         "run_id", "pos", "item_id", "name",
         cur_q.alias("current_price"),
         # a zero original price is no original price (stored as NULL)
-        F.when(orig38 != 0, orig_q).alias("original_price"),
-        X.discount_ratio(cur_w, orig_w).alias("discount_ratio"),
+        F.when(orig != 0, orig_q).alias("original_price"),
+        X.discount_ratio(cur.try_cast(X.WORK_DECIMAL), orig.try_cast(X.WORK_DECIMAL)).alias("discount_ratio"),
         "brand", "category", "item_url",
-        X.parse_rating("rating").alias("rating"),
-        X.parse_reviews("review_count").alias("review_count"),
+        c("__rating").alias("rating"),
+        digits.try_cast("int").alias("review_count"),
         "location", "keyword", "page",
         F.coalesce(stamped, F.current_timestamp()).alias("scraped_at"),
         reason.alias("reason"),
     )
     # rounded in its own projection (see functions.columns.with_discount)
-    return typed.withColumn("discount_ratio", X.round2_even("discount_ratio")).withColumnRenamed(
-        "discount_ratio", "discount_pct"
-    ).select(*CHECKED_COLUMNS)
+    return typed.select(
+        *[X.round2_even("discount_ratio").alias(n) if n == "discount_pct" else c(n) for n in CHECKED_COLUMNS]
+    )
 
 
 def _guarded(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -142,3 +142,24 @@ def test_not_null_guard_fails_on_null(spark):
     with pytest.raises(Exception):
         ingest.not_null_guard(good.withColumn("keyword", F.lit(None).cast("string"))).collect()
     assert bad is not None
+
+
+def test_long_keyword_list_uses_semi_join(spark):
+    docs = [page_doc("R1", kw, 1, [sample_item()]) for kw in ("laptop", "toaster")]
+    lst = ingest.listings(pages_df(spark, docs))
+    many = [f"kw{i}" for i in range(200)] + ["toaster"]
+    out = ingest.keyword_filter(lst, many)
+    assert [r.keyword for r in out.collect()] == ["toaster"]
+    assert out.columns == lst.columns
+
+
+def test_page_prefix_with_null_run_and_duplicates(spark):
+    docs = [
+        page_doc(None, "laptop", 1, [sample_item()]),
+        page_doc(None, "laptop", 2, [sample_item()]),
+        page_doc("R2", "laptop", 1, [sample_item()]),
+        page_doc("R2", "laptop", 1, [sample_item()]),  # landed twice: both kept
+        page_doc("R2", "laptop", 3, [sample_item()]),
+    ]
+    kept = ingest.page_prefix(pages_df(spark, docs)).select("run_id", "page").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, 1), (None, 2), ("R2", 1), ("R2", 1)], key=str)
