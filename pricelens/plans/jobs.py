@@ -20,7 +20,7 @@ def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
                load_id: str | None = None) -> dict:
     """Validate page documents and append valid records (+ rejects).
 
-    The checked records feed two writes; they are persisted (memory, then
+    The checked records feed three writes; they are persisted (memory, then
     disk) for the duration of the load so the parse runs once. A lost block is
     recomputed from the landed files.
     """
@@ -29,6 +29,7 @@ def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
     try:
         written = store.append_snapshots(ingest.valid_snapshots(checked), warehouse, load_id)
         store.append_rejects(ingest.rejects(checked), warehouse, load_id)
+        store.append_page_counts(ingest.page_counts(checked), warehouse, load_id)
     finally:
         checked.unpersist()
     return {"load_id": load_id, "appended": written}
@@ -64,7 +65,7 @@ def transform(spark: SparkSession, warehouse: str) -> list:
     config.configure(spark)
     snap = store.read_snapshots(spark, warehouse)
     stg = marts.stg_prices(snap)
-    store.write_mart(marts.price_history(stg), warehouse, "price_history", by_day_range=True)
+    store.write_mart(marts.price_history(stg), warehouse, "price_history")
     history = store.read_mart(spark, warehouse, "price_history")
     store.write_mart(marts.price_movers(history), warehouse, "price_movers")
     store.write_mart(marts.daily_deals(history), warehouse, "daily_deals")

@@ -4,6 +4,7 @@ Layout::
 
     <warehouse>/raw/price_snapshots/snapshot_day=<date>/load_id=<id>/*.parquet
     <warehouse>/raw/rejects/load_id=<id>/*.parquet
+    <warehouse>/raw/page_counts/load_id=<id>/*.parquet
     <warehouse>/marts/<name>/[snapshot_day=<date>/]*.parquet
 
 The raw table is append-only (S5-S7). Each load writes under its own
@@ -26,6 +27,7 @@ from pricelens.schema import SNAPSHOT, SNAPSHOT_COLUMNS
 
 RAW_TABLE = "raw/price_snapshots"
 REJECTS_TABLE = "raw/rejects"
+PAGE_COUNTS_TABLE = "raw/page_counts"
 PARTITIONS = ["snapshot_day", "load_id"]
 
 STORED_SNAPSHOT = T.StructType(
@@ -90,25 +92,31 @@ def row_count(spark: SparkSession, warehouse: str) -> int:
     return read_snapshots(spark, warehouse).count()
 
 
-def write_mart(mart: DataFrame, warehouse: str, name: str, by_day_range: bool = False) -> None:
+def write_mart(mart: DataFrame, warehouse: str, name: str) -> None:
     """Full refresh of a mart table, partitioned by day when it has one.
 
-    Small marts are gathered per day before writing (one file per day). A
-    snapshot-grain mart (``by_day_range``) is range-partitioned on
-    (day, item) instead, so each task writes one contiguous slice and a hot
-    day is split over several tasks by the sampled bounds.
+    The rows are rebalanced on the day before the write (one shuffle, no
+    sampling pass): AQE splits a day that is larger than the advisory size
+    over several tasks and merges small days, so each day gets a few files of
+    similar size whatever the skew between days.
     """
     target = path(warehouse, f"marts/{name}")
-    writer_df = mart
     if "snapshot_date" in mart.columns:
-        writer_df = mart.withColumn("snapshot_day", F.to_date("snapshot_date"))
-        if by_day_range:
-            writer_df = writer_df.repartitionByRange("snapshot_day", "item_id")
-        else:
-            writer_df = writer_df.repartition("snapshot_day")
-        writer_df.write.mode("overwrite").partitionBy("snapshot_day").parquet(target)
+        by_day = mart.withColumn("snapshot_day", F.to_date("snapshot_date")).hint("rebalance", "snapshot_day")
+        by_day.write.mode("overwrite").partitionBy("snapshot_day").parquet(target)
     else:
-        writer_df.write.mode("overwrite").parquet(target)
+        mart.write.mode("overwrite").parquet(target)
+
+
+def append_page_counts(counts: DataFrame, warehouse: str, load_id: str) -> None:
+    """V5: per-page valid/rejected counts of a load (the load log)."""
+    (
+        counts.withColumn("load_id", F.lit(load_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_id")
+        .parquet(path(warehouse, PAGE_COUNTS_TABLE))
+    )
 
 
 def read_mart(spark: SparkSession, warehouse: str, name: str) -> DataFrame:

@@ -34,13 +34,18 @@ def start_incremental_load(
     spark: SparkSession,
     landed_dir: str,
     warehouse: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     keywords: Sequence[str] | None = None,
     name: str = "snapshot_load",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it stops once caught up."""
+    """Start the stream; with ``available_now`` it stops once caught up.
+
+    The checkpoint defaults to ``<spark.checkpoint.dir>/<name>``, the shared
+    folder the cluster names in the session.
+    """
     config.configure(spark)
+    checkpoint = checkpoint or f"{config.checkpoint_dir(spark).rstrip('/')}/{name}"
     store.bootstrap(spark, warehouse)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:

@@ -29,6 +29,8 @@ def test_run_end_to_end(spark, landing, warehouse):
     for name in jobs.MART_NAMES:
         assert store.read_mart(spark, warehouse, name).count() > 0
     assert os.path.isdir(os.path.join(warehouse, "raw", "rejects"))
+    counts = spark.read.parquet(os.path.join(warehouse, "raw", "page_counts"))
+    assert counts.agg({"valid_records": "sum"}).first()[0] == result["appended"]
     st = jobs.status(spark, warehouse).first()
     assert st.total_snapshots == result["total"]
     # movers read back from the table equal a fresh computation
