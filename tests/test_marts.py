@@ -126,3 +126,21 @@ def test_invariants_on_driver_tables(spark):
     assert tiers == stg.count()
     assert marts.latest_snapshot(snap).count() == 15
     assert reports.todays_drops(movers).count() <= 10
+
+
+def test_staging_text_rules(spark):
+    rows = [
+        snapshot(item_id="A", name="  Laptop X  ", brand="  ", category=" Electronics ",
+                 location="", keyword="  Gaming Monitor ", discount=None, reviews=None),
+        snapshot(item_id="B", name="\tTabbed\t", brand="BrandB", price="0", at=at(1)),
+        snapshot(item_id="C", name="C", price="-5", at=at(2)),
+    ]
+    stg = marts.stg_prices(snapshots_df(spark, rows)).collect()
+    assert [r.item_id for r in stg] == ["A"]  # zero and negative prices dropped
+    r = stg[0]
+    assert r.product_name == "Laptop X" and r.brand is None and r.category == "Electronics"
+    assert r.location is None and r.keyword == "gaming monitor"
+    assert r.discount_pct == 0.0 and r.review_count == 0 and r.price_tier == "full_price"
+    assert r.snapshot_date == dt.datetime(2024, 6, 1) and r.snapshot_hour == 10
+    tab = marts.stg_prices(snapshots_df(spark, [snapshot(name="\tTabbed\t")])).first()
+    assert tab.product_name == "\tTabbed\t"  # tabs are not trimmed
