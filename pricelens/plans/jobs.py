@@ -95,3 +95,22 @@ def status(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def latest_snapshot(spark: SparkSession, warehouse: str) -> DataFrame:
     return marts.latest_snapshot(store.read_snapshots(spark, warehouse))
+
+
+def register_views(spark: SparkSession, warehouse: str) -> list[str]:
+    """Expose the warehouse to SQL: temp views over the snapshot table, the
+    staging dataset, the latest snapshot and every written mart, so analyst
+    SQL runs through ``spark.sql``. Mart views carry the partition column
+    ``snapshot_day`` (DATE): filters on it prune whole day partitions."""
+    config.configure(spark)
+    snap = store.read_snapshots(spark, warehouse)
+    views = {"price_snapshots": snap, "stg_prices": marts.stg_prices(snap),
+             "latest_snapshot": marts.latest_snapshot(snap)}
+    for name in MART_NAMES:
+        try:
+            views[name] = store.read_mart(spark, warehouse, name, keep_partition=True)
+        except Exception:  # mart not built yet
+            continue
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

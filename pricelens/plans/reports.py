@@ -23,6 +23,15 @@ def _day(mart: DataFrame, as_of: dt.date | str | None, days: DataFrame | None =
     return (mart if days is None else days).agg(F.max("snapshot_date")).scalar()
 
 
+def _on_day(mart: DataFrame, day: Column) -> Column:
+    """``snapshot_date = day``, plus the partition column when the mart was
+    read with it, so only that day's files are scanned."""
+    cond = c("snapshot_date") == day
+    if "snapshot_day" in mart.columns:
+        cond = cond & (c("snapshot_day") == F.to_date(day))
+    return cond
+
+
 def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT,
                  days: DataFrame | None = None) -> DataFrame:
     """The day's decreases, steepest percent drop first (a top-k report).
@@ -30,7 +39,7 @@ def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT
     Extra sort keys after the percent make the cut at ``limit`` stable.
     """
     day = movers.filter(
-        (c("snapshot_date") == _day(movers, as_of, days)) & (c("price_direction") == "decreased")
+        _on_day(movers, _day(movers, as_of, days)) & (c("price_direction") == "decreased")
     )
     return (
         day.select("product_name", "prev_price", "current_price", "price_change_pct", "item_url")
@@ -41,7 +50,7 @@ def todays_drops(movers: DataFrame, as_of=None, limit: int = config.REPORT_LIMIT
 
 def todays_deals(deals: DataFrame, as_of=None, days: DataFrame | None = None) -> DataFrame:
     """R2: the day's deals in rank order."""
-    day = deals.filter(c("snapshot_date") == _day(deals, as_of, days))
+    day = deals.filter(_on_day(deals, _day(deals, as_of, days)))
     return day.select(
         "deal_rank", "product_name", "category", "current_price", "discount_pct", "is_fresh_drop"
     ).orderBy("deal_rank", "product_name")

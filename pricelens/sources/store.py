@@ -119,6 +119,10 @@ def append_page_counts(counts: DataFrame, warehouse: str, load_id: str) -> None:
     )
 
 
-def read_mart(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+def read_mart(spark: SparkSession, warehouse: str, name: str, keep_partition: bool = False) -> DataFrame:
+    """A mart table; ``keep_partition`` keeps ``snapshot_day`` (DATE) so that
+    day filters on it prune whole partitions."""
     df = spark.read.parquet(path(warehouse, f"marts/{name}"))
-    return df.drop("snapshot_day") if "snapshot_day" in df.columns else df
+    if "snapshot_day" in df.columns and not keep_partition:
+        return df.drop("snapshot_day")
+    return df

@@ -68,3 +68,25 @@ def test_incremental_stream_is_exactly_once(spark, landing, warehouse, tmp_path)
     q2 = start_incremental_load(spark, landing, warehouse, ckpt, keywords=KEYWORDS)
     q2.awaitTermination(180)
     assert store.row_count(spark, warehouse) == first
+
+
+def test_analyst_sql_over_views(spark, landing, warehouse):
+    jobs.run(spark, landing, warehouse, keywords=KEYWORDS)
+    names = jobs.register_views(spark, warehouse)
+    assert {"price_movers", "daily_deals", "category_summary", "stg_prices"} <= set(names)
+    day = spark.sql("SELECT max(snapshot_date) AS d FROM stg_prices").first().d
+    drops = spark.sql(f"""
+        SELECT product_name, prev_price, current_price, price_change_pct, item_url
+        FROM price_movers
+        WHERE snapshot_date = TIMESTAMP '{day}' AND price_direction = 'decreased'
+        ORDER BY price_change_pct ASC LIMIT 10""").collect()
+    assert 0 < len(drops) <= 10
+    assert all(r.price_change_pct < 0 for r in drops)
+    deals = spark.sql(f"""
+        SELECT deal_rank, product_name, category, current_price, discount_pct, is_fresh_drop
+        FROM daily_deals WHERE snapshot_date = TIMESTAMP '{day}' ORDER BY deal_rank""").collect()
+    assert deals and deals[0].deal_rank == 1
+    trend = spark.sql("""
+        SELECT snapshot_date, category, avg_price, median_price
+        FROM category_summary ORDER BY snapshot_date DESC, category""")
+    assert trend.count() == store.read_mart(spark, warehouse, "category_summary").count()
