@@ -56,7 +56,12 @@ def skew_safe_lag(
     stats = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("__cnt"), F.min(t).alias("__t0"), F.max(t).alias("__t1")
     )
-    total = stats.agg(F.sum("__cnt")).scalar()
+    # The total also reads the time span (adding 0, as t0 <= t1), so this
+    # aggregate keeps the same columns as the one under the hot table: the
+    # two are one plan, and AQE computes its shuffle once and reuses it.
+    total = stats.agg(
+        F.sum(F.col("__cnt") + F.when(F.col("__t1") < F.col("__t0"), 1).otherwise(0))
+    ).scalar()
     hot = stats.filter(F.col("__cnt") * n > total).select(
         key, "__t0",
         (F.col("__t1") - F.col("__t0") + 1).cast("double").alias("__span"),
