@@ -66,13 +66,14 @@ def append_snapshots(snapshots: DataFrame, warehouse: str, load_id: str | None =
         *SNAPSHOT_COLUMNS,
         F.to_date("scraped_at").alias("snapshot_day"),
         F.lit(load_id).alias("load_id"),
-    ).observe(obs, F.count(F.lit(1)).alias("rows"))
+    )
     # rebalanced on the day: a backfill spanning many days writes a few files
     # per day instead of one per task and day, and a single large day (the
     # daily load) is split by AQE into advisory-sized tasks
     (
         batch.hint("rebalance", "snapshot_day")
         .sortWithinPartitions("snapshot_day", "item_id")
+        .observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
