@@ -54,3 +54,52 @@ def test_discount_between_zero_and_hundred(spark, pairs):
             assert g == round((orig - cur) * 100 / orig, 2)
         else:
             assert g is None
+
+
+# --- operators against brute force ------------------------------------------
+
+import datetime as dt  # noqa: E402
+
+from helpers import T0, item, page_doc, pages_df  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+from pricelens.operators.ordered import skew_safe_lag  # noqa: E402
+from pricelens.plans import ingest  # noqa: E402
+
+DOC = st.tuples(
+    st.sampled_from(["R1", "R2"]), st.sampled_from(["a", "b"]), st.integers(0, 5),
+    st.sampled_from(["items", "empty", "failed"]),
+)
+
+
+@FEW
+@given(st.lists(DOC, min_size=1, max_size=25), st.integers(1, 4))
+def test_page_prefix_matches_brute_force(spark, docs, cap):
+    rows = []
+    for run, kw, page, kind in docs:
+        items = [item(itemId="X", name="n", price="1", itemUrl="u")] if kind == "items" else []
+        rows.append(page_doc(run, kw, page, items, failed=(kind == "failed")))
+    got = sorted(tuple(r) for r in ingest.page_prefix(pages_df(spark, rows), cap).select("run_id", "keyword", "page").collect())
+    # brute force: walk pages 1..cap per (run, keyword) until a page is absent or empty
+    want = []
+    for run in ("R1", "R2"):
+        for kw in ("a", "b"):
+            good = {p for r, k, p, kind in docs if (r, k) == (run, kw) and kind == "items"}
+            for p in range(1, cap + 1):
+                if p not in good:
+                    break
+                want += [(run, kw, p)] * sum(1 for r, k, q, kind in docs if (r, k, q, kind) == (run, kw, p, "items"))
+    assert got == sorted(want)
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["H", "H", "H", "a", "b", "c"]), st.integers(0, 500), st.integers(1, 9)),
+                min_size=1, max_size=300),
+       st.sampled_from([2, 8, 64, 512]))
+def test_skew_safe_lag_matches_window(spark, rows, parts):
+    data = [(k, T0 + dt.timedelta(seconds=s), i, v) for i, (k, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, t timestamp, i int, v int")
+    w = Window.partitionBy("k").orderBy("t", "i")
+    want = sorted(tuple(r) for r in df.select("i", F.lag("v").over(w).alias("p")).collect())
+    got = sorted(tuple(r) for r in skew_safe_lag(df, "k", ["t", "i"], "v", "p", parts).select("i", "p").collect())
+    assert got == want
