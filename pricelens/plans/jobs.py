@@ -20,19 +20,24 @@ def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
                load_id: str | None = None) -> dict:
     """Validate page documents and append valid records (+ rejects).
 
-    The checked records feed three writes; they are persisted (memory, then
-    disk) for the duration of the load so the parse runs once. A lost block is
-    recomputed from the landed files.
+    Lines that are not page documents are kept in ``raw/malformed_pages``
+    and counted. The parsed pages and the checked records feed four writes;
+    both are persisted (memory, then disk) for the duration of the load so the
+    JSON is parsed and checked once. A lost block is recomputed from the
+    landed files.
     """
     load_id = load_id or store.new_load_id()
+    pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
     checked = ingest.ingest(pages, keywords, max_pages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         written = store.append_snapshots(ingest.valid_snapshots(checked), warehouse, load_id)
         store.append_rejects(ingest.rejects(checked), warehouse, load_id)
         store.append_page_counts(ingest.page_counts(checked), warehouse, load_id)
+        bad_lines = store.append_malformed(landed.malformed(pages), warehouse, load_id)
     finally:
         checked.unpersist()
-    return {"load_id": load_id, "appended": written}
+        pages.unpersist()
+    return {"load_id": load_id, "appended": written, "malformed_pages": bad_lines}
 
 
 def run(spark: SparkSession, landed_dir: str, warehouse: str,

@@ -9,18 +9,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelens.schema import PAGE
 
+CORRUPT = "_corrupt_record"
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "columnNameOfCorruptRecord": CORRUPT,
 }
+PAGE_WITH_CORRUPT = T.StructType(PAGE.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page documents from a landing folder of JSON-lines files."""
-    return spark.read.schema(PAGE).options(**JSON_OPTIONS).json(path)
+    """Page documents from a landing folder of JSON-lines files.
+
+    A line that is not a page document keeps its text in ``_corrupt_record``
+    (its other columns are NULL, so it yields no listings); see ``malformed``.
+    """
+    return spark.read.schema(PAGE_WITH_CORRUPT).options(**JSON_OPTIONS).json(path)
+
+
+def malformed(pages: DataFrame) -> DataFrame:
+    """Landed lines that could not be read as page documents."""
+    if CORRUPT not in pages.columns:
+        return pages.sparkSession.createDataFrame([], T.StructType([T.StructField("line", T.StringType())]))
+    # read together with another column: a scan of the corrupt column alone
+    # is refused by the JSON source (it would re-parse nothing else)
+    line = F.coalesce(F.col(CORRUPT), F.col("run_id")).alias("line")
+    return pages.filter(F.col(CORRUPT).isNotNull()).select(line)
 
 
 def parse_pages(text: DataFrame, column: str = "value") -> DataFrame:

@@ -28,6 +28,7 @@ from pricelens.schema import SNAPSHOT, SNAPSHOT_COLUMNS
 RAW_TABLE = "raw/price_snapshots"
 REJECTS_TABLE = "raw/rejects"
 PAGE_COUNTS_TABLE = "raw/page_counts"
+MALFORMED_TABLE = "raw/malformed_pages"
 PARTITIONS = ["snapshot_day", "load_id"]
 
 STORED_SNAPSHOT = T.StructType(
@@ -113,6 +114,20 @@ def write_mart(mart: DataFrame, warehouse: str, name: str) -> None:
         mart.write.mode("overwrite").parquet(target)
 
 
+def append_malformed(lines: DataFrame, warehouse: str, load_id: str) -> int:
+    """Landed lines that were not page documents; returns how many."""
+    obs = Observation(f"malformed_{uuid.uuid4().hex[:8]}")
+    (
+        lines.withColumn("load_id", F.lit(load_id))
+        .observe(obs, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("load_id")
+        .parquet(path(warehouse, MALFORMED_TABLE))
+    )
+    return int(obs.get.get("rows", 0) or 0)
+
+
 def append_page_counts(counts: DataFrame, warehouse: str, load_id: str) -> None:
     """V5: per-page valid/rejected counts of a load (the load log)."""
     (

@@ -19,12 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pricelens import config
 from pricelens.plans import jobs
-from pricelens.schema import PAGE
 from pricelens.sources import landed, store
 
 
 def landing_stream(spark: SparkSession, landed_dir: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(PAGE).options(**landed.JSON_OPTIONS)
+    reader = spark.readStream.schema(landed.PAGE_WITH_CORRUPT).options(**landed.JSON_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.json(landed_dir)

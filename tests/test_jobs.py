@@ -90,3 +90,13 @@ def test_analyst_sql_over_views(spark, landing, warehouse):
         SELECT snapshot_date, category, avg_price, median_price
         FROM category_summary ORDER BY snapshot_date DESC, category""")
     assert trend.count() == store.read_mart(spark, warehouse, "category_summary").count()
+
+
+def test_malformed_lines_are_kept_and_counted(spark, landing, warehouse):
+    with open(os.path.join(landing, "part-bad.txt"), "w") as fh:
+        fh.write("{not json\n")
+        fh.write("plain text line\n")
+    result = jobs.run(spark, landing, warehouse, keywords=KEYWORDS, transforms=False)
+    assert result["malformed_pages"] == 2 and result["appended"] > 0
+    bad = spark.read.parquet(os.path.join(warehouse, "raw", "malformed_pages")).collect()
+    assert sorted(r.line for r in bad) == ["plain text line", "{not json"]
