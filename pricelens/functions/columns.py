@@ -89,7 +89,9 @@ def cents(c: Column | str) -> Column:
 
 
 def median_price(c: Column | str) -> Column:
-    """Exact 0.5 continuous percentile over integer cents, back to units.
+    """Exact 0.5 continuous percentile over integer cents, back to units, as
+    one aggregate expression (the marts use the distributed
+    ``operators.exact_median``, which gives the same value).
 
     A half cent is exact in DOUBLE, so the result does not depend on how the
     engine interpolates; half cents round up.

@@ -126,3 +126,85 @@ def rank_top_k(
     w = Window.partitionBy(*partition).orderBy(*order)
     ranked = df.withColumn(out, F.rank().over(w))
     return ranked.filter(F.col(out) <= k).withColumn(out, F.col(out).cast("bigint"))
+
+
+def exact_median(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column | str,
+    out: str,
+    num_parts: int | None = None,
+) -> DataFrame:
+    """Exact 0.5 continuous percentile of an integral ``value`` per ``keys``
+    group, as the mean of the two middle values (one row per group).
+
+    A ``percentile`` aggregate merges every distinct value of a group in one
+    task. Here no task holds more than about an average partition:
+
+    1. value frequencies per (group, value), combined map-side;
+    2. per group: rows, distinct values and value span (one row per group);
+       a group is *hot* when it has more distinct values than an average
+       partition of the frequency table, so fewer than ``num_parts`` are
+       and the hot table is broadcast;
+    3. a hot group is cut into value-range chunks; running counts are taken
+       per (group, chunk) and each chunk is offset by the rows of the chunks
+       below it (a table of at most ``2 * num_parts`` rows, broadcast);
+    4. the values at the two middle positions are picked with an aggregate.
+    """
+    n = _num_parts(df, num_parts)
+    v = F.col(value) if isinstance(value, str) else value
+    chunk, f = "__med_chunk", "__med_f"
+    freq = df.select(*keys, v.cast("long").alias("__v")).filter(F.col("__v").isNotNull()) \
+        .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias(f))
+
+    groups = freq.groupBy(*keys).agg(
+        F.sum(f).alias("__rows"), F.count(F.lit(1)).alias("__distinct"),
+        F.min("__v").alias("__v0"), F.max("__v").alias("__v1"),
+    )
+    # reads every column of ``groups`` so it is the same plan (see skew_safe_lag)
+    total = groups.agg(
+        F.sum(F.col("__distinct") + F.when(F.col("__v1") < F.col("__v0"), 1).otherwise(0)
+              + F.when(F.col("__rows") < 0, 1).otherwise(0))
+    ).scalar()
+    hot = groups.filter(F.col("__distinct") * n > total).select(
+        *keys, "__rows", "__v0",
+        (F.col("__v1") - F.col("__v0") + 1).cast("double").alias("__span"),
+        F.ceil(F.col("__distinct") * n / total).cast("double").alias("__pieces"),
+    )
+    chunk_of = F.coalesce(
+        F.floor((F.col("__v") - F.col("__v0")).cast("double") * F.col("__pieces") / F.col("__span")),
+        F.lit(0),
+    ).cast("long")
+
+    tagged = freq.join(F.broadcast(hot), on=list(keys), how="left").select(
+        *keys, "__v", f, F.col("__rows").alias("__hot_rows"), chunk_of.alias(chunk)
+    )
+    w_run = Window.partitionBy(*keys, chunk).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    w_all = Window.partitionBy(*keys, chunk)
+    local = tagged.select(
+        *keys, "__v", f, chunk,
+        F.sum(f).over(w_run).alias("__cum"),
+        F.coalesce(F.col("__hot_rows"), F.sum(f).over(w_all)).alias("__rows"),
+    )
+
+    # rows below each chunk of a hot group
+    chunk_rows = (
+        freq.join(F.broadcast(hot), on=list(keys), how="inner")
+        .groupBy(*[F.col(k) for k in keys], chunk_of.alias(chunk))
+        .agg(F.sum(f).alias("__chunk_rows"))
+    )
+    below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunk_rows.select(
+        *keys, chunk, F.coalesce(F.sum("__chunk_rows").over(below), F.lit(0)).alias("__offset")
+    )
+
+    placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
+    last = F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__cum")  # 1-based last position of the value
+    first = last - F.col(f) + 1
+    lo = F.floor((F.col("__rows") - 1) / 2) + 1
+    hi = F.floor(F.col("__rows") / 2) + 1
+    picked = placed.groupBy(*keys).agg(
+        F.max(F.when((first <= lo) & (lo <= last), F.col("__v"))).alias("__lo"),
+        F.max(F.when((first <= hi) & (hi <= last), F.col("__v"))).alias("__hi"),
+    )
+    return picked.select(*keys, ((F.col("__lo") + F.col("__hi")) / 2).alias(out))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 from pricelens.functions import columns as X
-from pricelens.operators.ordered import skew_safe_lag, latest_by, rank_top_k
+from pricelens.operators.ordered import exact_median, latest_by, rank_top_k, skew_safe_lag
 from pricelens.schema import (
     CATEGORY_COLUMNS,
     DEALS_COLUMNS,
@@ -91,22 +91,24 @@ def price_movers(history: DataFrame, top_k: int = config.MOVERS_TOP_K) -> DataFr
     return ranked.select(*MOVERS_COLUMNS)
 
 
-def category_summary(stg: DataFrame) -> DataFrame:
+CATEGORY_KEYS = ["snapshot_date", "category", "keyword"]
+
+
+def category_summary(stg: DataFrame, num_parts: int | None = None) -> DataFrame:
     """M4: price statistics per (day, category, keyword).
 
     Averages are exact decimal sums divided once; the median is the exact
-    0.5 percentile over cents. Everything but ``unique_items`` counts
+    0.5 percentile over cents, computed by ``exact_median`` so that no task
+    gathers a whole group's values. Everything but ``unique_items`` counts
     snapshots, so an item captured twice weighs twice.
     """
     base = stg.filter(c("category").isNotNull())
-    return base.groupBy("snapshot_date", "category", "keyword").agg(
+    stats = base.groupBy(*CATEGORY_KEYS).agg(
         # The FILTER clause (a no-op: distinct counts skip NULLs) makes Spark
         # plan the distinct count with an Expand rewrite, so the other
-        # aggregates, the median buffer above all, are kept per group rather
-        # than per (group, item): no value map per input row in the shuffle.
+        # aggregates keep one partial per group rather than per (group, item).
         F.expr("count(DISTINCT item_id) FILTER (WHERE item_id IS NOT NULL)").alias("unique_items"),
         X.round2(X.exact_avg("current_price", 2)).alias("avg_price"),
-        X.median_price("current_price").alias("median_price"),
         F.min("current_price").alias("min_price"),
         F.max("current_price").alias("max_price"),
         X.round2(X.exact_avg("discount_pct", 2)).alias("avg_discount_pct"),
@@ -114,7 +116,16 @@ def category_summary(stg: DataFrame) -> DataFrame:
         F.count_if(c("price_tier") == "on_sale").alias("on_sale_count"),
         X.round2(X.exact_avg(X.nan_to_null("rating"), 6)).alias("avg_rating"),
         F.sum("review_count").cast("bigint").alias("total_reviews"),
-    ).select(*CATEGORY_COLUMNS)
+    )
+    med = exact_median(base, CATEGORY_KEYS, X.cents("current_price"), "median_cents", num_parts)
+    med = med.select(*[c(k).alias(f"__m_{k}") for k in CATEGORY_KEYS], "median_cents")
+    cond = None
+    for k in CATEGORY_KEYS:
+        eq = stats[k].eqNullSafe(med[f"__m_{k}"])
+        cond = eq if cond is None else cond & eq
+    joined = stats.join(med, on=cond, how="left")
+    # half cents round up (see functions.columns.median_price)
+    return joined.withColumn("median_price", F.round(c("median_cents")) / 100).select(*CATEGORY_COLUMNS)
 
 
 # Deterministic order among snapshots of one item and day captured at the same

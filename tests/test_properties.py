@@ -103,3 +103,16 @@ def test_skew_safe_lag_matches_window(spark, rows, parts):
     want = sorted(tuple(r) for r in df.select("i", F.lag("v").over(w).alias("p")).collect())
     got = sorted(tuple(r) for r in skew_safe_lag(df, "k", ["t", "i"], "v", "p", parts).select("i", "p").collect())
     assert got == want
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["H", "H", "H", "H", "a", "b"]), st.integers(-50, 10**6)),
+                min_size=1, max_size=400),
+       st.sampled_from([2, 16, 256]))
+def test_exact_median_matches_percentile(spark, rows, parts):
+    from pricelens.operators.ordered import exact_median
+
+    df = spark.createDataFrame(rows, "g string, v long")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", parts).collect()}
+    assert got == want
