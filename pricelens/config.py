@@ -44,8 +44,9 @@ CURRENCY_SIGN = "₱"  # ₱
 # ---------------------------------------------------------------------------
 # Engine settings
 # ---------------------------------------------------------------------------
-# Largest dimension (rows) we accept to broadcast after a runtime count.
-BROADCAST_MAX_ROWS = 1_000_000
+# A key is split over several tasks only when it holds more rows than an
+# average shuffle partition and more than this (smaller keys fit one task).
+HOT_KEY_MIN_ROWS = 1_000_000
 
 
 def configure(spark: SparkSession) -> SparkSession:

@@ -10,11 +10,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelens import config
+
 
 def _num_parts(df: DataFrame, num_parts: int | None) -> int:
     if num_parts:
@@ -22,6 +25,45 @@ def _num_parts(df: DataFrame, num_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], n: int,
+              min_rows: int = config.HOT_KEY_MIN_ROWS) -> tuple[DataFrame | None, int]:
+    """Keys holding more than an average partition of ``df`` (``total / n``
+    rows) and more than ``min_rows`` (smaller keys are not worth splitting),
+    and the number of ranges their rows need.
+
+    One small job: per-key counts (map-side combined), filtered against the
+    total in a scalar subquery. Fewer than ``n`` keys can pass, so at most
+    ``n`` key rows reach the driver, where they become a broadcastable table.
+    Returns ``(None, 0)`` when no key is hot.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    total = counts.agg(F.sum("__cnt")).scalar()
+    hot_rows = counts.filter((F.col("__cnt") * n > total) & (F.col("__cnt") > min_rows)).select(
+        *keys, "__cnt", total.alias("__total")
+    ).collect()
+    if not hot_rows:
+        return None, 0
+    spark = df.sparkSession
+    hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot_rows], df.select(*keys).schema)
+    hot_total = sum(r["__cnt"] for r in hot_rows)
+    per_range = max(hot_rows[0]["__total"] / n, min_rows)
+    ranges = max(1, math.ceil(hot_total / per_range))
+    return F.broadcast(hot), ranges
+
+
+def _ranged(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int, chunk: str) -> DataFrame:
+    """Range-partition ``rows`` on (keys, order) into ``ranges`` parts and tag
+    each row with its range index.
+
+    The bounds come from a seeded sample, so a hot key is cut into balanced
+    contiguous pieces whatever its value distribution (outliers, equal
+    timestamps), and a recomputation assigns the same ranges. An explicit
+    range count is never coalesced by AQE, so the index is the range.
+    """
+    cols = [F.col(k) for k in keys] + [F.col(c) for c in order]
+    return rows.repartitionByRange(ranges, *cols).withColumn(chunk, F.spark_partition_id().cast("long"))
+
+
 def skew_safe_lag(
     df: DataFrame,
     key: str,
@@ -29,70 +71,52 @@ def skew_safe_lag(
     value: str,
     out: str,
     num_parts: int | None = None,
+    min_rows: int = config.HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
     """Add ``out = lag(value, 1) over (partition by key order by order)``.
 
-    ``order[0]`` must be a timestamp. A plain window sends every row of a key
-    to one task, so a key holding a third of the data would run in a single
-    task. Here:
-
-    1. per-key counts and time spans come from an aggregate with map-side
-       combine (one small row per key);
-    2. a key is *hot* when it holds more than an average partition
-       (``total / num_parts`` rows). Fewer than ``num_parts`` keys can, so the
-       hot table has a proven bound and is broadcast;
-    3. each hot key is cut into about ``count * num_parts / total`` chunks of
-       equal capture-time width; other keys are one chunk. The window runs
-       per (key, chunk): one shuffle, no task larger than about an average
-       partition unless a hot key's rows share one capture instant;
-    4. the first row of a later chunk takes the last value of the previous
-       non-empty chunk of its key. That carry table has at most
-       ``2 * num_parts`` rows (chunks of hot keys) and is broadcast.
+    A plain window sends every row of a key to one task, so a key holding a
+    third of the data would run in a single task. Here:
+
+    1. keys holding more than an average partition are *hot* (``_hot_keys``:
+       fewer than ``num_parts``, found by one small job); with none, this is
+       a plain window (one shuffle);
+    2. rows of other keys keep one chunk per key;
+    3. rows of hot keys are range-partitioned on (key, order) into balanced
+       contiguous chunks, about one average partition each (``_ranged``),
+       then windowed per (key, chunk) together with the other rows;
+    4. the first row of a chunk takes the last value of the previous chunk
+       of its key, from a table of one row per range (broadcast).
     """
     n = _num_parts(df, num_parts)
     chunk, first, carry = "__lag_chunk", "__lag_first", "__lag_carry"
-    t = F.unix_micros(F.col(order[0]))
+    order_cols = [F.col(c) for c in order]
+    hot, ranges = _hot_keys(df, [key], n, min_rows)
+    if hot is None:  # no hot key: a plain window, one shuffle
+        return df.withColumn(out, F.lag(F.col(value)).over(Window.partitionBy(key).orderBy(*order_cols)))
 
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("__cnt"), F.min(t).alias("__t0"), F.max(t).alias("__t1")
-    )
-    # The total also reads the time span (adding 0, as t0 <= t1), so this
-    # aggregate keeps the same columns as the one under the hot table: the
-    # two are one plan, and AQE computes its shuffle once and reuses it.
-    total = stats.agg(
-        F.sum(F.col("__cnt") + F.when(F.col("__t1") < F.col("__t0"), 1).otherwise(0))
-    ).scalar()
-    hot = stats.filter(F.col("__cnt") * n > total).select(
-        key, "__t0",
-        (F.col("__t1") - F.col("__t0") + 1).cast("double").alias("__span"),
-        F.ceil(F.col("__cnt") * n / total).cast("double").alias("__pieces"),
-    )
-    chunk_of = F.coalesce(
-        F.floor((t - F.col("__t0")).cast("double") * F.col("__pieces") / F.col("__span")),
-        F.lit(0),
-    ).cast("long")
-
-    cols = [F.col(n) for n in df.columns]
-    main = df.join(F.broadcast(hot), on=key, how="left").select(*cols, chunk_of.alias(chunk))
-    w = Window.partitionBy(key, chunk).orderBy(*[F.col(c) for c in order])
-    within = main.select(
+    cold_rows = df.join(hot, on=key, how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
+    hot_rows = _ranged(df.join(hot, on=key, how="left_semi"), [key], order, ranges, chunk)
+
+    w = Window.partitionBy(key, chunk).orderBy(*order_cols)
+    within = cold_rows.unionByName(hot_rows).select(
         "*", F.lag(F.col(value)).over(w).alias(out), (F.row_number().over(w) == 1).alias(first)
     )
 
-    # last value of every chunk of a hot key, moved onto the next chunk
+    # Last row of each hot chunk, moved onto the next chunk of the key. The
+    # aggregate reads every column, as the window branch does, so both read
+    # one range shuffle (reused) rather than two.
     sort_key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order, value])])
-    tails = (
-        df.join(F.broadcast(hot), on=key, how="inner")
-        .groupBy(F.col(key), chunk_of.alias(chunk))
-        .agg(F.max_by(F.col(value), sort_key).alias("__tail"))
-    )
+    whole = F.struct(*[F.col(c) for c in df.columns])
+    tails = hot_rows.groupBy(key, chunk).agg(F.max_by(whole, sort_key).alias("__tail"))
     carries = tails.select(
-        key, chunk, F.lag("__tail").over(Window.partitionBy(key).orderBy(chunk)).alias(carry)
+        key, chunk,
+        F.lag(F.col("__tail")[value]).over(Window.partitionBy(key).orderBy(chunk)).alias(carry),
     )
 
     joined = within.join(F.broadcast(carries), on=[key, chunk], how="left")
     fixed = F.when(F.col(first), F.col(carry)).otherwise(F.col(out))
-    return joined.select(*[F.col(n) for n in df.columns], fixed.alias(out))
+    return joined.select(*[F.col(n_) for n_ in df.columns], fixed.alias(out))
 
 
 def latest_by(
@@ -134,6 +158,7 @@ def exact_median(
     value: Column | str,
     out: str,
     num_parts: int | None = None,
+    min_rows: int = config.HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
     """Exact 0.5 continuous percentile of an integral ``value`` per ``keys``
     group, as the mean of the two middle values (one row per group).
@@ -142,13 +167,11 @@ def exact_median(
     task. Here no task holds more than about an average partition:
 
     1. value frequencies per (group, value), combined map-side;
-    2. per group: rows, distinct values and value span (one row per group);
-       a group is *hot* when it has more distinct values than an average
-       partition of the frequency table, so fewer than ``num_parts`` are
-       and the hot table is broadcast;
-    3. a hot group is cut into value-range chunks; running counts are taken
-       per (group, chunk) and each chunk is offset by the rows of the chunks
-       below it (a table of at most ``2 * num_parts`` rows, broadcast);
+    2. groups with more distinct values than an average partition of that
+       table are *hot* (fewer than ``num_parts``, broadcast);
+    3. running counts are taken per group, or for a hot group per balanced
+       value range (``_ranged``); each range is offset by the rows of the
+       ranges below it (one row per range, broadcast);
     4. the values at the two middle positions are picked with an aggregate.
     """
     n = _num_parts(df, num_parts)
@@ -156,49 +179,35 @@ def exact_median(
     chunk, f = "__med_chunk", "__med_f"
     freq = df.select(*keys, v.cast("long").alias("__v")).filter(F.col("__v").isNotNull()) \
         .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias(f))
+    hot, ranges = _hot_keys(freq, keys, n, min_rows)
+    if hot is None:
+        cold = freq.withColumn(chunk, F.lit(-1).cast("long"))
+        ranged = None
+        rows = cold
+    else:
+        cold = freq.join(hot, on=list(keys), how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
+        ranged = _ranged(freq.join(hot, on=list(keys), how="left_semi"), keys, ["__v"], ranges, chunk)
+        rows = cold.unionByName(ranged)
 
-    groups = freq.groupBy(*keys).agg(
-        F.sum(f).alias("__rows"), F.count(F.lit(1)).alias("__distinct"),
-        F.min("__v").alias("__v0"), F.max("__v").alias("__v1"),
-    )
-    # reads every column of ``groups`` so it is the same plan (see skew_safe_lag)
-    total = groups.agg(
-        F.sum(F.col("__distinct") + F.when(F.col("__v1") < F.col("__v0"), 1).otherwise(0)
-              + F.when(F.col("__rows") < 0, 1).otherwise(0))
-    ).scalar()
-    hot = groups.filter(F.col("__distinct") * n > total).select(
-        *keys, "__rows", "__v0",
-        (F.col("__v1") - F.col("__v0") + 1).cast("double").alias("__span"),
-        F.ceil(F.col("__distinct") * n / total).cast("double").alias("__pieces"),
-    )
-    chunk_of = F.coalesce(
-        F.floor((F.col("__v") - F.col("__v0")).cast("double") * F.col("__pieces") / F.col("__span")),
-        F.lit(0),
-    ).cast("long")
-
-    tagged = freq.join(F.broadcast(hot), on=list(keys), how="left").select(
-        *keys, "__v", f, F.col("__rows").alias("__hot_rows"), chunk_of.alias(chunk)
-    )
     w_run = Window.partitionBy(*keys, chunk).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys, chunk)
-    local = tagged.select(
-        *keys, "__v", f, chunk,
-        F.sum(f).over(w_run).alias("__cum"),
-        F.coalesce(F.col("__hot_rows"), F.sum(f).over(w_all)).alias("__rows"),
-    )
-
-    # rows below each chunk of a hot group
-    chunk_rows = (
-        freq.join(F.broadcast(hot), on=list(keys), how="inner")
-        .groupBy(*[F.col(k) for k in keys], chunk_of.alias(chunk))
-        .agg(F.sum(f).alias("__chunk_rows"))
-    )
-    below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunk_rows.select(
-        *keys, chunk, F.coalesce(F.sum("__chunk_rows").over(below), F.lit(0)).alias("__offset")
-    )
+    local = rows.select(*keys, "__v", f, chunk, F.sum(f).over(w_run).alias("__cum"))
+
+    # per hot range: rows below it and rows of the whole group; cold groups
+    # are one chunk, whose total is the group's row count
+    group_rows = F.sum(f).over(Window.partitionBy(*keys, chunk))
+    if ranged is None:
+        placed = local.select("*", F.lit(None).cast("long").alias("__offset"), group_rows.alias("__rows"))
+    else:
+        range_rows = ranged.groupBy(*keys, chunk).agg(F.sum(f).alias("__rr"))
+        below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = range_rows.select(
+            *keys, chunk,
+            F.coalesce(F.sum("__rr").over(below), F.lit(0)).alias("__offset"),
+            F.sum("__rr").over(Window.partitionBy(*keys)).alias("__hot_rows"),
+        )
+        placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
+        placed = placed.select("*", F.coalesce(F.col("__hot_rows"), group_rows).alias("__rows"))
 
-    placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
     last = F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__cum")  # 1-based last position of the value
     first = last - F.col(f) + 1
     lo = F.floor((F.col("__rows") - 1) / 2) + 1

@@ -57,7 +57,8 @@ def stg_prices(snapshots: DataFrame) -> DataFrame:
     ).select(*STG_COLUMNS)
 
 
-def price_history(stg: DataFrame, num_parts: int | None = None) -> DataFrame:
+def price_history(stg: DataFrame, num_parts: int | None = None,
+                  min_rows: int = config.HOT_KEY_MIN_ROWS) -> DataFrame:
     """M2: every snapshot with its change versus the item's previous snapshot.
 
     ``lag`` spans keywords and days (partition is the item only) and uses
@@ -65,7 +66,7 @@ def price_history(stg: DataFrame, num_parts: int | None = None) -> DataFrame:
     """
     lagged = skew_safe_lag(
         stg, key="item_id", order=["scraped_at", *STG_TIE], value="current_price",
-        out="prev_price", num_parts=num_parts,
+        out="prev_price", num_parts=num_parts, min_rows=min_rows,
     )
     changed = lagged.withColumn("price_change_abs", c("current_price") - c("prev_price"))
     return changed.select(
@@ -94,7 +95,8 @@ def price_movers(history: DataFrame, top_k: int = config.MOVERS_TOP_K) -> DataFr
 CATEGORY_KEYS = ["snapshot_date", "category", "keyword"]
 
 
-def category_summary(stg: DataFrame, num_parts: int | None = None) -> DataFrame:
+def category_summary(stg: DataFrame, num_parts: int | None = None,
+                     min_rows: int = config.HOT_KEY_MIN_ROWS) -> DataFrame:
     """M4: price statistics per (day, category, keyword).
 
     Averages are exact decimal sums divided once; the median is the exact
@@ -117,7 +119,7 @@ def category_summary(stg: DataFrame, num_parts: int | None = None) -> DataFrame:
         X.round2(X.exact_avg(X.nan_to_null("rating"), 6)).alias("avg_rating"),
         F.sum("review_count").cast("bigint").alias("total_reviews"),
     )
-    med = exact_median(base, CATEGORY_KEYS, X.cents("current_price"), "median_cents", num_parts)
+    med = exact_median(base, CATEGORY_KEYS, X.cents("current_price"), "median_cents", num_parts, min_rows)
     med = med.select(*[c(k).alias(f"__m_{k}") for k in CATEGORY_KEYS], "median_cents")
     cond = None
     for k in CATEGORY_KEYS:
