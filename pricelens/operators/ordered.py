@@ -168,7 +168,9 @@ def exact_median(
 
     1. value frequencies per (group, value), combined map-side;
     2. groups with more distinct values than an average partition of that
-       table are *hot* (fewer than ``num_parts``, broadcast);
+       table are *hot* (fewer than ``num_parts``, broadcast); with none, a
+       weighted ``percentile`` over the frequencies finishes it (each group's
+       buffer is bounded by the same average partition);
     3. running counts are taken per group, or for a hot group per balanced
        value range (``_ranged``); each range is offset by the rows of the
        ranges below it (one row per range, broadcast);
@@ -181,13 +183,13 @@ def exact_median(
         .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias(f))
     hot, ranges = _hot_keys(freq, keys, n, min_rows)
     if hot is None:
-        cold = freq.withColumn(chunk, F.lit(-1).cast("long"))
-        ranged = None
-        rows = cold
-    else:
-        cold = freq.join(hot, on=list(keys), how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
-        ranged = _ranged(freq.join(hot, on=list(keys), how="left_semi"), keys, ["__v"], ranges, chunk)
-        rows = cold.unionByName(ranged)
+        # No hot group: every group has at most an average partition (or
+        # ``min_rows``) of distinct values, so one weighted percentile over the
+        # frequency table keeps a bounded buffer per group.
+        return freq.groupBy(*keys).agg(F.percentile("__v", F.lit(0.5), F.col(f)).alias(out))
+    cold = freq.join(hot, on=list(keys), how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
+    ranged = _ranged(freq.join(hot, on=list(keys), how="left_semi"), keys, ["__v"], ranges, chunk)
+    rows = cold.unionByName(ranged)
 
     w_run = Window.partitionBy(*keys, chunk).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select(*keys, "__v", f, chunk, F.sum(f).over(w_run).alias("__cum"))
@@ -195,18 +197,15 @@ def exact_median(
     # per hot range: rows below it and rows of the whole group; cold groups
     # are one chunk, whose total is the group's row count
     group_rows = F.sum(f).over(Window.partitionBy(*keys, chunk))
-    if ranged is None:
-        placed = local.select("*", F.lit(None).cast("long").alias("__offset"), group_rows.alias("__rows"))
-    else:
-        range_rows = ranged.groupBy(*keys, chunk).agg(F.sum(f).alias("__rr"))
-        below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = range_rows.select(
-            *keys, chunk,
-            F.coalesce(F.sum("__rr").over(below), F.lit(0)).alias("__offset"),
-            F.sum("__rr").over(Window.partitionBy(*keys)).alias("__hot_rows"),
-        )
-        placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
-        placed = placed.select("*", F.coalesce(F.col("__hot_rows"), group_rows).alias("__rows"))
+    range_rows = ranged.groupBy(*keys, chunk).agg(F.sum(f).alias("__rr"))
+    below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = range_rows.select(
+        *keys, chunk,
+        F.coalesce(F.sum("__rr").over(below), F.lit(0)).alias("__offset"),
+        F.sum("__rr").over(Window.partitionBy(*keys)).alias("__hot_rows"),
+    )
+    placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
+    placed = placed.select("*", F.coalesce(F.col("__hot_rows"), group_rows).alias("__rows"))
 
     last = F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__cum")  # 1-based last position of the value
     first = last - F.col(f) + 1
