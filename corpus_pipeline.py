@@ -11,8 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens import config
-from pricelens.llm import lines, mixing, simhash
+from pricelens.llm import bpe, langid, lines, mixing, simhash
 from pricelens.llm.common import read_table, staged, unpacked
+from pricelens.llm.queries import BYTE_VOCABULARY, tokenizer_path
+
+#: A text whose n-grams stand less close than this to every profile is in no known language.
+MIN_SCORE = 0.2
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in one of the learned languages."""
+    out = langid.identify(docs)
+    return unpacked(out.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +45,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return unpacked(mixing.mix(docs))
 
 
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every row's text, and whether they decode to it again."""
+    path = tokenizer_path(BYTE_VOCABULARY)
+    out = bpe.decode(bpe.encode(docs, path), path)
+    return unpacked(out.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
+        "round_trip", F.col("decoded") == F.coalesce("row.text", F.lit(""))), "n_tokens", "ids", "round_trip")
+
+
 STAGES = [
+    ("language_id", language_id),
     ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_dedup),
     ("source_mixing", mix_sources),
+    ("bpe_tokens", bpe_tokens),
 ]
 
 #: SQL cannot express profiles, bit distances and BPE merges.

@@ -11,9 +11,19 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 
-from . import embeddings, lines, mixing, simhash
+from . import bpe, embeddings, langid, lines, mixing, simhash, tokens
 from .common import read_table
 
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     config.configure(spark)
@@ -30,6 +40,25 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(_documents(spark, sf_dir))
+    return out.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = tokens.write_tokens(_documents(spark, sf_dir), tokenizer_path(WORD_VOCABULARY))
+    out = tokens.read_tokens(shards)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(BYTE_VOCABULARY)
+    out = bpe.decode(bpe.encode(_documents(spark, sf_dir), path, carry=["doc_id"]), path)
+    return out.select("row.doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_groups(_documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -45,6 +74,9 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op4_language_id": op4_language_id,
+    "op6_token_files": op6_token_files,
+    "op7_bpe_codec": op7_bpe_codec,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
