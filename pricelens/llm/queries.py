@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 
-from . import bpe, embeddings, langid, lines, mixing, simhash, tokens
+from . import bpe, embeddings, langid, lines, mixing, quality, secrets, simhash, tokens
 from .common import read_table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -45,6 +45,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan_secrets(_documents(spark, sf_dir))
+    counts = [secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return out.select("row.doc_id", *counts, F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+                      secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = tokens.write_tokens(_documents(spark, sf_dir), tokenizer_path(WORD_VOCABULARY))
     out = tokens.read_tokens(shards)
@@ -65,6 +72,12 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_rules(_documents(spark, sf_dir))
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_copies(_documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -75,8 +88,10 @@ QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op4_language_id": op4_language_id,
+    "op5_secret_scan": op5_secret_scan,
     "op6_token_files": op6_token_files,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
