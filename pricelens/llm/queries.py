@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 
-from . import bpe, embeddings, langid, lines, mixing, quality, secrets, simhash, tokens
+from . import bpe, embeddings, langid, lines, mixing, quality, repeats, secrets, simhash, tokens
 from .common import read_table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -40,6 +40,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.suffix_dedup(_documents(spark, sf_dir))
+    return out.select("row.doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.identify(_documents(spark, sf_dir))
     return out.select("row.doc_id", "held_out", "lang_pred", "score")
@@ -87,6 +93,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_files": op6_token_files,

@@ -66,3 +66,20 @@ def quality_base(text):
     n = len(words)
     return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(repeated),
             n < 20 or 100 * len(repeated) > 30 * n)
+
+
+def suffix_dedup(docs, window=50):
+    """docs: {id: bytes} -> {id: (bytes, removed, spans, kept)}."""
+    first = {}
+    for i in sorted(docs):
+        for a in range(len(docs[i]) - window + 1):
+            first.setdefault(docs[i][a:a + window], i)
+    out = {}
+    for i, b in docs.items():
+        gone = bytearray(len(b))
+        for a in range(len(b) - window + 1):
+            if first[b[a:a + window]] < i:
+                gone[a:a + window] = b"\1" * window
+        spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        out[i] = (len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g))
+    return out
