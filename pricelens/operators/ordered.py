@@ -4,13 +4,12 @@
   without sending a whole hot key to one task.
 * ``latest_by``: one row per group, the one with the greatest ordering key,
   as a ``max_by`` aggregate (map-side combine) instead of a window.
-* ``rank_top_k``: ``rank() <= k`` per group, planned by Spark as a partial
-  (pre-shuffle) plus final ``WindowGroupLimit``.
+* ``rank_top_k``: ``rank() <= k`` per group, from the counts of its order
+  values, so a long tie is never gathered.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,43 +24,67 @@ def _num_parts(df: DataFrame, num_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], n: int,
-              min_rows: int = config.HOT_KEY_MIN_ROWS) -> tuple[DataFrame | None, int]:
-    """Keys holding more than an average partition of ``df`` (``total / n``
-    rows) and more than ``min_rows`` (smaller keys are not worth splitting),
-    and the number of ranges their rows need.
+BOUNDS = "__bounds"
+SAMPLES_PER_RANGE = 64
 
-    One small job: per-key counts (map-side combined), filtered against the
-    total in a scalar subquery. Fewer than ``n`` keys can pass, so at most
-    ``n`` key rows reach the driver, where they become a broadcastable table.
-    Returns ``(None, 0)`` when no key is hot.
+
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``keys`` in ``left`` and ``prefix + key`` in ``right``."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[prefix + k])
+    return cond
+
+
+def _hot_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int,
+                min_rows: int) -> DataFrame | None:
+    """Hot keys (``__h_<key>``) with the bounds of their ranges, as values.
+
+    A key is hot when it holds more rows than an average partition of ``df``
+    (``total / n``) and more than ``min_rows`` (smaller keys fit one task), so
+    fewer than ``n`` keys are. Each is cut into about as many ranges as it
+    holds average partitions; the bounds are ``order`` tuples, picked from a
+    random sample of the key's rows. They are fixed by a checkpoint: whatever
+    the sample, a row's range is a function of the row and of these values,
+    so every use of it agrees. Returns ``None`` when no key is hot.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
     total = counts.agg(F.sum("__cnt")).scalar()
-    hot_rows = counts.filter((F.col("__cnt") * n > total) & (F.col("__cnt") > min_rows)).select(
-        *keys, "__cnt", total.alias("__total")
-    ).collect()
-    if not hot_rows:
-        return None, 0
-    spark = df.sparkSession
-    hot = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot_rows], df.select(*keys).schema)
-    hot_total = sum(r["__cnt"] for r in hot_rows)
-    per_range = max(hot_rows[0]["__total"] / n, min_rows)
-    ranges = max(1, math.ceil(hot_total / per_range))
-    return F.broadcast(hot), ranges
-
-
-def _ranged(rows: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int, chunk: str) -> DataFrame:
-    """Range-partition ``rows`` on (keys, order) into ``ranges`` parts and tag
-    each row with its range index.
-
-    The bounds come from a seeded sample, so a hot key is cut into balanced
-    contiguous pieces whatever its value distribution (outliers, equal
-    timestamps), and a recomputation assigns the same ranges. An explicit
-    range count is never coalesced by AQE, so the index is the range.
-    """
-    cols = [F.col(k) for k in keys] + [F.col(c) for c in order]
-    return rows.repartitionByRange(ranges, *cols).withColumn(chunk, F.spark_partition_id().cast("long"))
+    per_range = F.greatest(total / n, F.lit(float(min_rows)))
+    hot = counts.filter((F.col("__cnt") * n > total) & (F.col("__cnt") > min_rows)).select(
+        *[F.col(k).alias(f"__h_{k}") for k in keys], F.col("__cnt"),
+        F.ceil(F.col("__cnt") / per_range).alias("__ranges"))
+    config.checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint()  # fewer than n rows
+    if hot.isEmpty():
+        return None
+    rows = df.select(*keys, *[F.col(c).alias(f"__o_{c}") for c in order])
+    rows = rows.join(F.broadcast(hot), _match(rows, hot, keys, "__h_"))
+    share = F.col("__ranges") * SAMPLES_PER_RANGE / F.col("__cnt")
+    tuple_ = F.struct(*[F.col(f"__o_{c}").alias(f"o{i}") for i, c in enumerate(order)])
+    sample = rows.filter(F.rand(seed=11) < share).groupBy(*[f"__h_{k}" for k in keys], "__ranges").agg(
+        F.array_sort(F.collect_list(tuple_)).alias("__s"))
+    cut = F.transform(F.sequence(F.lit(1).cast("bigint"), F.greatest(F.col("__ranges") - 1, F.lit(1))),
+                      lambda i: F.get("__s", F.floor(i * F.size("__s") / F.col("__ranges")).cast("int")))
+    return sample.select(*[f"__h_{k}" for k in keys], cut.alias(BOUNDS)).checkpoint()
+
+
+def has_hot_group(df: DataFrame, keys: Sequence[str], num_parts: int | None = None,
+                  min_rows: int = config.HOT_KEY_MIN_ROWS) -> bool:
+    """Does a group hold more rows than an average partition and ``min_rows``? (one narrow scan)"""
+    n = _num_parts(df, num_parts)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
+    worst = counts.agg(F.max("__cnt").alias("m"), F.sum("__cnt").alias("t")).first()
+    return bool(worst["m"]) and worst["m"] * n > worst["t"] and worst["m"] > min_rows
+
+
+def _ranged(df: DataFrame, bounds: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: str) -> DataFrame:
+    """``df`` with each row's range: how many of its key's bounds lie below it
+    (NULL for the rows of other keys). Rows equal in ``order`` stay together."""
+    own = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    joined = df.join(F.broadcast(bounds), _match(df, bounds, keys, "__h_"), "left")
+    below = F.size(F.filter(F.col(BOUNDS), lambda b: b < own))
+    return joined.select(*df.columns, F.when(F.col(BOUNDS).isNotNull(), below).cast("long").alias(chunk))
 
 
 def skew_safe_lag(
@@ -78,45 +101,38 @@ def skew_safe_lag(
     A plain window sends every row of a key to one task, so a key holding a
     third of the data would run in a single task. Here:
 
-    1. keys holding more than an average partition are *hot* (``_hot_keys``:
-       fewer than ``num_parts``, found by one small job); with none, this is
-       a plain window (one shuffle);
-    2. rows of other keys keep one chunk per key;
-    3. rows of hot keys are range-partitioned on (key, order) into balanced
-       contiguous chunks, about one average partition each (``_ranged``),
-       then windowed per (key, chunk) together with the other rows;
-    4. the first row of a chunk takes the last value of the previous chunk
-       of its key, from a table of one row per range (broadcast).
+    1. hot keys and the bounds of their ranges come from ``_hot_bounds``
+       (fewer than ``num_parts`` rows); with none, this is a plain window;
+    2. every row gets its range from those values, and one window runs per
+       (key, range): one shuffle;
+    3. the first row of a range takes the last value of the range before it,
+       from a table of one row per range (broadcast).
     """
     n = _num_parts(df, num_parts)
     chunk, first, carry = "__lag_chunk", "__lag_first", "__lag_carry"
     order_cols = [F.col(c) for c in order]
-    hot, ranges = _hot_keys(df, [key], n, min_rows)
-    if hot is None:  # no hot key: a plain window, one shuffle
+    bounds = _hot_bounds(df, [key], order, n, min_rows)
+    if bounds is None:  # no hot key: a plain window, one shuffle
         return df.withColumn(out, F.lag(F.col(value)).over(Window.partitionBy(key).orderBy(*order_cols)))
 
-    cold_rows = df.join(hot, on=key, how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
-    hot_rows = _ranged(df.join(hot, on=key, how="left_semi"), [key], order, ranges, chunk)
-
+    rows = _ranged(df, bounds, [key], order, chunk)
     w = Window.partitionBy(key, chunk).orderBy(*order_cols)
-    within = cold_rows.unionByName(hot_rows).select(
-        "*", F.lag(F.col(value)).over(w).alias(out), (F.row_number().over(w) == 1).alias(first)
-    )
+    within = rows.select(
+        "*", F.lag(F.col(value)).over(w).alias(out),
+        (F.col(chunk).isNotNull() & (F.row_number().over(w) == 1)).alias(first))
 
-    # Last row of each hot chunk, moved onto the next chunk of the key. The
-    # aggregate reads every column, as the window branch does, so both read
-    # one range shuffle (reused) rather than two.
+    # last value of each range, moved onto the next range of the key
     sort_key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order, value])])
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    tails = hot_rows.groupBy(key, chunk).agg(F.max_by(whole, sort_key).alias("__tail"))
+    last = F.max_by(F.struct(F.col(value).alias("v")), sort_key)
+    tails = rows.filter(F.col(chunk).isNotNull()).groupBy(key, chunk).agg(last.alias("__tail"))
     carries = tails.select(
-        key, chunk,
-        F.lag(F.col("__tail")[value]).over(Window.partitionBy(key).orderBy(chunk)).alias(carry),
-    )
-
-    joined = within.join(F.broadcast(carries), on=[key, chunk], how="left")
+        F.col(key).alias("__c_key"), F.col(chunk).alias("__c_chunk"),
+        F.lag(F.col("__tail")["v"]).over(Window.partitionBy(key).orderBy(chunk)).alias(carry))
+    joined = within.join(
+        F.broadcast(carries),
+        within[key].eqNullSafe(carries["__c_key"]) & (within[chunk] == carries["__c_chunk"]) & within[first], "left")
     fixed = F.when(F.col(first), F.col(carry)).otherwise(F.col(out))
-    return joined.select(*[F.col(n_) for n_ in df.columns], fixed.alias(out))
+    return joined.select(*df.columns, fixed.alias(out))
 
 
 def latest_by(
@@ -146,10 +162,27 @@ def rank_top_k(
     k: int,
     out: str,
 ) -> DataFrame:
-    """Rows whose ``rank()`` within ``partition`` is at most ``k`` (ties kept)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    ranked = df.withColumn(out, F.rank().over(w))
-    return ranked.filter(F.col(out) <= k).withColumn(out, F.col(out).cast("bigint"))
+    """Rows whose ``rank()`` within ``partition``, by ``order`` values
+    descending (NULLs last), is at most ``k`` (ties kept).
+
+    Rows are first counted per (partition, order tuple), map-side combined;
+    the rank of a tuple is one more than the rows before it, and only the
+    first ``k`` tuples can have a rank within ``k``. That small table is then
+    joined to the rows, so tied rows never meet in one task.
+    """
+    key, tie = [f"__p{i}" for i in range(len(partition))], [f"__t{i}" for i in range(len(order))]
+    tuples = df.select(*[F.col(p).alias(a) for p, a in zip(partition, key)],
+                       *[v.alias(a) for v, a in zip(order, tie)])
+    counts = tuples.groupBy(*key, *tie).agg(F.count(F.lit(1)).alias("__n"))
+    by = Window.partitionBy(*key).orderBy(*[F.col(a).desc_nulls_last() for a in tie])
+    # at most k tuples a partition pass the (pushed-down) row number limit
+    firsts = counts.withColumn("__i", F.row_number().over(by)).filter(F.col("__i") <= k)
+    before = F.coalesce(F.sum("__n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = firsts.withColumn(out, (before + 1).cast("bigint")).filter(F.col(out) <= k).drop("__n", "__i")
+    cond = F.lit(True)
+    for a, b in [*zip([df[p] for p in partition], key), *zip(order, tie)]:
+        cond = cond & a.eqNullSafe(F.col(b))
+    return df.join(ranks, cond).select(*df.columns, out)
 
 
 def exact_median(
@@ -168,12 +201,12 @@ def exact_median(
 
     1. value frequencies per (group, value), combined map-side;
     2. groups with more distinct values than an average partition of that
-       table are *hot* (fewer than ``num_parts``, broadcast); with none, a
-       weighted ``percentile`` over the frequencies finishes it (each group's
-       buffer is bounded by the same average partition);
-    3. running counts are taken per group, or for a hot group per balanced
-       value range (``_ranged``); each range is offset by the rows of the
-       ranges below it (one row per range, broadcast);
+       table are *hot* (``_hot_bounds``); with none, a weighted ``percentile``
+       over the frequencies finishes it (each group's buffer is bounded by the
+       same average partition);
+    3. running counts are taken per group, or for a hot group per range of
+       values; each range is offset by the rows of the ranges below it (one
+       row per range, broadcast);
     4. the values at the two middle positions are picked with an aggregate.
     """
     n = _num_parts(df, num_parts)
@@ -181,31 +214,31 @@ def exact_median(
     chunk, f = "__med_chunk", "__med_f"
     freq = df.select(*keys, v.cast("long").alias("__v")).filter(F.col("__v").isNotNull()) \
         .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias(f))
-    hot, ranges = _hot_keys(freq, keys, n, min_rows)
-    if hot is None:
+    bounds = _hot_bounds(freq, keys, ["__v"], n, min_rows)
+    if bounds is None:
         # No hot group: every group has at most an average partition (or
         # ``min_rows``) of distinct values, so one weighted percentile over the
         # frequency table keeps a bounded buffer per group.
         return freq.groupBy(*keys).agg(F.percentile("__v", F.lit(0.5), F.col(f)).alias(out))
-    cold = freq.join(hot, on=list(keys), how="left_anti").withColumn(chunk, F.lit(-1).cast("long"))
-    ranged = _ranged(freq.join(hot, on=list(keys), how="left_semi"), keys, ["__v"], ranges, chunk)
-    rows = cold.unionByName(ranged)
+    rows = _ranged(freq, bounds, keys, ["__v"], chunk)
 
     w_run = Window.partitionBy(*keys, chunk).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select(*keys, "__v", f, chunk, F.sum(f).over(w_run).alias("__cum"))
+    whole = Window.partitionBy(*keys, chunk)
+    local = rows.select(*keys, "__v", f, chunk, F.sum(f).over(w_run).alias("__cum"),
+                        F.sum(f).over(whole).alias("__chunk_rows"))
 
-    # per hot range: rows below it and rows of the whole group; cold groups
-    # are one chunk, whose total is the group's row count
-    group_rows = F.sum(f).over(Window.partitionBy(*keys, chunk))
-    range_rows = ranged.groupBy(*keys, chunk).agg(F.sum(f).alias("__rr"))
+    # per hot range: rows below it and rows of the whole group; the other
+    # groups are one range each
+    range_rows = rows.filter(F.col(chunk).isNotNull()).groupBy(*keys, chunk).agg(F.sum(f).alias("__rr"))
     below = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = range_rows.select(
-        *keys, chunk,
+        *[F.col(k).alias(f"__r_{k}") for k in keys], F.col(chunk).alias("__r_chunk"),
         F.coalesce(F.sum("__rr").over(below), F.lit(0)).alias("__offset"),
         F.sum("__rr").over(Window.partitionBy(*keys)).alias("__hot_rows"),
     )
-    placed = local.join(F.broadcast(offsets), on=[*keys, chunk], how="left")
-    placed = placed.select("*", F.coalesce(F.col("__hot_rows"), group_rows).alias("__rows"))
+    placed = local.join(F.broadcast(offsets),
+                        _match(local, offsets, keys, "__r_") & (local[chunk] == offsets["__r_chunk"]), "left")
+    placed = placed.select("*", F.coalesce("__hot_rows", "__chunk_rows").alias("__rows"))
 
     last = F.coalesce(F.col("__offset"), F.lit(0)) + F.col("__cum")  # 1-based last position of the value
     first = last - F.col(f) + 1

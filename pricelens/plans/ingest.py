@@ -16,7 +16,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens import config
 from pricelens.functions import columns as X
 from pricelens.schema import ITEM_FIELDS, LISTING_COLUMNS, REQUIRED_COLUMNS, SNAPSHOT_COLUMNS
 
@@ -30,7 +29,7 @@ def item_count() -> Column:
     return F.coalesce(F.size(c("mods.listItems")), F.lit(0))
 
 
-def page_prefix(pages: DataFrame, max_pages: int = config.MAX_PAGES_PER_KEYWORD) -> DataFrame:
+def page_prefix(pages: DataFrame, max_pages: int) -> DataFrame:
     """Per (run, keyword) keep pages 1..k, where k is the last page before
     the first failed, empty or missing one, and k <= ``max_pages``.
 
@@ -39,6 +38,7 @@ def page_prefix(pages: DataFrame, max_pages: int = config.MAX_PAGES_PER_KEYWORD)
     ``max_pages`` numbers and combines map-side: duplicated landings of one
     run do not pile up in a task. The prefix length is then joined back
     (null-safe on run and keyword); the joined side has one row per group.
+    The pages it leaves out are listed by ``skipped_pages``.
     """
     nonempty = pages.filter(
         (c("page") >= 1) & (c("page") <= max_pages) & (item_count() > 0)
@@ -92,22 +92,33 @@ def map_listings(items: DataFrame) -> DataFrame:
     ).select("run_id", "pos", "captured_at", *LISTING_COLUMNS)
 
 
-def listings(pages: DataFrame, max_pages: int = config.MAX_PAGES_PER_KEYWORD) -> DataFrame:
-    return map_listings(explode_items(page_prefix(pages, max_pages)))
-
-
-# Lists longer than this are matched with a broadcast semi-join instead of an
-# IN-list predicate (the broadcast side is the caller's list: its size is known).
-KEYWORD_IN_LIST_MAX = 64
+def listings(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Listings of all pages, or of each run's page prefix if a cap is asked for."""
+    return map_listings(explode_items(pages if max_pages is None else page_prefix(pages, max_pages)))
 
 
 def keyword_filter(listing: DataFrame, keywords: Sequence[str] | None = None) -> DataFrame:
-    """S3: keep the listings of the configured keywords (default five)."""
-    keywords = list(dict.fromkeys(config.DEFAULT_KEYWORDS if keywords is None else keywords))
-    if len(keywords) <= KEYWORD_IN_LIST_MAX:
-        return listing.filter(c("keyword").isin(*keywords))
-    wanted = listing.sparkSession.createDataFrame([(k,) for k in keywords], "keyword string")
-    return listing.join(F.broadcast(wanted), on="keyword", how="left_semi").select(*listing.columns)
+    """S3: keep the listings of the given keywords (all of them by default)."""
+    return listing if keywords is None else listing.filter(c("keyword").isin(*dict.fromkeys(keywords)))
+
+
+def skipped_pages(pages: DataFrame, keywords: Sequence[str] | None = None,
+                  max_pages: int | None = None) -> DataFrame:
+    """Pages that carry items and are left out by what was asked for, with a reason."""
+    full = pages.filter(item_count() > 0).select("run_id", "keyword", "page", item_count().alias("n_items"))
+    reason = F.lit(None).cast("string")
+    if max_pages is not None:
+        kept = page_prefix(pages, max_pages).select(
+            c("run_id").alias("__r"), c("keyword").alias("__k"), c("page").alias("__p")).distinct()
+        full = full.join(kept, full["run_id"].eqNullSafe(kept["__r"]) & full["keyword"].eqNullSafe(kept["__k"])
+                         & (full["page"] == kept["__p"]), "left")
+        reason = F.when(c("__p").isNull(), F.when(c("page") > max_pages, F.lit("beyond the page cap"))
+                        .otherwise(F.lit("after a missing page")))
+    if keywords is not None:
+        chosen = F.coalesce(c("keyword"), F.lit("")).isin(*dict.fromkeys(keywords))
+        reason = F.when(~chosen, F.lit("keyword not chosen")).otherwise(reason)
+    return full.withColumn("reason", reason).filter(c("reason").isNotNull()).select(
+        "run_id", "keyword", "page", "n_items", "reason")
 
 
 def union_keywords(batches: Iterable[DataFrame]) -> DataFrame:
@@ -170,7 +181,8 @@ def check(listing: DataFrame) -> DataFrame:
         c("__rating").alias("rating"),
         digits.try_cast("int").alias("review_count"),
         "location", "keyword", "page",
-        F.coalesce(stamped, F.current_timestamp()).alias("scraped_at"),
+        # no capture time: now, still in item order
+        F.coalesce(stamped, F.timestamp_add("MICROSECOND", c("pos"), F.current_timestamp())).alias("scraped_at"),
         reason.alias("reason"),
     )
     # rounded in its own projection (see functions.columns.with_discount)
@@ -216,13 +228,13 @@ def page_counts(checked: DataFrame) -> DataFrame:
     )
 
 
-def ingest(pages: DataFrame, keywords: Sequence[str] | None = None,
-           max_pages: int = config.MAX_PAGES_PER_KEYWORD) -> DataFrame:
-    """Full ingest chain up to the checked records (valid + rejected)."""
-    listing = listings(pages, max_pages)
-    if keywords is not None:
-        listing = keyword_filter(listing, keywords)
-    return check(listing)
+def ingest(pages: DataFrame, keywords: Sequence[str] | None = None, max_pages: int | None = None) -> DataFrame:
+    """Full ingest chain up to the checked records (valid + rejected).
+
+    Everything that landed is read; ``keywords`` and ``max_pages`` are cuts
+    the caller asks for, and ``skipped_pages`` tells what they leave out.
+    """
+    return check(keyword_filter(listings(pages, max_pages), keywords))
 
 
 # fields of the raw item exposed by the explode key

@@ -2,60 +2,67 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from pricelens import config
-from pricelens.plans import ingest, marts, quality
+from pricelens.plans import ingest, marts, quality, reports
 from pricelens.sources import landed, store
 
 MART_NAMES = ["price_history", "price_movers", "category_summary", "daily_deals"]
 
 
 def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
-               keywords: Sequence[str] | None = None,
-               max_pages: int = config.MAX_PAGES_PER_KEYWORD,
+               keywords: Sequence[str] | None = None, max_pages: int | None = None,
                load_id: str | None = None) -> dict:
     """Validate page documents and append valid records (+ rejects).
 
-    Lines that are not page documents are kept in ``raw/malformed_pages``
-    and counted. The parsed pages and the checked records feed four writes;
-    both are persisted (memory, then disk) for the duration of the load so the
-    JSON is parsed and checked once. A lost block is recomputed from the
-    landed files.
+    The checked records are written once, to ``raw/checked``; the snapshot
+    table, the rejects and the page counts are read from there. Every landed
+    item is accounted for: appended, rejected, on a page that was asked to be
+    left out (``raw/skipped_pages``, with the reason), or on a page that could
+    not be read (``raw/malformed_pages``, the line itself). Malformed lines
+    are counted in the first pass and only then looked for again.
     """
     load_id = load_id or store.new_load_id()
-    pages = pages.persist(StorageLevel.MEMORY_AND_DISK)
-    checked = ingest.ingest(pages, keywords, max_pages).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        written = store.append_snapshots(ingest.valid_snapshots(checked), warehouse, load_id)
-        store.append_rejects(ingest.rejects(checked), warehouse, load_id)
-        store.append_page_counts(ingest.page_counts(checked), warehouse, load_id)
-        bad_lines = store.append_malformed(landed.malformed(pages), warehouse, load_id)
-    finally:
-        checked.unpersist()
-        pages.unpersist()
-    return {"load_id": load_id, "appended": written, "malformed_pages": bad_lines}
+    obs = Observation(f"landed_{uuid.uuid4().hex[:8]}")
+    if landed.CORRUPT in pages.columns:
+        seen = pages.observe(obs, F.count_if(F.col(landed.CORRUPT).isNotNull()).alias("malformed"))
+    else:
+        seen = pages.observe(obs, F.lit(0).alias("zero"), F.count_if(F.lit(False)).alias("malformed"))
+    good = landed.wellformed(seen)
+    checked = store.write_load(ingest.ingest(good, keywords, max_pages), warehouse, store.CHECKED_TABLE, load_id)
+    written = store.append_snapshots(ingest.valid_snapshots(checked), warehouse, load_id)
+    rejected = store.write_load(ingest.rejects(checked), warehouse, store.REJECTS_TABLE, load_id)
+    store.write_load(ingest.page_counts(checked), warehouse, store.PAGE_COUNTS_TABLE, load_id)
+    bad_lines = int(obs.get["malformed"] or 0)
+    lines = landed.malformed(pages)
+    store.write_load(lines if bad_lines else lines.limit(0), warehouse, store.MALFORMED_TABLE, load_id)
+    result = {"load_id": load_id, "appended": written, "rejected": rejected.count(),
+              "malformed_pages": bad_lines, "skipped_items": 0}
+    if keywords is not None or max_pages is not None:
+        skipped = ingest.skipped_pages(landed.wellformed(pages), keywords, max_pages)
+        skipped = store.write_load(skipped, warehouse, store.SKIPPED_TABLE, load_id)
+        result["skipped_items"] = int(skipped.agg(F.sum("n_items")).first()[0] or 0)
+    return result
 
 
 def run(spark: SparkSession, landed_dir: str, warehouse: str,
         keywords: Sequence[str] | None = None, transforms: bool = True,
-        max_pages: int = config.MAX_PAGES_PER_KEYWORD, load_id: str | None = None) -> dict:
+        max_pages: int | None = None, load_id: str | None = None) -> dict:
     """Landed pages -> validate -> append -> count -> marts -> checks.
 
+    Loads all that landed unless ``keywords`` or ``max_pages`` ask for less.
     Ends normally, without touching the marts, when nothing valid came in.
     """
     config.configure(spark)
     store.bootstrap(spark, warehouse)
-    result = load_pages(spark, landed.read_pages(spark, landed_dir), warehouse,
-                        keywords or config.DEFAULT_KEYWORDS, max_pages, load_id)
-    if result["appended"] == 0:
-        result["total"] = store.row_count(spark, warehouse)
-        return result
+    result = load_pages(spark, landed.read_pages(spark, landed_dir), warehouse, keywords, max_pages, load_id)
     result["total"] = store.row_count(spark, warehouse)
-    if transforms:
+    if transforms and result["appended"]:
         result["quality"] = transform(spark, warehouse)
     return result
 
@@ -65,31 +72,27 @@ def transform(spark: SparkSession, warehouse: str) -> list:
 
     price_history is written once and read back by its two consumers, so the
     ``lag`` is computed once and the lineage is cut at a table in the
-    warehouse (the shared folder), not on a machine-local disk.
+    warehouse (the shared folder), not on a machine-local disk. The marts'
+    rules are counted while they are written; the snapshot table and the
+    staging dataset take one pass for theirs.
     """
     config.configure(spark)
     snap = store.read_snapshots(spark, warehouse)
     stg = marts.stg_prices(snap)
-    store.write_mart(marts.price_history(stg), warehouse, "price_history")
+    rows = quality.quality_report({"price_snapshots": snap, "stg_prices": stg}).collect()
+
+    def write(name: str, mart: DataFrame) -> None:
+        mart, counted = quality.observed(name, mart)
+        store.write_mart(mart, warehouse, name)
+        rows.extend(counted())
+
+    write("price_history", marts.price_history(stg))
     history = store.read_mart(spark, warehouse, "price_history")
-    store.write_mart(marts.price_movers(history), warehouse, "price_movers")
-    store.write_mart(marts.daily_deals(history), warehouse, "daily_deals")
-    store.write_mart(marts.category_summary(stg), warehouse, "category_summary")
-    report = quality.quality_report({
-        "price_snapshots": snap,
-        "stg_prices": stg,
-        "price_history": history,
-        "price_movers": store.read_mart(spark, warehouse, "price_movers"),
-        "category_summary": store.read_mart(spark, warehouse, "category_summary"),
-        "daily_deals": store.read_mart(spark, warehouse, "daily_deals"),
-    })
-    rows = report.collect()  # 29 rows, one per rule
-    failed = [r for r in rows if r.failures]
-    if failed:
-        raise quality.QualityError(
-            "data checks failed: " + ", ".join(f"{r.dataset}.{r.column_name} {r.rule}: {r.failures}" for r in failed)
-        )
-    return rows
+    write("price_movers", marts.price_movers(history))
+    write("category_summary", marts.category_summary(stg))
+    write("daily_deals", marts.daily_deals(history))
+    quality.assert_rows(rows)
+    return rows  # 29, one per rule
 
 
 def status(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -104,18 +107,32 @@ def latest_snapshot(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def register_views(spark: SparkSession, warehouse: str) -> list[str]:
     """Expose the warehouse to SQL: temp views over the snapshot table, the
-    staging dataset, the latest snapshot and every written mart, so analyst
+    staging dataset, the latest snapshot and every mart (empty until it is built), so analyst
     SQL runs through ``spark.sql``. Mart views carry the partition column
     ``snapshot_day`` (DATE): filters on it prune whole day partitions."""
     config.configure(spark)
     snap = store.read_snapshots(spark, warehouse)
     views = {"price_snapshots": snap, "stg_prices": marts.stg_prices(snap),
              "latest_snapshot": marts.latest_snapshot(snap)}
-    for name in MART_NAMES:
-        try:
-            views[name] = store.read_mart(spark, warehouse, name, keep_partition=True)
-        except Exception:  # mart not built yet
-            continue
+    views |= {name: store.read_mart(spark, warehouse, name, keep_partition=True) for name in MART_NAMES}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)
+
+
+def report(spark: SparkSession, warehouse: str, name: str, as_of=None) -> DataFrame:
+    """R1-R4 over the stored marts: ``todays_drops``, ``todays_deals``,
+    ``category_trend`` or ``fresh_drops``. "Today" is ``as_of`` or the newest
+    day that was built, known from the history's folders; only that day's
+    files are read."""
+    mart = lambda n: store.read_mart(spark, warehouse, n, keep_partition=True)
+    if name == "category_trend":
+        return reports.category_trend(mart("category_summary"))
+    if name == "fresh_drops":
+        return reports.fresh_drops(mart("daily_deals").drop("snapshot_day"))
+    as_of = as_of or mart("price_history").agg(F.max("snapshot_day")).first()[0]
+    if name == "todays_drops":
+        return reports.todays_drops(mart("price_movers"), as_of)
+    if name == "todays_deals":
+        return reports.todays_deals(mart("daily_deals"), as_of)
+    raise ValueError(f"no such report: {name}")

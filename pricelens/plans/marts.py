@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 from pricelens.functions import columns as X
-from pricelens.operators.ordered import exact_median, latest_by, rank_top_k, skew_safe_lag
+from pricelens.operators.ordered import exact_median, has_hot_group, latest_by, rank_top_k, skew_safe_lag
 from pricelens.schema import (
     CATEGORY_COLUMNS,
     DEALS_COLUMNS,
@@ -86,7 +86,7 @@ def price_movers(history: DataFrame, top_k: int = config.MOVERS_TOP_K) -> DataFr
         c("price_change_abs").isNotNull() & c("price_direction").isin(*config.MOVER_DIRECTIONS)
     )
     ranked = rank_top_k(
-        moved, ["snapshot_date", "price_direction"], [F.abs(c("price_change_abs")).desc()],
+        moved, ["snapshot_date", "price_direction"], [F.abs(c("price_change_abs"))],
         top_k, "rank_within_direction",
     )
     return ranked.select(*MOVERS_COLUMNS)
@@ -105,7 +105,7 @@ def category_summary(stg: DataFrame, num_parts: int | None = None,
     snapshots, so an item captured twice weighs twice.
     """
     base = stg.filter(c("category").isNotNull())
-    stats = base.groupBy(*CATEGORY_KEYS).agg(
+    stats = [
         # The FILTER clause (a no-op: distinct counts skip NULLs) makes Spark
         # plan the distinct count with an Expand rewrite, so the other
         # aggregates keep one partial per group rather than per (group, item).
@@ -118,14 +118,20 @@ def category_summary(stg: DataFrame, num_parts: int | None = None,
         F.count_if(c("price_tier") == "on_sale").alias("on_sale_count"),
         X.round2(X.exact_avg(X.nan_to_null("rating"), 6)).alias("avg_rating"),
         F.sum("review_count").cast("bigint").alias("total_reviews"),
-    )
-    med = exact_median(base, CATEGORY_KEYS, X.cents("current_price"), "median_cents", num_parts, min_rows)
-    med = med.select(*[c(k).alias(f"__m_{k}") for k in CATEGORY_KEYS], "median_cents")
-    cond = None
-    for k in CATEGORY_KEYS:
-        eq = stats[k].eqNullSafe(med[f"__m_{k}"])
-        cond = eq if cond is None else cond & eq
-    joined = stats.join(med, on=cond, how="left")
+    ]
+    cents = X.cents("current_price")
+    if not has_hot_group(base, CATEGORY_KEYS, num_parts, min_rows):
+        # every group fits a task: the median rides in the same pass
+        median = F.percentile(cents, F.lit(0.5)).alias("median_cents")
+        joined = base.groupBy(*CATEGORY_KEYS).agg(*stats, median)
+    else:
+        joined = base.groupBy(*CATEGORY_KEYS).agg(*stats)
+        med = exact_median(base, CATEGORY_KEYS, cents, "median_cents", num_parts, min_rows)
+        med = med.select(*[c(k).alias(f"__m_{k}") for k in CATEGORY_KEYS], "median_cents")
+        cond = F.lit(True)
+        for k in CATEGORY_KEYS:
+            cond = cond & joined[k].eqNullSafe(med[f"__m_{k}"])
+        joined = joined.join(med, on=cond, how="left")
     # half cents round up (see functions.columns.median_price)
     return joined.withColumn("median_price", F.round(c("median_cents")) / 100).select(*CATEGORY_COLUMNS)
 
@@ -151,7 +157,7 @@ def daily_deals(history: DataFrame, top_k: int = config.DEALS_TOP_K) -> DataFram
     keep = [n for n in HISTORY_COLUMNS if n not in ("snapshot_date", "item_id")]
     latest = latest_by(qualifying, ["snapshot_date", "item_id"], DEAL_ORDER, keep)
     ranked = rank_top_k(
-        latest, ["snapshot_date"], [c("discount_pct").desc(), c("review_count").desc()],
+        latest, ["snapshot_date"], [c("discount_pct"), c("review_count")],
         top_k, "deal_rank",
     )
     fresh = (c("price_direction") == "decreased") & (c("price_change_pct") <= config.FRESH_DROP_PCT)

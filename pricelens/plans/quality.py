@@ -7,7 +7,10 @@ One aggregate per dataset counts every rule's violations in a single pass
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from pricelens import config
@@ -51,6 +54,40 @@ def rule_list(dataset: str) -> list[tuple[str, str, F.Column]]:
     return out
 
 
+def observed(name: str, df: DataFrame) -> tuple[DataFrame, Callable[[], list[Row]]]:
+    """``df`` with its rules counted while it is written, and what was counted (after the write)."""
+    rules = rule_list(name)
+    obs = Observation(f"checks_{name}_{uuid.uuid4().hex[:8]}")
+    df = df.observe(obs, *[F.count_if(pred).alias(f"r{i}") for i, (_, _, pred) in enumerate(rules)])
+
+    def counted() -> list[Row]:
+        return [Row(dataset=name, column_name=col, rule=rule, failures=obs.get[f"r{i}"])
+                for i, (col, rule, _) in enumerate(rules)]
+
+    return df, counted
+
+
+# A small number each row of a dataset has, by which ``broken`` picks rows.
+_MARKS = {
+    "price_snapshots": "minute(scraped_at)", "stg_prices": "minute(scraped_at)",
+    "price_history": "minute(scraped_at)", "price_movers": "rank_within_direction",
+    "category_summary": "dayofmonth(snapshot_date)", "daily_deals": "deal_rank",
+}
+
+
+def broken(name: str, df: DataFrame) -> DataFrame:
+    """``df`` with its k-th rule broken in the rows of mark k: NULLs, then values that no rule accepts.
+
+    Data on which the checks must fail, to check the checks.
+    """
+    marks = df.withColumn("__mark", F.expr(_MARKS[name]))
+    out = {c: F.col(c) for c in df.columns}
+    for k, (col, rule, _) in enumerate(rule_list(name)):
+        bad = F.lit(None) if rule == "not_null" else F.lit("odd")
+        out[col] = F.when(F.col("__mark") == k + 1, bad).otherwise(out[col])
+    return marks.select(*[v.alias(c) for c, v in out.items()])
+
+
 def check_dataset(name: str, df: DataFrame) -> DataFrame:
     rules = rule_list(name)
     counts = df.agg(*[F.count_if(pred).alias(f"r{i}") for i, (_, _, pred) in enumerate(rules)])
@@ -79,7 +116,11 @@ class QualityError(RuntimeError):
 
 def assert_quality(report: DataFrame) -> None:
     """Fail when any rule has a violation (the report has ~29 rows)."""
-    failed = report.filter(F.col("failures") > 0).collect()
+    assert_rows(report.filter(F.col("failures") > 0).collect())
+
+
+def assert_rows(rows: list[Row]) -> None:
+    failed = [r for r in rows if r.failures]
     if failed:
         lines = ", ".join(f"{r.dataset}.{r.column_name} {r.rule}: {r.failures}" for r in failed)
         raise QualityError(f"data checks failed: {lines}")

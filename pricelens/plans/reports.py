@@ -66,3 +66,22 @@ def category_trend(summary: DataFrame) -> DataFrame:
 def fresh_drops(deals: DataFrame) -> DataFrame:
     """Alert feed, deals flagged as fresh drops."""
     return deals.filter(c("is_fresh_drop"))
+
+
+# Presentation order of the stored marts (O3-O5), newest day first; what
+# follows the first keys only makes the order of ties stable.
+PRESENTATION = {
+    "price_movers": "snapshot_date DESC, price_direction, rank_within_direction, item_id, keyword, current_price",
+    "daily_deals": "snapshot_date DESC, deal_rank, item_id",
+    "category_summary": "snapshot_date DESC, total_reviews DESC, category, keyword",
+}
+
+
+def presentation(name: str) -> list[Column]:
+    parts = [p.split() for p in PRESENTATION[name].split(", ")]
+    return [c(p[0]).desc() if p[1:] else c(p[0]).asc() for p in parts]
+
+
+def presented(name: str, mart: DataFrame) -> DataFrame:
+    """A mart in its presentation order (a range-partitioned sort)."""
+    return mart.orderBy(*presentation(name))

@@ -99,3 +99,28 @@ LATEST_COLUMNS = [
     "item_id", "name", "current_price", "original_price", "discount_pct",
     "brand", "category", "scraped_at",
 ]
+
+
+# Declared types of every stored mart, so that an empty one reads as empty.
+_D, _N, _B = T.DecimalType(12, 2), T.DoubleType(), T.LongType()
+_CHANGE = T.DecimalType(13, 2)
+_MART_TYPES = {
+    "snapshot_date": T.TimestampType(), "scraped_at": T.TimestampType(), "current_price": _D,
+    "original_price": _D, "prev_price": _D, "min_price": _D, "max_price": _D, "price_change_abs": _CHANGE,
+    "price_change_pct": _N, "discount_pct": _N, "rating": _N, "avg_price": _N, "median_price": _N,
+    "avg_discount_pct": _N, "avg_rating": _N, "review_count": T.IntegerType(), "rank_within_direction": _B,
+    "deal_rank": _B, "unique_items": _B, "deep_discount_count": _B, "on_sale_count": _B, "total_reviews": _B,
+    "is_fresh_drop": T.BooleanType(),
+}
+
+
+def _mart(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, _MART_TYPES.get(n, S), True) for n in columns])
+
+
+MART_SCHEMAS = {
+    "price_history": _mart(HISTORY_COLUMNS),
+    "price_movers": _mart(MOVERS_COLUMNS),
+    "category_summary": _mart(CATEGORY_COLUMNS),
+    "daily_deals": _mart(DEALS_COLUMNS),
+}

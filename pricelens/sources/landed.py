@@ -25,20 +25,26 @@ PAGE_WITH_CORRUPT = T.StructType(PAGE.fields + [T.StructField(CORRUPT, T.StringT
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page documents from a landing folder of JSON-lines files.
 
-    A line that is not a page document keeps its text in ``_corrupt_record``
-    (its other columns are NULL, so it yields no listings); see ``malformed``.
+    A line with anything that cannot be read keeps its text in
+    ``_corrupt_record``. Spark may still fill some of its other columns;
+    ``wellformed`` leaves such a page out whole, ``malformed`` keeps its line.
     """
     return spark.read.schema(PAGE_WITH_CORRUPT).options(**JSON_OPTIONS).json(path)
 
 
+def wellformed(pages: DataFrame) -> DataFrame:
+    """Pages read in full: a malformed page is recorded, never half ingested."""
+    return pages.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in pages.columns else pages
+
+
 def malformed(pages: DataFrame) -> DataFrame:
     """Landed lines that could not be read as page documents."""
     if CORRUPT not in pages.columns:
         return pages.sparkSession.createDataFrame([], T.StructType([T.StructField("line", T.StringType())]))
-    # read together with another column: a scan of the corrupt column alone
-    # is refused by the JSON source (it would re-parse nothing else)
-    line = F.coalesce(F.col(CORRUPT), F.col("run_id")).alias("line")
-    return pages.filter(F.col(CORRUPT).isNotNull()).select(line)
+    # every column must be read: a line is found to be malformed only in the
+    # columns that the scan parses
+    whole = F.to_json(F.struct(*[f.name for f in PAGE.fields]))
+    return pages.filter(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), whole).alias("line"))
 
 
 def parse_pages(text: DataFrame, column: str = "value") -> DataFrame:

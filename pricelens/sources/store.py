@@ -2,16 +2,15 @@
 
 Layout::
 
-    <warehouse>/raw/price_snapshots/snapshot_day=<date>/load_id=<id>/*.parquet
-    <warehouse>/raw/rejects/load_id=<id>/*.parquet
-    <warehouse>/raw/page_counts/load_id=<id>/*.parquet
-    <warehouse>/marts/<name>/[snapshot_day=<date>/]*.parquet
-
-The raw table is append-only (S5-S7). Each load writes under its own
-``load_id`` with dynamic partition overwrite, so a load retried after a
-failure replaces what its earlier attempt wrote instead of adding it twice,
-while distinct loads accumulate (re-running a capture adds rows, as before).
-Marts are rebuilt in full on every transform (S12).
+    <warehouse>/raw/<table>/load_id=<id>/[snapshot_day=<date>/]*.parquet
+    <warehouse>/marts/<name>/version=<n>/[snapshot_day=<date>/]*.parquet
+
+The raw tables are append-only (S5-S7). A load owns its ``load_id`` folder in
+each of them and overwrites it whole, so a retried load replaces all that an
+earlier attempt wrote, whatever its days; distinct loads accumulate
+(re-running a capture adds rows, as before). Marts are rebuilt in full on every
+transform (S12), each time into a new version; readers take the newest version
+that its writer has committed, so a failed rebuild leaves the old one in place.
 """
 
 from __future__ import annotations
@@ -23,17 +22,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.schema import SNAPSHOT, SNAPSHOT_COLUMNS
+from pricelens.schema import MART_SCHEMAS, SNAPSHOT, SNAPSHOT_COLUMNS
 
 RAW_TABLE = "raw/price_snapshots"
 REJECTS_TABLE = "raw/rejects"
 PAGE_COUNTS_TABLE = "raw/page_counts"
 MALFORMED_TABLE = "raw/malformed_pages"
-PARTITIONS = ["snapshot_day", "load_id"]
+SKIPPED_TABLE = "raw/skipped_pages"
+CHECKED_TABLE = "raw/checked"
+PARTITIONS = ["load_id", "snapshot_day"]
+KEPT_VERSIONS = 2  # the newest, and the one a reader may be in
 
 STORED_SNAPSHOT = T.StructType(
     SNAPSHOT.fields
-    + [T.StructField("snapshot_day", T.DateType(), True), T.StructField("load_id", T.StringType(), True)]
+    + [T.StructField("load_id", T.StringType(), True), T.StructField("snapshot_day", T.DateType(), True)]
 )
 
 
@@ -58,91 +60,82 @@ def read_snapshots(spark: SparkSession, warehouse: str) -> DataFrame:
     return raw.select(*SNAPSHOT_COLUMNS)
 
 
+def write_load(df: DataFrame, warehouse: str, table: str, load_id: str, *partitions: str) -> DataFrame:
+    """Write a load's share of a raw table, in place of any earlier attempt; returns it as stored."""
+    target = f"{path(warehouse, table)}/load_id={load_id}"
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
 def append_snapshots(snapshots: DataFrame, warehouse: str, load_id: str | None = None) -> int:
     """Append a batch; returns the number of rows written (0 for an
     empty batch). The count is observed during the write, not recomputed."""
     load_id = load_id or new_load_id()
     obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
-    batch = snapshots.select(
-        *SNAPSHOT_COLUMNS,
-        F.to_date("scraped_at").alias("snapshot_day"),
-        F.lit(load_id).alias("load_id"),
-    )
+    batch = snapshots.select(*SNAPSHOT_COLUMNS, F.to_date("scraped_at").alias("snapshot_day"))
     # rebalanced on the day: a backfill spanning many days writes a few files
     # per day instead of one per task and day, and a single large day (the
     # daily load) is split by AQE into advisory-sized tasks
-    (
+    batch = (
         batch.hint("rebalance", "snapshot_day")
         .sortWithinPartitions("snapshot_day", "item_id")
         .observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path(warehouse, RAW_TABLE))
     )
+    write_load(batch, warehouse, RAW_TABLE, load_id, "snapshot_day")
     return int(obs.get.get("rows", 0) or 0)
 
 
-def append_rejects(rejects: DataFrame, warehouse: str, load_id: str) -> None:
-    (
-        rejects.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path(warehouse, REJECTS_TABLE))
-    )
-
-
 def row_count(spark: SparkSession, warehouse: str) -> int:
     """Total snapshots."""
     return read_snapshots(spark, warehouse).count()
 
 
+def _versions(spark: SparkSession, target: str) -> list[tuple[int, str]]:
+    """Committed versions of a mart (their writer's success marker is there), newest last."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(target)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append((int(name.partition("=")[2]), status.getPath().toString()))
+    return sorted(found)
+
+
 def write_mart(mart: DataFrame, warehouse: str, name: str) -> None:
-    """Full refresh of a mart table, partitioned by day when it has one.
+    """Full refresh of a mart table, partitioned by day, as a new version.
 
     The rows are rebalanced on the day before the write (one shuffle, no
     sampling pass): AQE splits a day that is larger than the advisory size
     over several tasks and merges small days, so each day gets a few files of
-    similar size whatever the skew between days.
+    similar size whatever the skew between days. Versions older than the one
+    readers may still be in are deleted.
     """
-    target = path(warehouse, f"marts/{name}")
-    if "snapshot_date" in mart.columns:
-        by_day = mart.withColumn("snapshot_day", F.to_date("snapshot_date")).hint("rebalance", "snapshot_day")
-        by_day.write.mode("overwrite").partitionBy("snapshot_day").parquet(target)
-    else:
-        mart.write.mode("overwrite").parquet(target)
-
-
-def append_malformed(lines: DataFrame, warehouse: str, load_id: str) -> int:
-    """Landed lines that were not page documents; returns how many."""
-    obs = Observation(f"malformed_{uuid.uuid4().hex[:8]}")
-    (
-        lines.withColumn("load_id", F.lit(load_id))
-        .observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path(warehouse, MALFORMED_TABLE))
-    )
-    return int(obs.get.get("rows", 0) or 0)
-
-
-def append_page_counts(counts: DataFrame, warehouse: str, load_id: str) -> None:
-    """V5: per-page valid/rejected counts of a load (the load log)."""
-    (
-        counts.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path(warehouse, PAGE_COUNTS_TABLE))
-    )
+    spark, target = mart.sparkSession, path(warehouse, f"marts/{name}")
+    old = _versions(spark, target)
+    version = (old[-1][0] if old else 0) + 1
+    by_day = mart.withColumn("snapshot_day", F.to_date("snapshot_date")).hint("rebalance", "snapshot_day")
+    by_day.write.mode("overwrite").partitionBy("snapshot_day").parquet(f"{target}/version={version:09d}")
+    jvm = spark.sparkContext._jvm
+    for _, folder in old[:-(KEPT_VERSIONS - 1)]:
+        gone = jvm.org.apache.hadoop.fs.Path(folder)
+        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def read_mart(spark: SparkSession, warehouse: str, name: str, keep_partition: bool = False) -> DataFrame:
-    """A mart table; ``keep_partition`` keeps ``snapshot_day`` (DATE) so that
-    day filters on it prune whole partitions."""
-    df = spark.read.parquet(path(warehouse, f"marts/{name}"))
-    if "snapshot_day" in df.columns and not keep_partition:
-        return df.drop("snapshot_day")
-    return df
+    """A mart table, empty if it has no rows or was never built.
+
+    ``keep_partition`` keeps ``snapshot_day`` (DATE) so that day filters on it
+    prune whole partitions.
+    """
+    schema = T.StructType(MART_SCHEMAS[name].fields + [T.StructField("snapshot_day", T.DateType(), True)])
+    versions = _versions(spark, path(warehouse, f"marts/{name}"))
+    if versions:
+        df = spark.read.schema(schema).parquet(versions[-1][1])
+    else:
+        df = spark.createDataFrame([], schema)
+    return df if keep_partition else df.drop("snapshot_day")

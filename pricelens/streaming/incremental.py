@@ -3,11 +3,11 @@
 The file source remembers which landed files it has processed (in the
 checkpoint), and each micro-batch runs the batch ingest and appends under a
 load id derived from the query and batch ids. A batch replayed after a
-failure therefore overwrites its own partitions: the append is exactly once.
+failure overwrites its own load whole: the append is exactly once.
 
-The page-prefix rule needs all pages of a (run, keyword) in one batch, so a
-capture run should land as one file (or be moved in atomically); with
-``availableNow`` each trigger takes everything that has landed.
+The stream loads every page that lands, whichever trigger its run's other
+pages come with: the page cap is a rule over a whole run, which no single
+batch sees, so it is offered by the batch job alone.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def start_incremental_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         jobs.load_pages(batch.sparkSession, batch, warehouse,
-                        keywords or config.DEFAULT_KEYWORDS, load_id=f"{name}-{batch_id:09d}")
+                        keywords, load_id=f"{name}-{batch_id:09d}")
 
     writer = landing_stream(spark, landed_dir).writeStream.foreachBatch(load_batch)
     writer = writer.option("checkpointLocation", checkpoint).queryName(name)

@@ -9,9 +9,9 @@ from pricelens.plans import ingest
 
 
 def sample_item(**over):
-    base = dict(itemId="ITEM001", name="Laptop X", price="₱25,999", originalPrice="₱32,000",
-                brandName="BrandA", categoryName="Electronics", itemUrl="//shop.example/ITEM001",
-                image="//img.example/1.jpg", ratingScore="4.7", review="312", location="Metro Manila")
+    base = dict(itemId="SKU-7", name="Desk Lamp", price="₱1,849.50", originalPrice="₱2,466",
+                brandName="Lumo", categoryName="Lighting", itemUrl="//shop.example/SKU-7",
+                image="//img.example/1.jpg", ratingScore="3.9", review="58", location="Quezon City")
     base.update(over)
     return item(**base)
 
@@ -33,7 +33,7 @@ def test_page_prefix_rules(spark):
         # listItems NULL inside mods
         ("R1", "pad", 1, T0, (None,)),
     ]
-    kept = ingest.page_prefix(pages_df(spark, docs)).select("keyword", "page").collect()
+    kept = ingest.page_prefix(pages_df(spark, docs), 3).select("keyword", "page").collect()
     assert sorted(map(tuple, kept)) == [("cam", 1), ("laptop", 1), ("tv", 1), ("tv", 2), ("tv", 3)]
     # the cap is a parameter
     kept2 = ingest.page_prefix(pages_df(spark, docs), max_pages=1).filter("keyword = 'tv'").count()
@@ -62,7 +62,7 @@ def test_listing_map_fallbacks_and_urls(spark):
     assert r[0].item_id == "N1"
     assert r[1].name == "Title Only"
     assert r[2].price == "₱99"
-    assert r[0].item_url == "https://shop.example/ITEM001" and r[0].image_url == "https://img.example/1.jpg"
+    assert r[0].item_url == "https://shop.example/SKU-7" and r[0].image_url == "https://img.example/1.jpg"
     assert r[3].item_url == "https://shop.example/x"
     assert r[4].item_url == "" and r[4].image_url == ""
     assert r[0].keyword == "laptop" and r[0].page == 1
@@ -91,8 +91,8 @@ def test_from_raw_accept_and_reject(spark):
     ])
     ok = rows[0]
     assert ok.reason is None
-    assert ok.current_price == Decimal("25999.00") and ok.original_price == Decimal("32000.00")
-    assert ok.discount_pct == 18.75 and ok.rating == 4.7 and ok.review_count == 312
+    assert ok.current_price == Decimal("1849.50") and ok.original_price == Decimal("2466.00")
+    assert ok.discount_pct == 25.0 and ok.rating == 3.9 and ok.review_count == 58
     assert [r.reason for r in rows[1:]] == [
         "missing item_id", "missing price", "missing item_id", "unparseable current_price",
         "non-finite original_price", None, "current_price out of range",
@@ -106,8 +106,10 @@ def test_from_raw_accept_and_reject(spark):
 
 def test_missing_capture_time_is_stamped_now(spark):
     docs = [page_doc("R1", "laptop", 1, [sample_item()], captured_at=None)]
-    row = ingest.check(ingest.listings(pages_df(spark, docs))).first()
-    assert row.scraped_at is not None
+    docs[0] = page_doc("R1", "laptop", 1, [sample_item(), sample_item(), sample_item()], captured_at=None)
+    rows = ingest.check(ingest.listings(pages_df(spark, docs))).orderBy("pos").collect()
+    steps = [b.scraped_at - a.scraped_at for a, b in zip(rows, rows[1:])]
+    assert steps == [dt.timedelta(microseconds=1)] * 2
 
 
 def test_valid_and_rejects_split(spark):
@@ -124,7 +126,7 @@ def test_valid_and_rejects_split(spark):
 def test_keyword_selection_and_union(spark):
     docs = [page_doc("R1", kw, 1, [sample_item()]) for kw in ("laptop", "smartphone", "toaster")]
     lst = ingest.listings(pages_df(spark, docs))
-    assert ingest.keyword_filter(lst).count() == 2  # default five keywords
+    assert ingest.keyword_filter(lst).count() == 3  # all that landed
     assert ingest.keyword_filter(lst, ["toaster"]).count() == 1
     both = ingest.union_keywords([ingest.keyword_filter(lst, ["laptop", "toaster"]),
                                   ingest.keyword_filter(lst, ["toaster"])])
@@ -144,7 +146,7 @@ def test_not_null_guard_fails_on_null(spark):
     assert bad is not None
 
 
-def test_long_keyword_list_uses_semi_join(spark):
+def test_long_keyword_list(spark):
     docs = [page_doc("R1", kw, 1, [sample_item()]) for kw in ("laptop", "toaster")]
     lst = ingest.listings(pages_df(spark, docs))
     many = [f"kw{i}" for i in range(200)] + ["toaster"]
@@ -161,5 +163,15 @@ def test_page_prefix_with_null_run_and_duplicates(spark):
         page_doc("R2", "laptop", 1, [sample_item()]),  # landed twice: both kept
         page_doc("R2", "laptop", 3, [sample_item()]),
     ]
-    kept = ingest.page_prefix(pages_df(spark, docs)).select("run_id", "page").collect()
+    kept = ingest.page_prefix(pages_df(spark, docs), 3).select("run_id", "page").collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(None, 1), (None, 2), ("R2", 1), ("R2", 1)], key=str)
+
+
+def test_all_pages_are_read_unless_a_cut_is_asked_for(spark):
+    docs = [page_doc("R1", "tv", p, [sample_item()]) for p in (1, 3, 4)] + [page_doc("R1", "cam", 1, [sample_item()])]
+    pages = pages_df(spark, docs)
+    assert ingest.ingest(pages).count() == 4
+    assert ingest.ingest(pages, ["tv"], max_pages=3).count() == 1
+    skipped = ingest.skipped_pages(pages, ["tv"], max_pages=3).collect()
+    assert sorted((r.keyword, r.page, r.n_items, r.reason) for r in skipped) == [
+        ("cam", 1, 1, "keyword not chosen"), ("tv", 3, 1, "after a missing page"), ("tv", 4, 1, "beyond the page cap")]

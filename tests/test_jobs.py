@@ -43,9 +43,72 @@ def test_run_with_nothing_valid_ends_normally(spark, landing, warehouse):
     assert "quality" not in result
 
 
-def test_default_keywords_select_nothing_here(spark, landing, warehouse):
-    result = jobs.run(spark, landing, warehouse, keywords=None, transforms=False)
-    assert result["appended"] == 0
+def test_everything_that_landed_is_accounted_for(spark, landing, warehouse):
+    from pricelens.plans import ingest
+    from pricelens.sources import landed
+
+    items = ingest.explode_items(landed.read_pages(spark, landing)).count()
+    whole = jobs.run(spark, landing, warehouse, transforms=False)
+    assert whole["appended"] + whole["rejected"] == items and whole["skipped_items"] == 0
+    cut = jobs.run(spark, landing, warehouse + "-2", ["click"], transforms=False, max_pages=2)
+    assert cut["skipped_items"] > 0
+    assert cut["appended"] + cut["rejected"] + cut["skipped_items"] == items
+
+
+def test_first_run_has_empty_marts(spark, tmp_path, warehouse):
+    """New items only: no movers, no deals, no category."""
+    from helpers import item, page_doc, pages_df
+    from pyspark.sql import functions as F
+
+    items = [item(itemId=f"N{i}", name="new", price="5", itemUrl="u") for i in range(2)]
+    pages = pages_df(spark, [page_doc("R1", "lamp", 1, items)])
+    pages.select(F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})).write.text(
+        str(tmp_path / "one"))
+    result = jobs.run(spark, str(tmp_path / "one"), warehouse)
+    assert result["appended"] == 2 and len(result["quality"]) == 29
+    sizes = {n: store.read_mart(spark, warehouse, n).count() for n in jobs.MART_NAMES}
+    assert sizes == {"price_history": 2, "price_movers": 0, "category_summary": 0, "daily_deals": 0}
+    assert set(jobs.MART_NAMES) <= set(jobs.register_views(spark, warehouse))
+    assert jobs.report(spark, warehouse, "todays_drops").count() == 0
+
+
+@pytest.mark.parametrize("field, value", [("captured_at", "not a time"), ("page", "one")])
+def test_a_malformed_page_has_one_fate(spark, tmp_path, warehouse, field, value):
+    import json
+
+    page = {"run_id": "R1", "keyword": "lamp", "page": 1, "captured_at": "2024-06-01T10:00:00Z",
+            "mods": {"listItems": [{"itemId": "A", "name": "n", "price": "1", "itemUrl": "u"}]}}
+    os.makedirs(tmp_path / "land")
+    (tmp_path / "land" / "a.json").write_text(json.dumps(page) + "\n" + json.dumps({**page, field: value}) + "\n")
+    result = jobs.run(spark, str(tmp_path / "land"), warehouse, transforms=False)
+    assert (result["appended"], result["malformed_pages"]) == (1, 1)
+    lines = spark.read.parquet(os.path.join(warehouse, "raw", "malformed_pages")).collect()
+    assert [value in r.line for r in lines] == [True]
+
+
+def test_stream_keeps_pages_of_one_run_in_two_files(spark, tmp_path, warehouse):
+    import json
+
+    land = tmp_path / "land"
+    os.makedirs(land)
+    for p in (1, 2):
+        page = {"run_id": "R1", "keyword": "lamp", "page": p, "captured_at": "2024-06-01T10:00:00Z",
+                "mods": {"listItems": [{"itemId": f"A{p}", "name": "n", "price": "1", "itemUrl": "u"}]}}
+        (land / f"{p}.json").write_text(json.dumps(page) + "\n")
+        start_incremental_load(spark, str(land), warehouse, str(tmp_path / "ckpt")).awaitTermination(180)
+    assert store.row_count(spark, warehouse) == 2
+
+
+def test_reports_over_the_warehouse(spark, landing, warehouse):
+    jobs.run(spark, landing, warehouse)
+    drops = jobs.report(spark, warehouse, "todays_drops")
+    assert 0 < drops.count() <= 10
+    plan = drops._jdf.queryExecution().executedPlan().toString()
+    assert "snapshot_day" in plan.partition("PartitionFilters")[2][:200]
+    assert jobs.report(spark, warehouse, "todays_deals").count() > 0
+    trend = jobs.report(spark, warehouse, "category_trend").count()
+    assert trend == store.read_mart(spark, warehouse, "category_summary").count()
+    assert jobs.report(spark, warehouse, "fresh_drops").columns[0] == "snapshot_date"
 
 
 def test_quality_failure_raises(spark):

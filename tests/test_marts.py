@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from conftest import SF_SMALL
 from helpers import T0, snapshot, snapshots_df
 from pyspark.sql import Window
@@ -144,3 +145,62 @@ def test_staging_text_rules(spark):
     assert r.snapshot_date == dt.datetime(2024, 6, 1) and r.snapshot_hour == 10
     tab = marts.stg_prices(snapshots_df(spark, [snapshot(name="\tTabbed\t")])).first()
     assert tab.product_name == "\tTabbed\t"  # tabs are not trimmed
+
+
+def _hot_snapshots(spark, n):
+    """One item has three quarters of the captures; some share a capture time."""
+    from pyspark.sql import functions as F
+
+    i = F.col("id")
+    price = (100 + F.pmod(F.xxhash64("id"), F.lit(5000)) / 100).cast("decimal(12,2)")
+    return spark.range(0, n, 1, 8).select(
+        F.when(i % 4 > 0, F.lit("HOT")).otherwise(F.concat(F.lit("I"), (i % 97).cast("string"))).alias("item_id"),
+        F.lit("x").alias("name"), price.alias("current_price"), F.lit(None).cast("decimal(12,2)").alias("original_price"),
+        F.lit(0.0).alias("discount_pct"), F.lit("b").alias("brand"), F.lit("cat").alias("category"),
+        i.cast("string").alias("item_url"), F.lit(1.0).alias("rating"), F.lit(1).alias("review_count"),
+        F.lit("l").alias("location"), F.lit("k").alias("keyword"), F.lit(1).alias("page"),
+        F.timestamp_seconds(1717200000 + F.floor(i / 3) % 250000).alias("scraped_at"))
+
+
+def _wrong_lags(history, plain):
+    pairs = history.join(plain, ["item_url"])
+    return pairs.filter(~pairs["prev_price"].eqNullSafe(pairs["want"])).count()
+
+
+@pytest.mark.parametrize("rows, min_rows, reuse", [
+    (300_000, 1, "true"), (300_000, 1, "false"), (4_000_000, marts.config.HOT_KEY_MIN_ROWS, "true")])
+def test_hot_item_equals_the_plain_window(spark, rows, min_rows, reuse):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    stg = marts.stg_prices(_hot_snapshots(spark, rows))
+    w = Window.partitionBy("item_id").orderBy("scraped_at", *marts.STG_TIE)
+    plain = stg.select("item_url", F.lag("current_price").over(w).alias("want"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        history = marts.price_history(stg, num_parts=8, min_rows=min_rows)
+        assert "chunk" in history._jdf.queryExecution().analyzed().toString()  # the split plan
+        assert _wrong_lags(history.select("item_url", "prev_price"), plain) == 0  # pruned
+        if rows <= 300_000:
+            assert _wrong_lags(history, plain) == 0
+            cats = [marts.category_summary(stg, 8, m).orderBy("snapshot_date").collect() for m in (min_rows, 10**9)]
+            assert cats[0] == cats[1]
+            movers = marts.price_movers(history)
+            want = marts.price_movers(marts.price_history(stg, 8, 10**9))
+            assert movers.exceptAll(want).isEmpty() and movers.count() == want.count()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_a_hot_null_key_is_split_too(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from pricelens.operators.ordered import exact_median, skew_safe_lag
+
+    df = spark.range(5000).select(F.when(F.col("id") % 5 == 0, F.lit("a")).alias("k"),
+                                  F.xxhash64("id").alias("t"), F.col("id").alias("v"))
+    got = skew_safe_lag(df, "k", ["t"], "v", "p", 8, min_rows=1)
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t")))
+    assert got.exceptAll(want).isEmpty()
+    med = exact_median(df, ["k"], "v", "m", 8, min_rows=1)
+    assert med.exceptAll(df.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("m"))).isEmpty()
