@@ -1,0 +1,122 @@
+"""BPE codec, token shard files: against the library and plain arrays."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from pricelens.llm import bpe, queries, tokens
+
+Tokenizer = pytest.importorskip("tokenizers").Tokenizer
+BYTES, WORDS = queries.tokenizer_path(queries.BYTE_VOCABULARY), queries.tokenizer_path(queries.WORD_VOCABULARY)
+
+PARTS = ["a", "B", " ", "  ", "\n", "\t", "é", "漢", "😀", "1", "23", "'s", "'S", "!!", "<|endoftext|>", "<|ENDOFTEXT|>",
+         "́", "E", "\xa0", "\x85", "\x1c", "the", "token", "=", "\r\n", "aaaa", "in", "ing", "ー", "٣", "​",
+         "'ll", "ſ", "İ", "ΑΣ", "K", "<|startoftext|>", "\x00"]
+
+
+def texts(n=1500):
+    rng = random.Random(1)
+    out = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 50))) for _ in range(n)]
+    return out + ["a" * 5000, "ab" * 3000, " " * 999, "\n" * 50 + "x", "<|endoftext|>", "", " a", "a ", "<|endoftext|> x"]
+
+
+def test_bpe_equals_the_library():
+    own, library = bpe.Bpe(BYTES), Tokenizer.from_file(BYTES)
+    for t in texts():
+        ids = np.frombuffer(own.encode(t), "<i4").tolist()
+        assert ids == library.encode(t, add_special_tokens=False).ids
+        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_bpe_with_little_memory():
+    own, library = bpe.Bpe(BYTES), Tokenizer.from_file(BYTES)
+    for memory in (own.words, own.pieces, own.compatible):
+        memory.limit = 3
+    for t in texts(200):
+        assert np.frombuffer(own.encode(t), "<i4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_decode_of_broken_bytes():
+    own, library = bpe.Bpe(BYTES), Tokenizer.from_file(BYTES)
+    rng = random.Random(2)
+    for _ in range(300):
+        ids = [rng.randrange(50257) for _ in range(rng.randint(0, 8))]
+        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_codec_frames(spark, documents):
+    library = Tokenizer.from_file(BYTES)
+    rows = [None, "", "one two", "x" * 50_000]
+    df = documents(rows, ("ids", "decoded", "row"))
+    out = bpe.decode(bpe.encode(df, BYTES), BYTES).collect()
+    for r in out:
+        text = rows[r.row.doc_id] or ""
+        assert r.ids == library.encode(text, add_special_tokens=False).ids and r.decoded == text
+    both = bpe.encode(df, BYTES, decoded=True).collect()
+    assert sorted((r.row.doc_id, r.decoded) for r in both) == sorted((r.row.doc_id, r.decoded) for r in out)
+    assert bpe.encode(documents([]), BYTES).count() == 0
+
+
+def test_op7_on_the_whole_table(spark, sf_dir):
+    library = Tokenizer.from_file(BYTES)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in queries.op7_bpe_codec(spark, sf_dir).collect():
+        ids = library.encode(docs[r.doc_id], add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_word_ids_equal_the_library():
+    own, library = tokens.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    own.words.limit = 50
+    for t in texts():
+        assert np.frombuffer(own.encode(t.encode()), own.kind).tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n, top", [(0, 0), (1, 0), (511, 3), (512, 1), (513, 70_000), (3000, 49_407)])
+def test_wavelet_matrix(n, top):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.zipf(1.3, n), top).astype(np.uint32)
+    doc_ids, lengths, w = tokens.read_shard(tokens.write_shard(np.arange(1), np.array([n]), ids))
+    assert (w.values() == ids).all() and lengths.tolist() == [n]
+    at = rng.integers(0, n, 50) if n else np.zeros(0, int)
+    assert (w.access(at) == ids[at]).all()
+    for value in {*ids[:5].tolist(), 0, top, top + 1}:
+        places = np.nonzero(ids == value)[0]
+        assert w.count(value) == len(places)
+        assert w.count(value, n // 3, n // 2) == ((places >= n // 3) & (places < n // 2)).sum()
+        assert [w.select(value, k) for k in range(min(9, len(places)))] == places[:9].tolist()
+        assert w.select(value, len(places)) == -1
+
+
+@pytest.mark.parametrize("shard_tokens", [tokens.SHARD_TOKENS, 40])
+def test_token_files(spark, documents, shard_tokens):
+    library = Tokenizer.from_file(WORDS)
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(["The", "cat", "é!", "\n"]) for _ in range(rng.randint(0, 30))), None, None, i)
+            for i in rng.sample(range(-50, 1000), 200)]
+    rows += [(None, None, None, 5000), ("", None, None, 5001), ("b", None, None, None), ("a", None, None, 7000), ("a", None, None, 7000)]
+    out = tokens.read_tokens(tokens.write_tokens(documents(rows, ("ids", "start")).repartition(7), WORDS, shard_tokens))
+    got = sorted(out.collect(), key=lambda r: r.start)
+    want = sorted(((i, library.encode(t or "", add_special_tokens=False).ids + [1]) for t, _, _, i in rows),
+                  key=lambda r: (r[0] is not None, r[0] or 0))
+    at = 0
+    for r, (i, ids) in zip(got, want, strict=True):
+        assert (r.doc_id, r.start, r.n_tokens) == (i, at, len(ids))
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids
+        at += len(ids)
+    assert tokens.read_tokens(tokens.write_tokens(documents([]), WORDS)).count() == 0
+
+
+def test_op6_on_the_whole_table(spark, sf_dir):
+    library = Tokenizer.from_file(WORDS)
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    got, at = {r.doc_id: r for r in queries.op6_token_files(spark, sf_dir).collect()}, 0
+    for i, text in docs:
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
