@@ -24,11 +24,15 @@ def con():
     return c
 
 
+# the training-data operators have tests of their own
+OWN = sorted(set(E.queries()) - set(E.LLM_QUERIES))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(OWN) == set(E.oracle_sql()) - set(E.LLM_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     spark_rows = [tuple(r) for r in df.collect()]
