@@ -4,6 +4,8 @@ import random
 
 import brute
 import corpus_pipeline
+import duckdb
+import pytest
 from test_simhash import expected as simhash_expected
 from test_texts import plain_lines
 
@@ -84,3 +86,16 @@ def test_queries_are_registered():
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
     assert names["pipeline"] is corpus_pipeline.run
     assert {"op2_line_dedup", "op10_source_mixing"} <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.LLM_SQL))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    result = con.execute(entry.LLM_SQL[name])
+    columns = sorted(d[0] for d in result.description)
+    want = result.df()[columns].sort_values(columns).reset_index(drop=True)
+    got = entry.LLM_QUERIES[name](spark, sf_dir).toPandas()
+    assert sorted(got.columns) == columns
+    got = got[columns].sort_values(columns).reset_index(drop=True)
+    assert got.astype(str).equals(want.astype(str))
