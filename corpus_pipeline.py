@@ -33,11 +33,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document that names its group."""
-    groups = simhash.simhash_groups(docs).filter(F.col("id").eqNullSafe(F.col("component_id")))
-    keep = groups.select("id").distinct()
-    met = docs.join(keep, docs["doc_id"].eqNullSafe(keep["id"]), "left_semi")
-    return met.dropDuplicates(["doc_id"])
+    """Keep one document of each group, once."""
+    stays = simhash.simhash_groups(docs).filter("kept").select("id", "text_hash").distinct()
+    # plain keys (NULL ids apart), so that the join's partitioning serves the last step too
+    key = lambda i: [i.isNull().alias("__no_id"), F.coalesce(i, F.lit(0)).alias("__id")]
+    mine = docs.select("*", *key(F.col("doc_id")), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text"))
+    stays = stays.select(*key(F.col("id")), F.col("text_hash").alias("__text"))
+    names = ["__no_id", "__id", "__text"]
+    return mine.join(stays, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every row's text, and whether they decode to it again."""
     path = tokenizer_path(BYTE_VOCABULARY)
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.encode(docs, path, decoded=True)
     return unpacked(out.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn(
         "round_trip", F.col("decoded") == F.coalesce("row.text", F.lit(""))), "n_tokens", "ids", "round_trip")
 

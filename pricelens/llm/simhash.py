@@ -56,17 +56,19 @@ def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in utf8(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_hash"), pa.array(fps.view(np.int64))], ["id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``id, fp`` (the 64 bits as a signed bigint) of every row."""
+    """``id, text_hash, fp`` (the 64 bits as a signed bigint) of every row."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    slim = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
-    return slim.mapInArrow(_fingerprints(shingle, seed), f"id {kind}, fp bigint")
+    whole = text_of(text)
+    slim = docs.select(F.col(doc_id).alias("id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash"))
+    return slim.mapInArrow(_fingerprints(shingle, seed), f"id {kind}, text_hash bigint, fp bigint")
 
 
 def bit_planes(x: np.ndarray) -> np.ndarray:
@@ -206,18 +208,23 @@ def links(distinct: DataFrame, radius: int = RADIUS, block_rows: int = BLOCK_ROW
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
                    text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``id, fp, component_id``: smallest id of the group of linked documents.
-
-    One row per input row. Texts without words have fingerprint 0 and link
-    like others. NULL ids never name a group that has another id. An empty
-    table gives no rows.
+    """``id, text_hash, fp, component_id, kept`` of every row.
+
+    ``component_id`` is the smallest id of the group of linked documents. Texts
+    without words have fingerprint 0 and link like others. A NULL id comes last:
+    it never names a group that has another id. ``kept`` marks the document that
+    stays for its group, by id and XXH64 of its text (so that documents without
+    ids are told apart); rows that repeat it are marked too. An empty table
+    gives no rows.
     """
     fps = staged(fingerprints(docs, shingle, seed, text, doc_id), "simhash")
-    distinct = staged(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("text_hash")))
+    distinct = staged(fps.groupBy("fp").agg(first.alias("first")), "simhash-distinct")
     labels = components(links(distinct, radius))
     named = distinct.join(labels, distinct["fp"] == labels["id"], "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label"))
     named = staged(named, "simhash-labels")
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    groups = staged(named.join(smallest, "label").select("fp", "component_id"), "simhash-groups")
-    return fps.join(groups, "fp").select("id", "fp", "component_id")
+    smallest = staged(named.groupBy("label").agg(F.min("first").alias("stays")), "simhash-smallest")
+    groups = staged(named.join(smallest, "label").select("fp", "stays"), "simhash-groups")
+    kept = F.col("id").eqNullSafe(F.col("stays.id")) & (F.col("text_hash") == F.col("stays.text_hash"))
+    return fps.join(groups, "fp").select("id", "text_hash", "fp", F.col("stays.id").alias("component_id"), kept.alias("kept"))

@@ -60,6 +60,8 @@ def test_simhash_stage_keeps_one_of_each_group(spark, documents):
     want = simhash_expected({i: r[0] for i, r in enumerate(rows)})
     got = [r.doc_id for r in STAGES["simhash_near_dedup"](spark, df.unionAll(df), None).collect()]
     assert sorted(got) == [i for i, (_, c) in want.items() if c == i]
+    no_ids = documents([("a b c", None, None, None), ("a b c", None, None, None), ("x y z w", None, None, None)])
+    assert sorted(r.text for r in STAGES["simhash_near_dedup"](spark, no_ids, None).collect()) == ["a b c", "x y z w"]
 
 
 def test_mixing_stage_repeats_documents(spark, documents):

@@ -72,6 +72,8 @@ def test_null_and_repeated_ids(spark, documents):
     rows = [("a b c", None, None, None), ("a b c", None, None, 5), ("a b c", None, None, 5), ("x y z", None, None, None)]
     got = sorted(((r.id, r.component_id) for r in simhash.simhash_groups(documents(rows)).collect()), key=str)
     assert got == [(5, 5), (5, 5), (None, 5), (None, None)]
+    kept = simhash.simhash_groups(documents(rows)).filter("kept").collect()
+    assert sorted(((r.id, r.component_id) for r in kept), key=str) == [(5, 5), (5, 5), (None, None)]
 
 
 def test_query_on_the_whole_table(spark, sf_dir):
