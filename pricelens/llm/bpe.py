@@ -14,6 +14,7 @@ of a byte-level BPE; its path is a parameter.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,11 +25,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import small_batches, text_of
 
 # Fixed value: the pre-tokenizer pattern of byte-level BPE vocabularies.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-CACHE_ENTRIES = 300_000  # a worker's memory of recent words; it only saves time
+CACHE_ENTRIES = 400_000  # a worker's memory of recent words; it only saves time
 
 
 def byte_letters() -> dict[str, int]:
@@ -85,18 +86,18 @@ class Bpe:
         self.automaton.make_automaton()
         whole = "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
         self.split_added = regex.compile(f"({whole})") if whole else None
-        self.compatible = Memory(self._compatible, 1_000_000)
-        self.pieces = Memory(lambda piece: np.array(self.encode_piece(piece.encode()), "<i4").tobytes())
+        self.compatible = Memory(self._compatible, 150_000)
+        self.pieces = Memory(self._ids, CACHE_ENTRIES // 10)
         self.words = Memory(self._word)
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
+    def _compatible(self, pair: int) -> bool:
         """Would merging leave the border between the two tokens alone?
 
         Merges are undone from the last to the first. While the two pieces at
         the border are x and y, until ``until``, their own merge must not come
         sooner. Of equal ranks the left one is merged first.
         """
-        x, y = pair
+        x, y = pair >> 32, pair & 0xFFFFFFFF
         until, ties = len(self.merges), False
         never = (-1, None, None)
         while True:
@@ -115,21 +116,30 @@ class Bpe:
         """Ids of one pre-token: the last token of every prefix, then back."""
         last: list = [None] * (len(piece) + 1)
         compatible = self.compatible
-        for end, (size, token) in self.automaton.iter(piece.decode("latin-1")):
-            end += 1
-            if last[end] is None and (size == end or compatible[last[end - size], token]):
-                last[end] = token
+        for at, (size, token) in self.automaton.iter(piece.decode("latin-1")):
+            if last[at + 1] is None and (size > at or compatible[last[at + 1 - size] << 32 | token]):
+                last[at + 1] = token
         out, at = [], len(piece)
         while at:
             out.append(last[at])
             at -= len(self.bytes[last[at]])
         return out[::-1]
 
+    def _ids(self, piece: str) -> bytes:
+        return array("i", self.encode_piece(piece.encode())).tobytes()
+
+    def _cut(self, text: str) -> bytes:
+        """Piece by piece; a blank and letters are a word."""
+        words, pieces = self.words, self.pieces
+        return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else pieces[p] for p in PIECES.findall(text)])
+
     def _word(self, word: str) -> bytes:
-        """A word with the blank before it; white space at its ends needs its neighbours."""
-        if len(word) < 2 or word[1].isspace() or word[-1].isspace():
+        """A word and the blank before it; white space at its ends needs its neighbours."""
+        if word.isalpha():
+            return self._ids(" " + word)
+        if not word or word[0].isspace() or word[-1].isspace():
             raise Irregular
-        return b"".join([self.pieces[p] for p in PIECES.findall(word)])
+        return self._cut(" " + word)
 
     def _plain(self, text: str) -> bytes:
         # a blank between two words always begins a pre-token
@@ -137,11 +147,10 @@ class Bpe:
         if first and not first[-1].isspace():
             try:
                 words = self.words
-                head = b"".join([self.pieces[p] for p in PIECES.findall(first)])
-                return head + b"".join([words[" " + w] for w in rest])
+                return self._cut(first) + b"".join([words[w] for w in rest])
             except Irregular:
                 pass
-        return b"".join([self.pieces[p] for p in PIECES.findall(text)])
+        return self._cut(text)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -160,7 +169,7 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _encode(path: str):
+def _encode(path: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
@@ -168,7 +177,10 @@ def _encode(path: str):
             ends = np.cumsum([0, *[len(i) // 4 for i in ids]])
             values = np.frombuffer(b"".join(ids), "<i4")
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), lists], ["row", "ids"])
+            out = {"row": batch.column("row"), "ids": lists}
+            if decoded:
+                out["decoded"] = pa.array([bpe.decode(np.frombuffer(i, "<i4").tolist()) for i in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*out.values()], [*out])
 
     return run
 
@@ -184,15 +196,17 @@ def _decode(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", carry: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
     """``row`` (the input row, or its columns in ``carry``) and ``ids`` of the whole text.
 
-    A NULL or empty text has no ids. An empty table gives no rows.
+    With ``decoded``, the text that the ids decode to follows, from the same
+    pass. A NULL or empty text has no ids. An empty table gives no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row")
-    whole = docs.select(row, text_of(text).alias("text"))
+    whole = small_batches(docs).select(row, text_of(text).alias("text"))
     kind = whole.schema["row"].dataType.simpleString()
-    return whole.mapInArrow(_encode(path), f"row {kind}, ids array<int>")
+    return whole.mapInArrow(_encode(path, decoded), f"row {kind}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pricelens.config import checkpoint_dir
 # White space of the contracts: \x20 and \x09-\x0D. It is what bytes.split()
 # and bytes.strip() use, so UTF-8 bytes are split without decoding.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+BATCH_ROWS = 1000
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
@@ -30,6 +31,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows go to Python at most ``BATCH_ROWS`` at a time from now on.
+
+    Whole texts are long: a batch of the usual 10,000 rows would hold tens of
+    megabytes several times over.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -66,7 +66,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(BYTE_VOCABULARY)
-    out = bpe.decode(bpe.encode(_documents(spark, sf_dir), path, carry=["doc_id"]), path)
+    out = bpe.encode(_documents(spark, sf_dir), path, carry=["doc_id"], decoded=True)
     return out.select("row.doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
