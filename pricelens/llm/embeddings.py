@@ -179,7 +179,8 @@ def embedding_groups(table: DataFrame, threshold: float = THRESHOLD, vec_id: str
     labels = components(found.filter("b IS NOT NULL").select("a", "b"))
     named = distinct.join(labels, distinct["rep"] == labels["id"], "left").select(
         "rep", "vec", "first", "mult", F.coalesce("label", "rep").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    smallest = staged(named.groupBy("label").agg(F.min("first").alias("component_id")), "vector-smallest")
+    counts = staged(counts, "vector-counts")
     named = named.join(smallest, "label").join(counts, named["rep"] == counts["a"], "left")
     named = staged(named.select("vec", (F.col("mult") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
                                 "component_id"), "vector-groups")
