@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, secrets
 
 OP2_SQL = r"""
 WITH lines AS (
@@ -69,4 +69,60 @@ FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source
 JOIN taken ON sized.source IS NOT DISTINCT FROM taken.source AND sized.h = taken.h
 """
 
-ORACLE = {"op2_line_dedup": OP2_SQL, "op10_source_mixing": OP10_SQL}
+
+
+def _matches(kind: str, pattern: str, group: int = 0) -> str:
+    """Matches of one kind, placed by the lengths of the pieces between them."""
+    pattern = pattern.replace("'", "''")
+    return f"""
+SELECT r, {secrets.KINDS.index(kind)} AS k, value,
+       (sum(length(gap) + length(whole)) OVER (PARTITION BY r ORDER BY i))::BIGINT AS "end",
+       "end" - length(whole) AS start
+FROM (SELECT r, unnest(string_split_regex(t, '{pattern}')) AS gap, unnest(regexp_extract_all(t, '{pattern}', 0)) AS whole,
+             unnest(regexp_extract_all(t, '{pattern}', {group})) AS value,
+             generate_subscripts(string_split_regex(t, '{pattern}'), 1) AS i
+      FROM d WHERE regexp_matches(t, '{pattern}'))
+WHERE whole IS NOT NULL"""
+
+
+def _op5_sql() -> str:
+    w, names = secrets.WINDOW, "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+    classes = " ".join(f"WHEN regexp_full_match(value, '{p}') THEN {secrets._entropy_limit(bits)}"
+                       for _, p, bits in secrets.CLASSES)
+    allowed = "|".join(secrets.ALLOWED)
+    text = f"coalesce(string_agg({names}[k + 1] || ':' || start || ':' || \"end\", ',' ORDER BY start, k, \"end\"), '')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  SELECT r, k, start, "end" FROM ({_matches("assign", secrets.ASSIGN, 1)}) WHERE length(value) >= {secrets.MIN_VALUE}
+  UNION ALL SELECT r, k, start, "end" FROM ({_matches("access", secrets.ACCESS)})
+  UNION ALL SELECT r, k, start, "end" FROM ({_matches("hex", secrets.HEX)})
+), candidates AS (
+  SELECT *, CASE {classes} ELSE -1 END AS most FROM ({_matches("entropy", secrets.CANDIDATE)})
+  WHERE NOT regexp_full_match(value, '{allowed}')
+), windows AS (
+  SELECT r, k, start, value, most, unnest(range(length(value) - {w - 1})) AS i FROM candidates
+), counted AS (
+  SELECT r, k, start, most, i, c, count(*) AS n
+  FROM (SELECT r, k, start, most, i, unnest(string_split(substr(value, i::INT + 1, {w}), '')) AS c FROM windows)
+  WHERE c <> '' GROUP BY ALL
+), hits AS (
+  SELECT r, k, start, i, most FROM counted GROUP BY ALL
+  HAVING sum(CASE WHEN n < 2 THEN 0 ELSE round({secrets.SCALE} * n * log2(n)) END) <= most
+), more AS (
+  SELECT r, k, start + min(i) AS start, start + max(i) + {w} AS "end" FROM hits GROUP BY r, k, hits.start
+), spans AS (
+  SELECT * FROM base
+  UNION ALL
+  SELECT * FROM more WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.r = more.r AND b.start <= more.start AND b."end" >= more."end")
+), base_text AS (
+  SELECT r, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex, {text} AS s FROM base GROUP BY r
+), span_text AS (SELECT r, {text} AS s FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b.s, '')) AS base_sha256, coalesce(s.s, '') AS spans
+FROM d LEFT JOIN base_text b USING (r) LEFT JOIN span_text s USING (r)"""
+
+
+ORACLE = {"op2_line_dedup": OP2_SQL, "op5_secret_scan": _op5_sql(), "op10_source_mixing": OP10_SQL}
