@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import mixing, quality, secrets
 
 OP2_SQL = r"""
 WITH lines AS (
@@ -125,4 +125,76 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN base_text b USING (r) LEFT JOIN span_text s USING (r)"""
 
 
-ORACLE = {"op2_line_dedup": OP2_SQL, "op5_secret_scan": _op5_sql(), "op10_source_mixing": OP10_SQL}
+def _bits(p: str, q: str) -> str:
+    one = lambda a: f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({p} + {q})) ELSE 0 END"
+    return f"({one(p)} + {one(q)})"
+
+
+def _op9_sql() -> str:
+    shares = ", ".join(f"sum({c})::DOUBLE / sum(n_chars) AS q_{c}" for c in quality.CLASSES)
+    class_bits = " + ".join(_bits(f"(m.{c}::DOUBLE / m.n_chars)", f"refs.q_{c}") for c in quality.CLASSES)
+    p, q = "(c::DOUBLE / n_words)", "q"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, text IS NOT NULL AS has_text, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT r, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d)
+), sums AS (SELECT r, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM w GROUP BY r),
+windows AS (
+  SELECT r, i, list(w) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {quality.WINDOW - 1} FOLLOWING) AS ws
+  FROM w
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, ws) AS n FROM windows WHERE len(ws) = {quality.WINDOW})
+  WHERE n > 1
+), repeated AS (
+  SELECT r, count(DISTINCT i + o) AS n_repeat_words
+  FROM (SELECT r, i, unnest(range({quality.WINDOW})) AS o FROM again) GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^ 	-]') GROUP BY r
+), counted AS (
+  SELECT r, doc_id, lang, has_text, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) AS n_chars,
+         length(regexp_replace(t, '[\p{{L}} 	-]+', '', 'g')) AS n_rest,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS upper, length(regexp_replace(t, '[^0-9]+', '', 'g')) AS digit
+  FROM d LEFT JOIN sums USING (r) LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)
+), m AS (
+  SELECT *, word_chars - n_rest - upper AS letter, n_symbols AS symbol, n_chars - word_chars AS space,
+         n_rest - digit - n_symbols AS other,
+         n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counted
+), drawn AS (
+  SELECT * FROM m JOIN (SELECT lang, count(*) AS n FROM d WHERE lang IS NOT NULL AND has_text GROUP BY lang) USING (lang)
+  WHERE has_text AND ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0
+        < least(1.0, {quality.SAMPLE_DOCS}::DOUBLE / n) AND NOT base_failed
+), refs AS (SELECT lang, sum(n_words) AS words, {shares} FROM drawn GROUP BY lang),
+common AS (
+  SELECT lang, word, n::DOUBLE / words AS q FROM (
+    SELECT lang, lower(w) AS word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, lower(w)) AS k
+    FROM drawn JOIN w USING (r) GROUP BY lang, lower(w)
+  ) JOIN refs USING (lang) WHERE k <= {quality.COMMON_WORDS}
+), totals AS (SELECT lang, sum(q) AS total FROM common GROUP BY lang),
+runs AS (SELECT r, lower(w) AS word, count(*) AS c FROM w GROUP BY r, lower(w)),
+met AS (
+  SELECT r, lang, sum({_bits(p, q)}) AS bits, sum({p}) AS p, sum(q) AS q
+  FROM runs JOIN common USING (word) JOIN sums USING (r) GROUP BY r, lang
+), word_distance AS (
+  SELECT r, min((bits + total - q + {_bits("greatest(1 - p, 0.0)", "greatest(1 - total, 0.0)")}) / 2) AS x
+  FROM (SELECT m.r, totals.lang, total, coalesce(bits, 0) AS bits, coalesce(p, 0) AS p, coalesce(q, 0) AS q
+        FROM m CROSS JOIN totals LEFT JOIN met ON met.r = m.r AND met.lang = totals.lang)
+  GROUP BY r
+), class_distance AS (
+  SELECT r, min(({class_bits}) / 2) AS x FROM m CROSS JOIN refs WHERE n_chars >= {quality.GUARD_CHARS} GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(c.x > {quality.MAX_CLASS_DISTANCE}, false)
+       AND NOT coalesce(n_words >= {quality.GUARD_WORDS}
+                        AND wd.x > {quality.MAX_WORD_DISTANCE} + {quality.WORD_NOISE} / n_words, false) AS kept
+FROM m LEFT JOIN class_distance c USING (r) LEFT JOIN word_distance wd USING (r)"""
+
+
+ORACLE = {"op2_line_dedup": OP2_SQL, "op5_secret_scan": _op5_sql(), "op9_quality_rules": _op9_sql(),
+          "op10_source_mixing": OP10_SQL}
