@@ -26,9 +26,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop frequent lines; a document left without a word goes."""
+    """Drop frequent lines; a document that this leaves without a word goes."""
     out = lines.line_dedup(docs).withColumn("n", mixing.word_count(F.col("kept_text")))
-    columns = [F.col("kept_text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    cut = F.col("n_dropped") > 0
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
+    columns = [F.when(cut, new[c]).otherwise(F.col(f"row.{c}")).alias(c) if c in new else F.col(f"row.`{c}`")
+               for c in docs.columns]
     return out.filter((F.col("n") > 0) | (F.col("n_dropped") == 0)).select(*columns)
 
 

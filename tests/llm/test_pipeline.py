@@ -50,7 +50,9 @@ def test_language_stage_keeps_clean_documents(spark, documents):
 
 def test_line_stage(spark, documents):
     df, rows = made_up(documents)
-    got = {r.doc_id: r.text for r in STAGES["line_dedup"](spark, df, None).collect()}
+    out = STAGES["line_dedup"](spark, df, None).collect()
+    got = {r.doc_id: r.text for r in out}
+    assert all(r.n_chars == len(r.text or "") for r in out)
     want = {i: k for i, (_, d, k) in enumerate(plain_lines([r[0] for r in rows])) if not d or brute.WORD.search(k)}
     assert {i: t or "" for i, t in got.items()} == want
 
