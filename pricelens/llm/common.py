@@ -12,7 +12,6 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricelens.config import checkpoint_dir
 
@@ -20,7 +19,6 @@ from pricelens.config import checkpoint_dir
 # and bytes.strip() use, so UTF-8 bytes are split without decoding.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 BATCH_ROWS = 1000
-WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -66,12 +64,6 @@ def text_of(column="text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def arrow_type(data_type: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(data_type)
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """The column's texts as UTF-8 bytes (NULL becomes empty)."""
     if not pa.types.is_binary(column.type) and not pa.types.is_large_binary(column.type):

@@ -16,7 +16,6 @@ counts and a spanning forest of the links, never the pairs.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
