@@ -53,6 +53,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SCRATCH_FLAG = "pricelens.checkpoint.scratch"
+
+
+def lasting_checkpoint_dir(spark: SparkSession) -> str:
+    """``checkpoint_dir`` for what must outlive the session (a stream's progress)."""
+    folder = checkpoint_dir(spark)
+    if spark.conf.get(SCRATCH_FLAG, "false") == "true":
+        raise ValueError("name a checkpoint folder, or set spark.checkpoint.dir")
+    return folder
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
@@ -67,6 +78,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="pricelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
+        spark.conf.set(SCRATCH_FLAG, "true")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current

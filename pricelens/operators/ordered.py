@@ -145,7 +145,8 @@ def latest_by(
 
     Written as ``max_by(struct(row), struct(order))``: partial aggregation
     runs before the shuffle, so a hot group ships one row per map task rather
-    than all of its rows.
+    than all of its rows. The aggregate of whole rows is sort-based: each map
+    task sorts its rows by the keys first (spilling if need be).
     """
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in keys]
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]

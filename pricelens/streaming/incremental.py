@@ -41,10 +41,11 @@ def start_incremental_load(
     """Start the stream; with ``available_now`` it stops once caught up.
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/<name>``, the shared
-    folder the cluster names in the session.
+    folder the cluster names in the session; without one it must be given,
+    since a scratch folder would forget what has been loaded.
     """
     config.configure(spark)
-    checkpoint = checkpoint or f"{config.checkpoint_dir(spark).rstrip('/')}/{name}"
+    checkpoint = checkpoint or f"{config.lasting_checkpoint_dir(spark).rstrip('/')}/{name}"
     store.bootstrap(spark, warehouse)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:

@@ -86,6 +86,14 @@ def test_a_malformed_page_has_one_fate(spark, tmp_path, warehouse, field, value)
     assert [value in r.line for r in lines] == [True]
 
 
+def test_stream_needs_a_lasting_checkpoint(spark, tmp_path, warehouse):
+    from pricelens import config
+
+    config.checkpoint_dir(spark)  # the test session has a scratch folder only
+    with pytest.raises(ValueError):
+        start_incremental_load(spark, str(tmp_path), warehouse)
+
+
 def test_stream_keeps_pages_of_one_run_in_two_files(spark, tmp_path, warehouse):
     import json
 
