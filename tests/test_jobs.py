@@ -89,9 +89,12 @@ def test_a_malformed_page_has_one_fate(spark, tmp_path, warehouse, field, value)
 def test_stream_needs_a_lasting_checkpoint(spark, tmp_path, warehouse):
     from pricelens import config
 
-    config.checkpoint_dir(spark)  # the test session has a scratch folder only
-    with pytest.raises(ValueError):
-        start_incremental_load(spark, str(tmp_path), warehouse)
+    spark.conf.set(config.SCRATCH_FLAG, "true")  # as where no folder was named
+    try:
+        with pytest.raises(ValueError):
+            start_incremental_load(spark, str(tmp_path), warehouse)
+    finally:
+        spark.conf.unset(config.SCRATCH_FLAG)
 
 
 def test_stream_keeps_pages_of_one_run_in_two_files(spark, tmp_path, warehouse):
