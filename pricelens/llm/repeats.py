@@ -31,7 +31,7 @@ from .common import packed, staged, text_of, utf8
 from .suffixes import common_prefixes, suffix_array
 
 WINDOW = 50
-GRAM = 16
+GRAM = 24  # longer: more segments, fewer that share a minimizer by chance
 BATCH_BYTES = 1 << 20
 BUCKETS_PER_PARTITION = 4
 SHARD_SEGMENTS = 12_000
@@ -41,19 +41,20 @@ PART = np.dtype([("mh", "<u8"), ("sh", "<u8"), ("doc", "<i8"), ("start", "<i4"),
 
 
 def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
-    """Hash of the ``gram`` (8 to 16) bytes from each position."""
+    """Hash of the ``gram`` (at least 8) bytes from each position."""
     n = len(data) - 7
     words = np.empty(n, np.uint64)
     for o in range(8):
         part = np.frombuffer(data, "<u8", (len(data) - o) // 8, o)
         words[o::8] = part[:len(words[o::8])]
-    h = words[:n - (gram - 8)] * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h += words[gram - 8:]
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
+    size = len(data) - gram + 1
+    h = np.zeros(size, np.uint64)
+    for o in [*range(0, gram - 8, 8), gram - 8]:  # eight bytes at a time, the last ones from the end
+        h += words[o:o + size]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    h ^= h >> np.uint64(29)
     return h
 
 

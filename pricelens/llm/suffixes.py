@@ -14,19 +14,19 @@ import numpy as np
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix array of ``s``; its last character must be 0 and occur only there."""
-    s = np.asarray(s, np.int64)
+    s = np.asarray(s, np.int32)
     n = len(s)
     if n <= 2:
         return np.arange(n)[::-1].copy()
     small = _types(s)
-    lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
+    lms = (np.nonzero(small[1:] & ~small[:-1])[0] + 1).astype(np.int32)
     buckets = _Buckets(s, small)
     order = buckets.induce(lms)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     by_substring = order[is_lms[order]]
     names = _names(s, lms, by_substring)
-    name_of = np.empty(n, np.int64)
+    name_of = np.empty(n, np.int32)
     name_of[by_substring] = names
     reduced = name_of[lms]
     if names[-1] + 1 < len(lms):
@@ -41,10 +41,9 @@ def _types(s: np.ndarray) -> np.ndarray:
     n = len(s)
     differs = np.append(s[:-1] != s[1:], True)
     # the next place where neighbours differ decides a run of equal characters
-    place = np.where(differs, np.arange(n), n - 1)
-    place = np.minimum.accumulate(place[::-1])[::-1]
-    after = np.append(s[1:], n + s[0])
-    return s[place] < np.where(place == n - 1, np.iinfo(np.int64).max, after[place])
+    grows = np.append(s[:-1] < s[1:], True)
+    place = np.nonzero(differs)[0]
+    return np.repeat(grows[place], np.diff(place, prepend=-1))
 
 
 def _names(s: np.ndarray, lms: np.ndarray, by_substring: np.ndarray) -> np.ndarray:
@@ -104,7 +103,7 @@ class _Buckets:
 
     def induce(self, lms: np.ndarray) -> np.ndarray:
         """Sort all suffixes from the order of the LMS ones."""
-        s, sa = self.s, np.full(len(self.s), -1, np.int64)
+        s, sa = self.s, np.full(len(self.s), -1, np.int32)
         chars = s[lms]
         by = np.argsort(chars, kind="stable")
         last = np.searchsorted(chars[by], np.arange(len(self.ends)), "right")
@@ -144,9 +143,8 @@ class _Buckets:
         j = j[~self.small[j]]
         if len(j):
             by, chars, first, counts = _grouped(self.s[j])
-            sa[head[chars] + np.arange(len(j)) - first] = j[by]
-            at = np.nonzero(first == np.arange(len(j)))[0]
-            head[chars[at]] += counts
+            sa[np.repeat(head[chars] - first, counts) + np.arange(len(j))] = j[by]
+            head[chars] += counts
 
     def _put_small(self, sa: np.ndarray, scanned: np.ndarray, tail: np.ndarray) -> None:
         j = scanned[::-1]
@@ -154,23 +152,27 @@ class _Buckets:
         j = j[self.small[j]]
         if len(j):
             by, chars, first, counts = _grouped(self.s[j])
-            sa[tail[chars] - 1 - (np.arange(len(j)) - first)] = j[by]
-            at = np.nonzero(first == np.arange(len(j)))[0]
-            tail[chars[at]] -= counts
+            sa[np.repeat(tail[chars] - 1 + first, counts) - np.arange(len(j))] = j[by]
+            tail[chars] -= counts
 
 
 def _grouped(chars: np.ndarray):
-    """Stable order by character, the sorted characters, each one's first place, and counts."""
+    """Stable order by character; each character, its first place and its count."""
     by = np.argsort(chars.astype(np.uint16) if chars.max() < 1 << 16 else chars, kind="stable")
     chars = chars[by]
-    at = np.nonzero(np.concatenate(([True], chars[1:] != chars[:-1])))[0]
-    counts = np.diff(np.append(at, len(chars)))
-    return by, chars, np.repeat(at, counts), counts
+    new = np.empty(len(chars), bool)
+    new[0] = True
+    np.not_equal(chars[1:], chars[:-1], out=new[1:])
+    first = np.nonzero(new)[0]
+    counts = np.empty_like(first)
+    counts[:-1], counts[-1] = first[1:] - first[:-1], len(chars) - first[-1]
+    return by, chars[first], first, counts
 
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each position, how much its suffix shares
     with the one before it in ``sa``, up to ``most`` (0 for the first)."""
+    s = np.asarray(s, np.int32)
     n = len(s)
     before = np.empty(n, np.int64)
     before[sa[0]], before[sa[1:]] = -1, sa[:-1]
