@@ -4,7 +4,7 @@ status, and the incremental streaming load."""
 import os
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from pricelens.plans import jobs, quality
 from pricelens.sources import store

@@ -4,8 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import SF_SMALL
-from helpers import T0, snapshot, snapshots_df
+from helpers import SF_SMALL, T0, snapshot, snapshots_df
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
