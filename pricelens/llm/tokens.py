@@ -16,6 +16,7 @@ it plus the totals of the tasks before, one row per task.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,12 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Memory, byte_letters
-from .common import staged, text_of, utf8
+from .common import small_batches, staged, text_of, utf8
 
 SHARD_TOKENS = 1 << 20
 MAGIC = b"WVM1"
 SUPERBLOCK = 512  # bits between stored rank counts
 END_ID = 1
+WORDS = 300_000  # a worker remembers one or two times as many words
 # Fixed value: the pre-tokenizer pattern of the word-level vocabulary.
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 LATIN = regex.compile(r"[!-@\[-~\u00C0-\u024F]*")  # letters whose case and class every Unicode version shares
@@ -187,23 +189,31 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.words = Memory(self._word)
-        self.pieces = Memory(self._piece)
+        self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = np.dtype(f"<u{array(self.code).itemsize}")
+        self.model, self.words, self.pieces = self.library.model, Memory(self._word, WORDS), Memory(self._piece)
         self.letters = {b: c for c, b in byte_letters().items()}
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        return np.array([t.id for t in self.library.model.tokenize(spelled)], "<u4").tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
+        if word.isalpha() and word.islower():  # ASCII letters only
+            return self._piece(text)
         if b"<|" in word or not LATIN.fullmatch(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
         if not text.isascii():
             text = self.library.normalizer.normalize_str(text)
-        return b"".join([self.pieces[p] for p in WORD_PIECES.findall(text)])
+            if text.isalpha():
+                return self._piece(text)
+        words, pieces = self.words, self.pieces
+        return b"".join([words[p.encode()] if p.isascii() and p.isalpha() else pieces[p]
+                         for p in WORD_PIECES.findall(text)])
 
     def encode(self, text: bytes) -> bytes:
+        """Ids as little-endian integers of ``kind``."""
         if b"<|" not in text:  # the vocabulary is of lower case; special tokens are not
             text = text.lower()
         words = self.words
@@ -217,10 +227,13 @@ def load(path: str) -> WordEncoder:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = load(path), struct.pack("<I", end_id)
+        encoder = load(path)
+        end = array(encoder.code, [end_id]).tobytes()
         for batch in batches:
             ids = [encoder.encode(t) + end for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
+            width = pa.array([encoder.kind.itemsize] * len(ids), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), width, pa.array(ids, pa.binary())],
+                                             ["id", "width", "ids"])
 
     return run
 
@@ -230,21 +243,22 @@ def _pack(shard_tokens: int):
         part, seq, base, docs, texts, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def shard():
-            lengths = np.array([len(t) // 4 for t in texts], np.int64)
-            file = write_shard(np.array(docs, np.int64), lengths, np.frombuffer(b"".join(texts), "<u4"))
+            lengths = np.array([len(t) // width for t in texts], np.int64)
+            file = write_shard(np.array(docs, np.int64), lengths, np.frombuffer(b"".join(texts), f"<u{width}"))
             return pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "base": pa.array([base], pa.int64()),
-                 "n_docs": pa.array([len(docs)], pa.int64()), "n_tokens": pa.array([size // 4], pa.int64()),
+                 "n_docs": pa.array([len(docs)], pa.int64()), "n_tokens": pa.array([size // width], pa.int64()),
                  "file": pa.array([file], pa.binary())})
 
         for batch in batches:
+            width = batch.column("width")[0].as_py() if len(batch) else 4
             for doc, ids in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
                 docs.append(NO_ID if doc is None else doc)
                 texts.append(ids)
                 size += len(ids)
-                if size >= shard_tokens * 4:
+                if size >= shard_tokens * width:
                     yield shard()
-                    seq, base, docs, texts, size = seq + 1, base + size // 4, [], [], 0
+                    seq, base, docs, texts, size = seq + 1, base + size // width, [], [], 0
         if docs:
             yield shard()
 
@@ -263,8 +277,8 @@ def write_tokens(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS, e
     empty text has the end id only; a NULL id comes first; rows of one id are
     ordered by their ids. An empty table gives no shards.
     """
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_of(text).alias("text"))
-    ids = staged(slim.mapInArrow(_encode(path, end_id), "id bigint, ids binary"), "token-ids")
+    slim = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("id"), text_of(text).alias("text"))
+    ids = staged(slim.mapInArrow(_encode(path, end_id), "id bigint, width int, ids binary"), "token-ids")
     ordered = ids.repartitionByRange("id").sortWithinPartitions("id", "ids")
     return staged(ordered.mapInArrow(_pack(shard_tokens), SHARD_SCHEMA), "token-shards")
 
