@@ -183,8 +183,9 @@ def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, max_repeats: int
     ends = [(r["source"], [int(x) for x in c]) for r, c in zip(rows, np.cumsum(dealt, axis=1))]
     spark = docs.sparkSession
     tree = spark.createDataFrame(ends, "t string, ends array<bigint>")
-    plan = plan.join(tree, F.col("source").eqNullSafe(F.col("t"))).select(
-        F.col("source").alias("s"), "passes", "cut", "ends")
+    # written, so that its size is known and the texts need not be shuffled by source
+    plan = staged(plan.join(tree, F.col("source").eqNullSafe(F.col("t"))).select(
+        F.col("source").alias("s"), "passes", "cut", "ends"), "mix-tree")
     whole = packed(docs, F.col(source).cast("string").alias("source"),
                    order_hash(F.col(doc_id), seed).alias("h"))
     met = whole.join(plan, F.col("source").eqNullSafe(F.col("s"))).filter(_copies() > 0)
