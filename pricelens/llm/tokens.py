@@ -303,6 +303,7 @@ def read_tokens(shards: DataFrame) -> DataFrame:
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row per writing task
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # written, so that its size is known and the files need not be shuffled to meet it
+    parts = staged(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "token-parts")
     placed = shards.join(parts, "part").select((F.col("base") + F.col("before")).alias("base"), "file")
     return placed.mapInArrow(_unpack, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
