@@ -79,7 +79,9 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
     keys = staged(slim.mapInArrow(_hashes(min_chars), f"id {kind}, h binary"), "line-keys")
-    frequent = keys.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("h")
+    # written, so that the join below is a plain one: small, or split where a line is hot
+    frequent = staged(keys.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("h"),
+                      "frequent-lines")
     # a hash is dropped everywhere, so the lists of repeated ids may be merged
     drops = (keys.join(frequent, "h").groupBy("id").agg(F.collect_set("h").alias("drop")))
     whole = packed(docs, F.col(doc_id).alias("doc_key"), text_of(text).alias("text"))
