@@ -158,8 +158,8 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
     A NULL text has size 0; NULL is a source of its own, ordered last. A
     source without words takes nothing. An empty table gives no rows.
     """
-    sized = staged(sized_documents(docs, seed, source, text, doc_id), "mix-sizes")
-    plan = mixing_plan(sized, weights, max_repeats).withColumnRenamed("source", "s")
+    sized, plan = _planned(docs, weights, max_repeats, seed, source, text, doc_id)
+    plan = plan.withColumnRenamed("source", "s")
     met = sized.join(plan, F.col("source").eqNullSafe(F.col("s")))
     return met.select("id", "source", "size", "source_size", "target", _copies().alias("copies"))
 
@@ -168,14 +168,13 @@ def _copies():
     return F.col("passes") + F.when(F.col("h") <= F.col("cut"), 1).otherwise(0)
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
-        seed: int = SEED, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The mixed rows: ``row`` once per copy, with ``copy``, ``shard`` and ``order_key``.
-
-    Write them partitioned by ``shard`` and sorted by ``order_key``.
-    """
+def _planned(docs: DataFrame, weights, max_repeats: int, seed: int, source: str, text: str,
+             doc_id: str) -> tuple[DataFrame, DataFrame]:
     sized = staged(sized_documents(docs, seed, source, text, doc_id), "mix-sizes")
-    plan = mixing_plan(sized, weights, max_repeats)
+    return sized, mixing_plan(sized, weights, max_repeats)
+
+
+def _dealt(docs: DataFrame, plan: DataFrame, shards: int, seed: int, source: str, text: str, doc_id: str) -> DataFrame:
     rows = plan.collect()  # one row per source, like the weights
     edges = [int(r["cut"][:BLOCK_DIGITS], 16) if r["cut"] not in (None, "g") else -1 for r in rows]
     quotas = [BLOCKS * r["passes"] + (BLOCKS if r["cut"] == "g" else e + 1) for r, e in zip(rows, edges)]
@@ -187,11 +186,29 @@ def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, max_repeats: int
     plan = staged(plan.join(tree, F.col("source").eqNullSafe(F.col("t"))).select(
         F.col("source").alias("s"), "passes", "cut", "ends"), "mix-tree")
     whole = packed(docs, F.col(source).cast("string").alias("source"),
-                   order_hash(F.col(doc_id), seed).alias("h"))
+                   order_hash(F.col(doc_id), seed).alias("h"), F.xxhash64(text_of(text)).alias("text_hash"))
     met = whole.join(plan, F.col("source").eqNullSafe(F.col("s"))).filter(_copies() > 0)
     met = met.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), _copies() - 1)))
     rank = F.col("copy") * BLOCKS + F.conv(F.substring("h", 1, BLOCK_DIGITS), 16, 10).cast("bigint")
     met = met.withColumn("rank", rank)
     shard = F.size(F.filter("ends", lambda e: e <= F.col("rank"))).cast("int")
-    return met.select("row", F.col("copy").cast("int").alias("copy"), shard.alias("shard"),
-                      F.xxhash64("h", "copy", F.lit(seed)).alias("order_key"))
+    # the text is in the key for rows without an id, which share their h
+    met = met.select("row", F.col("copy").cast("int").alias("copy"), shard.alias("shard"),
+                     F.xxhash64("h", "copy", "text_hash", F.lit(seed)).alias("order_key"))
+    # a shard is cut into ranges of its (uniform) order keys: more tasks than shards, no sampling
+    ranges = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
+    high = F.shiftright("order_key", 32) + F.lit(1 << 31)
+    place = F.col("shard") * ranges + F.shiftright(high * ranges, 32).cast("int")
+    return met.repartitionById(shards * ranges, place).sortWithinPartitions("shard", "order_key")
+
+
+def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
+        seed: int = SEED, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The mixed rows: ``row`` once per copy, with ``copy``, ``shard`` and ``order_key``.
+
+    Every partition holds one shard, or one range of its order keys, sorted by
+    them; partitions are in the order of shards and ranges, so the files of a
+    plain write are the shuffled shards one after another.
+    """
+    _, plan = _planned(docs, weights, max_repeats, seed, source, text, doc_id)
+    return _dealt(docs, plan, shards, seed, source, text, doc_id)

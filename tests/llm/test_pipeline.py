@@ -6,10 +6,12 @@ import brute
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_simhash import expected as simhash_expected
 from test_texts import plain_lines
 
 import __spark_entry__ as entry
+from pricelens.llm.common import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGES = dict(corpus_pipeline.STAGES)
@@ -75,6 +77,18 @@ def test_mixing_stage_repeats_documents(spark, documents):
     assert {i: got.count(i) for i in copies} == copies
 
 
+def test_mixing_stage_writes_shuffled_shards(spark, documents):
+    from pricelens.llm import mixing
+
+    df, _ = made_up(documents)
+    place = {(r.row.doc_id, r["copy"]): (r.shard, r.order_key) for r in mixing.mix(df).collect()}
+    files = {}
+    for r in staged(STAGES["source_mixing"](spark, df, None), "mix-test").select("doc_id", F.input_file_name().alias("f")).collect():
+        files.setdefault(r.f, []).append(r.doc_id)
+    shards = {s: sorted((k, i) for (i, _), (t, k) in place.items() if t == s) for s, _ in place.values()}
+    assert sorted(files.values()) == sorted([i for _, i in keys] for keys in shards.values()) and len(shards) > 8
+
+
 def test_the_whole_pipeline_equals_its_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:

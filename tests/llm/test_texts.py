@@ -84,6 +84,19 @@ def test_mixing_takes_near_the_target_and_agrees_with_itself(spark, documents):
     assert {r.shard for r in placed} == set(range(5))
 
 
+def test_mixed_rows_lie_in_shuffled_shards(spark, documents):
+    rng = random.Random(4)
+    rows = [("w " * rng.randint(1, 9) + str(i), None, rng.choice(["a", "b", "c"]), i if i % 3 else None) for i in range(600)]
+    for shards, ranges in ((2, 2), (5, 1)):  # four shuffle partitions
+        placed = mixing.mix(documents(rows), shards=shards).withColumn("part", F.spark_partition_id()).collect()
+        own = {}
+        for r in placed:
+            own.setdefault(r.part, []).append((r.shard, r.order_key))
+        assert len(own) == shards * ranges and {r.shard for r in placed} == set(range(shards))
+        assert all(len({s for s, _ in keys}) == 1 for keys in own.values())
+        assert sum((own[p] for p in sorted(own)), []) == sorted((r.shard, r.order_key) for r in placed)
+
+
 def test_mixing_edges(spark, documents):
     assert mixed(documents([])) == {}
     assert mixed(documents([(None, None, "a"), ("", None, None)])) == {0: (0, 0, 0.0, 0), 1: (0, 0, 0.0, 0)}
