@@ -155,13 +155,25 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
                source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``id, size, source_size, target, copies`` for each document.
 
+    The mix is made and written as ``mix`` says; ``copies`` counts the rows of
+    a document that were dealt to a shard. Rows of one source that share an id
+    are taken together and have the same number.
+
     A NULL text has size 0; NULL is a source of its own, ordered last. A
     source without words takes nothing. An empty table gives no rows.
     """
     sized, plan = _planned(docs, weights, max_repeats, seed, source, text, doc_id)
-    plan = plan.withColumnRenamed("source", "s")
-    met = sized.join(plan, F.col("source").eqNullSafe(F.col("s")))
-    return met.select("id", "source", "size", "source_size", "target", _copies().alias("copies"))
+    mixed = staged(_dealt(docs, plan, SHARDS, seed, source, text, doc_id), "mix-rows")
+    there = sized.select("id", "source", F.lit(1).alias("n"), F.lit(0).alias("dealt"))
+    dealt = mixed.select(F.col(f"row.`{doc_id}`").alias("id"), F.col(f"row.`{source}`").cast("string").alias("source"),
+                         F.lit(0).alias("n"), F.lit(1).alias("dealt"))
+    per = there.unionAll(dealt).groupBy("id", "source").agg(F.sum("n").alias("n"), F.sum("dealt").alias("dealt"))
+    per = staged(per.select(F.col("id").alias("i"), F.col("source").alias("s"),
+                            F.expr("dealt div n").alias("copies")), "mix-counts")
+    met = sized.join(per, F.col("id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    plan = plan.select(F.col("source").alias("s"), "source_size", "target")
+    met = met.join(plan, F.col("source").eqNullSafe(F.col("s")))
+    return met.select("id", "source", "size", "source_size", "target", "copies")
 
 
 def _copies():

@@ -97,6 +97,19 @@ def test_mixed_rows_lie_in_shuffled_shards(spark, documents):
         assert sum((own[p] for p in sorted(own)), []) == sorted((r.shard, r.order_key) for r in placed)
 
 
+def test_mixing_query_counts_rows_dealt_by_the_tree(spark, sf_dir, monkeypatch):
+    calls, tree = [], mixing.splitting_tree
+    monkeypatch.setattr(mixing, "splitting_tree", lambda *a: calls.append(tree(*a)) or calls[-1])
+    got = queries.op10_source_mixing(spark, sf_dir).collect()
+    assert len(calls) == 1 and calls[0].shape[1] == mixing.SHARDS and calls[0].all()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    size = {r.doc_id: r.size for r in got}
+    taken = dict.fromkeys(size, 0)
+    for r in mixing.mix(docs).select("row.doc_id").collect():
+        taken[r.doc_id] += size[r.doc_id]
+    assert {r.doc_id: r.taken for r in got} == taken
+
+
 def test_mixing_edges(spark, documents):
     assert mixed(documents([])) == {}
     assert mixed(documents([(None, None, "a"), ("", None, None)])) == {0: (0, 0, 0.0, 0), 1: (0, 0, 0.0, 0)}
