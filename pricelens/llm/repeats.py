@@ -11,8 +11,12 @@ minimizer travel as one segment, first as a hash only:
 2. Segments of one minimizer that differ, in different documents, are fetched
    and sorted in shards of about ``SHARD_SEGMENTS``: a suffix array by induced
    sorting, permuted common prefixes, and the smallest document of every run
-   of suffixes that share ``WINDOW`` bytes. A minimizer with more segments
-   than a shard holds is cut into single windows, dealt by their own hashes.
+   of suffixes that share ``WINDOW`` bytes.
+3. A minimizer with more segments than a shard holds is cut into single
+   windows. Equal ones (by their bytes) collapse to their smallest document,
+   per batch and then before the shuffle, and that document is joined back to
+   the windows left: no group grows with the documents of a window. Windows
+   that differ share no ``WINDOW`` bytes, so nothing is left to sort.
 
 The covered spans go back to their documents, which are cut once.
 """
@@ -184,14 +188,10 @@ def _fetch(window: int, shards: int):
                                        batch.column("wanted").to_pylist()):
                 for w in wanted:
                     a, n = w["start"], w["n"]
-                    pieces = [(a + k, 1) for k in range(n)] if w["large"] else [(a, n)]
-                    for at, size in pieces:
-                        piece = text[at:at + size + window - 1]
-                        key = xxhash.xxh3_64_intdigest(piece) if w["large"] else w["mh"] * 0x9E3779B97F4A7C15 >> 20
-                        shard.append(key % shards)
-                        doc.append(i)
-                        start.append(at)
-                        body.append(piece)
+                    shard.append((w["mh"] * 0x9E3779B97F4A7C15 >> 20) % shards)
+                    doc.append(i)
+                    start.append(a)
+                    body.append(text[a:a + n + window - 1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()),
                  pa.array(body, pa.binary())], ["shard", "doc", "start", "body"])
@@ -199,6 +199,32 @@ def _fetch(window: int, shards: int):
     return run
 
 
+def _collapse(window: int):
+    """The batch's smallest document of each distinct window; other windows are covered (NULL)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least: dict[bytes, tuple[int, list[int]]] = {}
+            covered: dict[int, list[int]] = {}
+            for i, text, wanted in zip(batch.column("doc").to_pylist(), utf8(batch.column("text")),
+                                       batch.column("wanted").to_pylist()):
+                for at in (w["start"] + k for w in wanted for k in range(w["n"])):
+                    piece = text[at:at + window]
+                    first, starts = least.setdefault(piece, (i, []))
+                    if i == first:
+                        starts.append(at)
+                    elif i > first:
+                        covered.setdefault(i, []).append(at)
+                    else:
+                        covered.setdefault(first, []).extend(starts)
+                        least[piece] = i, [at]
+            docs, starts = zip(*least.values(), *covered.items()) if least else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*least, *[None] * len(covered)], pa.binary()), pa.array(docs, pa.int64()),
+                 pa.array(starts, pa.list_(pa.int32()))], ["piece", "doc", "starts"])
+
+    return run
+
+
 def shard_covers(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], window: int = WINDOW):
     """Spans (doc, start, length) of windows that also start in a smaller document of the shard."""
     sizes = np.array([len(b) for b in bodies])
@@ -285,13 +311,31 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text:
     per = asked.groupBy("mh").agg(F.count("*").alias("c")).filter(F.col("c") > SHARD_SEGMENTS)
     large = staged(per.select("mh", F.lit(True).alias("large")), "repeat-large")
     asked = asked.join(large, "mh", "left").withColumn("large", F.coalesce("large", F.lit(False)))
-    pieces = asked.agg(F.sum(F.when(F.col("large"), F.col("n")).otherwise(1)).alias("n")).first()["n"] or 0
-    shards = max(1, -(-int(pieces) * 2 // SHARD_SEGMENTS))
-    wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("mh", "start", "n", "large")).alias("wanted"))
-    fetched = slim.join(wanted, "doc").mapInArrow(
+    n = asked.agg(F.count_if(~F.col("large")).alias("small"), F.count_if("large").alias("large")).first()
+    shards = max(1, -(-n["small"] * 2 // SHARD_SEGMENTS))
+    fetched = _with_wanted(slim, asked.filter(~F.col("large"))).mapInArrow(
         _fetch(window, shards), "shard bigint, doc bigint, start int, body binary")
     sorted_ = fetched.groupBy("shard").applyInArrow(_sort_shard(window), "doc bigint, start int, size int")
-    return staged(covers.unionAll(sorted_), "repeat-spans")
+    covers = covers.unionAll(sorted_)
+    if n["large"]:
+        covers = covers.unionAll(_large_covers(_with_wanted(slim, asked.filter("large")), window))
+    return staged(covers, "repeat-spans")
+
+
+def _with_wanted(slim: DataFrame, asked: DataFrame) -> DataFrame:
+    wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("mh", "start", "n")).alias("wanted"))
+    return slim.join(wanted, "doc")
+
+
+def _large_covers(asked: DataFrame, window: int) -> DataFrame:
+    """``doc, start, size`` of the windows asked for that also start in a smaller document."""
+    found = staged(asked.mapInArrow(_collapse(window), "piece binary, doc bigint, starts array<int>"), "repeat-windows")
+    least = found.filter("piece IS NOT NULL").groupBy("piece").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    # written, so that its size is known: a join on a hot window is broadcast or split
+    least = staged(least.filter("least < most").select("piece", "least"), "repeat-least")
+    met = found.join(least, "piece").filter(F.col("doc") > F.col("least")).select("doc", "starts")
+    met = met.unionAll(found.filter("piece IS NULL").select("doc", "starts"))
+    return met.select("doc", F.explode("starts").alias("start"), F.lit(window).alias("size"))
 
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text",

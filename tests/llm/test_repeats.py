@@ -81,6 +81,27 @@ def test_many_copies_and_a_very_long_text(spark, documents):
     check(documents(texts).repartition(6), texts)
 
 
+def test_a_passage_in_many_contexts_fills_no_shard(spark, documents, monkeypatch):
+    sort = repeats._sort_shard
+
+    def bounded(window):
+        inner = sort(window)
+
+        def run(table):
+            assert table.num_rows < 100, "a shard grows with the documents of one window"
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(repeats, "SHARD_SEGMENTS", 20)
+    monkeypatch.setattr(repeats, "_sort_shard", bounded)
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(120) + "-" * 70
+    texts = [some(rng.randint(0, 60)) + passage + some(rng.randint(0, 60)) for _ in range(900)]
+    check(documents(texts).repartition(3), texts)
+
+
 def test_null_repeated_and_no_documents(spark, documents):
     text = "0123456789" * 6
     rows = [(text, None, None, 5), (text, None, None, 5), (text, None, None, None), (text, None, None, None)]
