@@ -139,7 +139,8 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, lang, text IS NOT NULL AS has_text, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
-  FROM (SELECT r, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d)
+  FROM (SELECT r, regexp_extract_all(t, '[^ 	-
+]+') AS ws FROM d)
 ), sums AS (SELECT r, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM w GROUP BY r),
 windows AS (
   SELECT r, i, list(w) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {quality.WINDOW - 1} FOLLOWING) AS ws
@@ -153,12 +154,14 @@ windows AS (
 ), lines AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
-  WHERE regexp_matches(line, '[^ 	-]') GROUP BY r
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY r
 ), counted AS (
   SELECT r, doc_id, lang, has_text, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) AS n_chars,
-         length(regexp_replace(t, '[\p{{L}} 	-]+', '', 'g')) AS n_rest,
+         length(regexp_replace(t, '[\p{{L}} 	-
+]+', '', 'g')) AS n_rest,
          length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS upper, length(regexp_replace(t, '[^0-9]+', '', 'g')) AS digit
   FROM d LEFT JOIN sums USING (r) LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)
 ), m AS (
@@ -196,5 +199,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m LEFT JOIN class_distance c USING (r) LEFT JOIN word_distance wd USING (r)"""
 
 
-ORACLE = {"op2_line_dedup": OP2_SQL, "op5_secret_scan": _op5_sql(), "op9_quality_rules": _op9_sql(),
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), known AS (
+  SELECT r, doc_id, terms, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM known
+), tf AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM known) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, totals GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)
+), asked AS (
+  SELECT DISTINCT i, item_id, unnest(terms) AS term FROM items
+), scores AS (
+  SELECT i, item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term), totals
+  GROUP BY i, item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLE = {"op12_lexical_search": OP12_SQL, "op2_line_dedup": OP2_SQL, "op5_secret_scan": _op5_sql(), "op9_quality_rules": _op9_sql(),
           "op10_source_mixing": OP10_SQL}

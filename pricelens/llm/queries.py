@@ -11,11 +11,26 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 
-from . import bpe, embeddings, langid, lines, mixing, quality, repeats, secrets, simhash, tokens
+from . import (
+    bpe,
+    conversations,
+    embeddings,
+    langid,
+    lexical,
+    lines,
+    mixing,
+    quality,
+    repeats,
+    replay,
+    secrets,
+    simhash,
+    tokens,
+)
 from .common import read_table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,6 +40,13 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def byte_pattern() -> str:
+    """The pre-tokenizer pattern that goes with the ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     config.configure(spark)
     return read_table(spark, sf_dir, "documents")
@@ -90,6 +112,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config.configure(spark)
+    rows = conversations.damaged(read_table(spark, sf_dir, "conversations"))
+    return conversations.summaries(conversations.repair(rows))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_merge_replay_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer_path(BYTE_RANKS), byte_pattern()
+    ids = replay.encode(_documents(spark, sf_dir), path, pattern, carry=["doc_id"])
+    out = replay.decode(ids, path, pattern)
+    return out.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -101,4 +141,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_merge_replay_codec": op13_merge_replay_codec,
 }

@@ -1,8 +1,10 @@
 """Plain Python versions of the operators' contracts, for small fixtures."""
 
+import functools
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -83,3 +85,82 @@ def suffix_dedup(docs, window=50):
         spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
         out[i] = (len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g))
     return out
+
+
+def damaged(conv_id, turn, role, text):
+    """The contract's damage: the rows that stay of one row."""
+    of = lambda v: " " if v is None else str(v)
+    kind = zlib.crc32(f"{of(conv_id)}:{of(turn)}".encode()) % 20
+    role, text = of(role), of(text)
+    text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+    return [(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+
+
+def repair(rows):
+    """rows: (turn, role, text) in order -> the contract's columns but conv_id."""
+    turns = [t for t, _, _ in rows if t is not None]
+    faults, seen = [], set()
+    for _, role, text in rows:
+        said = WORD.findall(text)
+        faults.append("blank" if not said else "duplicate" if (role, text) in seen
+                      else "truncated" if said[-1][-1] not in ".!?" else None)
+        seen.add((role, text))
+
+    moves = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    @functools.cache
+    def best(i, state, inserts):
+        """Least (cost, letters, turns) from row i on."""
+        found = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+        ways = []
+        if inserts < 4:
+            ways += [(3, "I", i, r, inserts + 1, (r, "")) for r in ("user", "assistant")]
+        if i < len(rows):
+            _, role, text = rows[i]
+            ways.append((4, "D", i + 1, None, 0, None))
+            if faults[i] not in ("blank", "duplicate"):
+                more = 3 * (faults[i] == "truncated")
+                ways += [(3 + more, "R", i + 1, r, 0, (r, text)) for r in ("user", "assistant")]
+                ways.append((more, "K", i + 1, role, 0, (role, text)))
+        for cost, letter, to, role, n, turn in ways:
+            then = state if role is None else moves.get((state, role[:1]))
+            if then is not None:
+                rest = best(to, then, n)
+                if rest:
+                    found.append((cost + rest[0], letter + rest[1], ((turn,) if turn else ()) + rest[2]))
+        return min(found, default=None)
+
+    for i in range(len(rows), 0, -1):  # from behind, so that no call goes deep
+        for state in ("", "s", "u", "a"):
+            best(i, state, 0)
+    cost, audit, left = best(0, "", 0)
+    initials = [r[:1] for _, r, _ in rows]
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *[faults.count(f) for f in (
+        "blank", "duplicate", "truncated")], sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+        cost, audit, sha("\n".join(f"{r}:{t}" for r, t in left)))
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+
+
+def ranked(docs, items, top=50):
+    """docs, items: [(id, text)] -> {(item, rank): (doc, score)}; ids differ."""
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    n_docs, n_terms = sum(1 for _, c in held if c), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = {}
+    for item, text in items:
+        weights = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in set(terms(text))}
+        scores = []
+        for doc, c in held:
+            m = 50 + 50 * sum(c.values()) * n_docs // n_terms if n_terms else 50
+            score = sum(w * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m)) for t, w in weights.items())
+            if score > 0:
+                scores.append((-score, doc is None, doc))
+        for rank, (score, _, doc) in enumerate(sorted(scores)[:top], 1):
+            out[item, rank] = doc, -score
+    return out
