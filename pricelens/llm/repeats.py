@@ -9,7 +9,7 @@ minimizer travel as one segment, first as a hash only:
    the smallest document are covered. This is combined per batch before the
    shuffle, so a passage that is everywhere sends one row a batch.
 2. Segments of one minimizer that differ, in different documents, are fetched
-   and sorted in shards of about ``SHARD_SEGMENTS``: a suffix array by induced
+   and sorted in shards bounded by segments and by bytes: a suffix array by induced
    sorting, permuted common prefixes, and the smallest document of every run
    of suffixes that share ``WINDOW`` bytes.
 3. A minimizer with more segments than a shard holds is cut into single
@@ -39,6 +39,8 @@ GRAM = 24  # longer: more segments, fewer that share a minimizer by chance
 BATCH_BYTES = 1 << 20
 BUCKETS_PER_PARTITION = 4
 SHARD_SEGMENTS = 12_000
+SHARD_BYTES = 1 << 19  # of segments, on average
+TASKS_PER_PARTITION = 10
 LAST_ID = (1 << 63) - 1  # a document without an id comes after all others
 COVER, CANDIDATE = 0, 1
 PART = np.dtype([("mh", "<u8"), ("sh", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
@@ -106,6 +108,21 @@ def covered_by_equal(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p, p["doc"] > first
 
 
+def joined(docs: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans (doc, start, size) that overlap or touch become one."""
+    if not len(docs):
+        return docs, starts, sizes
+    by = np.lexsort((starts, docs))
+    docs, starts, ends = docs[by], starts[by].astype(np.int64), (starts[by] + sizes[by]).astype(np.int64)
+    new = np.ones(len(docs), bool)
+    new[1:] = docs[1:] != docs[:-1]
+    offset = np.cumsum(new) << 32  # keeps the documents' ends apart
+    reach = np.maximum.accumulate(ends + offset)
+    new[1:] |= starts[1:] + offset[1:] > reach[:-1]
+    at = np.nonzero(new)[0]
+    return docs[at], starts[at], np.append(reach[at[1:] - 1], reach[-1]) - offset[at] - starts[at]
+
+
 def _windows(docs: list[int], texts: list[bytes]):
     """The texts in lots of about BATCH_BYTES."""
     lot, ids, size = [], [], 0
@@ -128,8 +145,11 @@ def _parts(buckets: int, window: int, gram: int):
             docs = batch.column("doc").to_pylist()
             found = [segments(*lot, window, gram) for lot in _windows(docs, utf8(batch.column("text")))]
             p, covered = covered_by_equal(np.concatenate(found))
-            # the batch's own covers ride along in any bucket
-            yield _rows([hash(docs[0]) % buckets], [COVER], [p[covered]])
+            # the batch's own covers ride along in any bucket, neighbours as one
+            doc, start, size = joined(p["doc"][covered], p["start"][covered], p["n"][covered] + window - 1)
+            covers = np.zeros(len(doc), PART)
+            covers["doc"], covers["start"], covers["n"] = doc, start, size - window + 1
+            yield _rows([hash(docs[0]) % buckets], [COVER], [covers])
             p = p[~covered]
             bucket = (p["mh"] >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -228,9 +248,9 @@ def _collapse(window: int):
 def shard_covers(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], window: int = WINDOW):
     """Spans (doc, start, length) of windows that also start in a smaller document of the shard."""
     sizes = np.array([len(b) for b in bodies])
-    text = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64) + 2
+    text = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int32) + 2
     ends = np.cumsum(sizes)
-    s = np.zeros(len(text) + len(bodies) + 1, np.int64)  # every segment ends with 1, all with 0
+    s = np.zeros(len(text) + len(bodies) + 1, np.int32)  # every segment ends with 1, all with 0
     owner = np.repeat(np.arange(len(bodies)), sizes)
     place = np.arange(len(text)) + owner
     s[place] = text
@@ -256,8 +276,8 @@ def shard_covers(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], wind
 
 def _sort_shard(window: int):
     def run(table: pa.Table) -> pa.Table:
-        doc, start, n = shard_covers(table.column("doc").to_numpy(), table.column("start").to_numpy(),
-                                     table.column("body").to_pylist(), window)
+        doc, start, n = joined(*shard_covers(table.column("doc").to_numpy(), table.column("start").to_numpy(),
+                                             table.column("body").to_pylist(), window))
         return pa.table({"doc": doc, "start": start.astype(np.int32), "size": n.astype(np.int32)})
 
     return run
@@ -311,11 +331,14 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text:
     per = asked.groupBy("mh").agg(F.count("*").alias("c")).filter(F.col("c") > SHARD_SEGMENTS)
     large = staged(per.select("mh", F.lit(True).alias("large")), "repeat-large")
     asked = asked.join(large, "mh", "left").withColumn("large", F.coalesce("large", F.lit(False)))
-    n = asked.agg(F.count_if(~F.col("large")).alias("small"), F.count_if("large").alias("large")).first()
-    shards = max(1, -(-n["small"] * 2 // SHARD_SEGMENTS))
+    size = F.when(~F.col("large"), F.col("n") + window - 1)
+    n = asked.agg(F.count(size).alias("small"), F.count_if("large").alias("large"), F.sum(size).alias("bytes")).first()
+    shards = max(1, -(-n["small"] * 2 // SHARD_SEGMENTS), -(-(n["bytes"] or 0) // SHARD_BYTES))
     fetched = _with_wanted(slim, asked.filter(~F.col("large"))).mapInArrow(
         _fetch(window, shards), "shard bigint, doc bigint, start int, body binary")
-    sorted_ = fetched.groupBy("shard").applyInArrow(_sort_shard(window), "doc bigint, start int, size int")
+    # by number: AQE would join shards by their bytes, which tell little of the work in them
+    tasks = min(shards, TASKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sorted_ = fetched.repartition(tasks, "shard").groupBy("shard").applyInArrow(_sort_shard(window), "doc bigint, start int, size int")
     covers = covers.unionAll(sorted_)
     if n["large"]:
         covers = covers.unionAll(_large_covers(_with_wanted(slim, asked.filter("large")), window))

@@ -3,14 +3,17 @@
 The textbook's scan places one suffix at a time. Here a whole run of buckets
 is scanned at once whenever nothing in it induces into it: where a bucket can
 induce to is known from the text alone (the characters before its suffixes).
-A bucket that induces into itself, as in runs of one character, is scanned in
-rounds. The same holds at every level of the recursion, whatever its alphabet.
+A bucket that induces into itself holds runs of one character; all suffixes of
+a run are placed at once, since how far each is from the run's end gives their
+order. The same holds at every level of the recursion, whatever its alphabet.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+FEW = 64
+
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix array of ``s``; its last character must be 0 and occur only there."""
@@ -54,12 +57,15 @@ def _names(s: np.ndarray, lms: np.ndarray, by_substring: np.ndarray) -> np.ndarr
     same = length[a] == length[b]
     live = np.nonzero(same)[0]
     d = 0
-    while len(live):
+    while len(live) > FEW:
         live = live[length[a[live]] > d]
         differ = s[a[live] + d] != s[b[live] + d]
         same[live[differ]] = False
         live = live[~differ]
         d += 1
+    for i in live.tolist():  # the few that are left may be long
+        x, y, size = int(a[i]), int(b[i]), int(length[a[i]])
+        same[i] = np.array_equal(s[x + d:x + size], s[y + d:y + size])
     return np.concatenate(([0], np.cumsum(~same)))
 
 
@@ -80,6 +86,8 @@ class _Buckets:
         self.small_to = np.full(size, -1)
         np.maximum.at(self.small_to, at[is_small], before[is_small])
         self.up, self.down = self._runs(), self._runs_down()
+        new = np.append(True, s[1:] != s[:-1])
+        self.run_start = np.nonzero(new)[0][np.cumsum(new) - 1].astype(np.int32)
 
     def _runs(self) -> list[tuple[int, int]]:
         to, out, c, size = self.large_to.tolist(), [], 0, len(self.starts)
@@ -112,9 +120,10 @@ class _Buckets:
         for lo, hi in self.up:
             if self.large_to[lo] == lo:
                 at = int(self.starts[lo])
-                while at < head[lo]:
-                    at, part = int(head[lo]), sa[at:head[lo]]
-                    self._put_large(sa, part, head)
+                part = self._unrolled(sa[at:head[lo]])
+                head[lo] = at + len(part)
+                sa[at:head[lo]] = part
+                self._put_large(sa, part, head, lo)
                 self._put_large(sa, sa[self.starts[lo] + self.n_large[lo]:self.ends[lo]], head)
             else:
                 self._put_large(sa, sa[self.starts[lo]:self.ends[hi - 1]], head)
@@ -123,9 +132,10 @@ class _Buckets:
         for lo, hi in self.down:
             if self.small_to[lo] == lo:
                 at = int(self.ends[lo])
-                while at > tail[lo]:
-                    at, part = int(tail[lo]), sa[tail[lo]:at]
-                    self._put_small(sa, part, tail)
+                part = self._unrolled(sa[tail[lo]:at][::-1])[::-1]
+                tail[lo] = at - len(part)
+                sa[tail[lo]:at] = part
+                self._put_small(sa, part, tail, lo)
                 self._put_small(sa, sa[self.starts[lo]:self.starts[lo] + self.n_large[lo]], tail)
             else:
                 self._put_small(sa, sa[self.starts[lo]:self.ends[hi - 1]], tail)
@@ -138,18 +148,30 @@ class _Buckets:
         np.add.at(mark, self.ends, -1)
         return np.cumsum(mark[:-1]) > 0
 
-    def _put_large(self, sa: np.ndarray, scanned: np.ndarray, head: np.ndarray) -> None:
+    def _unrolled(self, ends: np.ndarray) -> np.ndarray:
+        """All suffixes in the runs that end at ``ends``, the nearest to the end first, then in that order."""
+        size = ends - self.run_start[ends] + 1
+        if not len(ends) or size.max() == 1:
+            return ends.copy()
+        back = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return (np.repeat(ends, size) - back)[np.argsort(back, kind="stable")].astype(ends.dtype)
+
+    def _put_large(self, sa: np.ndarray, scanned: np.ndarray, head: np.ndarray, done: int = -1) -> None:
         j = scanned[scanned > 0] - 1
         j = j[~self.small[j]]
+        if done >= 0:
+            j = j[self.s[j] != done]
         if len(j):
             by, chars, first, counts = _grouped(self.s[j])
             sa[np.repeat(head[chars] - first, counts) + np.arange(len(j))] = j[by]
             head[chars] += counts
 
-    def _put_small(self, sa: np.ndarray, scanned: np.ndarray, tail: np.ndarray) -> None:
+    def _put_small(self, sa: np.ndarray, scanned: np.ndarray, tail: np.ndarray, done: int = -1) -> None:
         j = scanned[::-1]
         j = j[j > 0] - 1
         j = j[self.small[j]]
+        if done >= 0:
+            j = j[self.s[j] != done]
         if len(j):
             by, chars, first, counts = _grouped(self.s[j])
             sa[np.repeat(tail[chars] - 1 + first, counts) - np.arange(len(j))] = j[by]
@@ -171,20 +193,28 @@ def _grouped(chars: np.ndarray):
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each position, how much its suffix shares
-    with the one before it in ``sa``, up to ``most`` (0 for the first)."""
-    s = np.asarray(s, np.int32)
+    with the one before it in ``sa``, up to ``most`` (0 for the first).
+
+    Four characters (below 2 ** 16) are compared at a time. The last one, 0,
+    occurs once, so no comparison runs past the end.
+    """
     n = len(s)
-    before = np.empty(n, np.int64)
-    before[sa[0]], before[sa[1:]] = -1, sa[:-1]
+    padded = np.zeros(n + most + 4, np.uint16)
+    padded[:n] = s
+    four = np.zeros(n + most, np.uint64)
+    for lane in range(4):
+        four |= padded[lane:lane + len(four)].astype(np.uint64) << np.uint64(16 * lane)
     out = np.zeros(n, np.int64)
-    live = np.nonzero(before >= 0)[0]
-    other = before[live]
-    for d in range(most):
-        fit = (live + d < n) & (other + d < n)
-        live, other = live[fit], other[fit]
-        same = s[live + d] == s[other + d]
+    live, other = sa[1:].astype(np.int64), sa[:-1].astype(np.int64)
+    for d in range(0, most, 4):
+        differ = four[live + d] ^ four[other + d]
+        same = differ == 0
+        stop = differ[~same]
+        stop &= ~stop + np.uint64(1)  # the lowest bit that differs tells the lane
+        lanes = sum((stop >> np.uint64(16 * k) > 0).astype(np.int64) for k in (1, 2, 3))
+        out[live[~same]] = np.minimum(d + lanes, most)
         live, other = live[same], other[same]
         if not len(live):
             break
-        out[live] = d + 1
+    out[live] = most
     return out

@@ -25,6 +25,30 @@ def test_suffix_arrays():
             assert shared[b] == same
 
 
+def test_suffix_arrays_of_runs():
+    rng = random.Random(6)
+    for _ in range(600):
+        x = [c for _ in range(rng.randint(1, 9)) for c in [rng.randint(1, 3)] * rng.choice([1, 2, 9, 40])] + [0]
+        assert suffixes.suffix_array(np.array(x)).tolist() == sorted(range(len(x)), key=lambda i: x[i:])
+    run = [1] * 300_000 + [0]  # would take 300,000 rounds, one character each
+    assert suffixes.suffix_array(np.array(run)).tolist() == [len(run) - 1, *range(len(run) - 2, -1, -1)]
+    two = np.array([2, *[1] * 200_000, 2, *[1] * 200_000, 2, 0])  # two equal long substrings
+    sa = suffixes.suffix_array(two)
+    assert sa[0] == len(two) - 1 and len(set(sa.tolist())) == len(two)
+
+
+def test_joined_spans():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = rng.integers(0, 30)
+        docs, starts, sizes = rng.integers(0, 4, n) * 10, rng.integers(0, 60, n), rng.integers(1, 20, n)
+        want = []
+        for d in sorted(set(docs.tolist())):
+            spans = [(int(a), int(a + k)) for i, a, k in zip(docs, starts, sizes) if i == d]
+            want += [(d, a, b - a) for a, b in repeats.merged(spans, 1000)]
+        assert list(zip(*[x.tolist() for x in repeats.joined(docs, starts, sizes)])) == want
+
+
 def test_segments_cover_every_window():
     rng = random.Random(3)
     texts = [bytes(rng.choice(b"ab \xc3\xa9") for _ in range(rng.choice([0, 10, 49, 50, 51, 400]))) for _ in range(40)]
