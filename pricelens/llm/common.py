@@ -8,6 +8,7 @@ the driver see them, so a lost executor costs only the tasks it was running.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pricelens.config import checkpoint_dir
 # and bytes.strip() use, so UTF-8 bytes are split without decoding.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 BATCH_ROWS = 1000
+LOT_BYTES = 8 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -41,6 +43,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def lots(batches: Iterator[pa.RecordBatch], size: int = LOT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, small ones joined until they hold ``size`` bytes."""
+    held, held_bytes = [], 0
+    for batch in batches:
+        held.append(batch)
+        held_bytes += batch.nbytes
+        if held_bytes >= size:
+            yield pa.concat_batches(held)
+            held, held_bytes = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -15,6 +15,7 @@ it plus the totals of the tasks before, one row per task.
 
 from __future__ import annotations
 
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -22,22 +23,26 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Memory, byte_letters
-from .common import small_batches, staged, text_of, utf8
+from .bpe import byte_letters
+from .common import lots, small_batches, staged, text_of
 
 SHARD_TOKENS = 1 << 20
 MAGIC = b"WVM1"
 SUPERBLOCK = 512  # bits between stored rank counts
 END_ID = 1
-WORDS = 300_000  # a worker remembers one or two times as many words
+WORDS = 1_000_000  # a worker remembers one or two times as many words
+LONG = 100  # bytes; longer words are not remembered
 # Fixed value: the pre-tokenizer pattern of the word-level vocabulary.
 WORD_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# The same pattern where all characters are ASCII letters in lower case, digits and signs.
+ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 LATIN = regex.compile(r"[!-@\[-~\u00C0-\u024F]*")  # letters whose case and class every Unicode version shares
 
 
@@ -177,47 +182,100 @@ def read_shard(file: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
 
 
 class WordEncoder:
-    """Ids by the ``tokenizers`` library, word by word.
+    """Ids by the ``tokenizers`` library, a batch's new words at a time.
 
     The vocabulary's pieces never hold white space, so a text's ids are its
     words' ids in a row; a word is encoded when it is first met. Words of Latin
-    letters are cut by the vocabulary's own pattern and go to the library's
-    model piece by piece; all others go through the library whole.
+    letters are cut by the vocabulary's own pattern; the pieces that are new
+    go through the library's model in one call, spelled in its letters and
+    apart by blanks. All other words go through the library whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.kind = np.dtype(f"<u{array(self.code).itemsize}")
-        self.model, self.words, self.pieces = self.library.model, Memory(self._word, WORDS), Memory(self._piece)
-        self.letters = {b: c for c, b in byte_letters().items()}
-
-    def _piece(self, piece: str) -> bytes:
-        spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        if word.isalpha() and word.islower():  # ASCII letters only
-            return self._piece(text)
-        if b"<|" in word or not LATIN.fullmatch(text):
-            return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if not text.isascii():
-            text = self.library.normalizer.normalize_str(text)
-            if text.isalpha():
-                return self._piece(text)
-        words, pieces = self.words, self.pieces
-        return b"".join([words[p.encode()] if p.isascii() and p.isalpha() else pieces[p]
-                         for p in WORD_PIECES.findall(text)])
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian integers of ``kind``."""
-        if b"<|" not in text:  # the vocabulary is of lower case; special tokens are not
-            text = text.lower()
-        words = self.words
-        return b"".join([words[w] for w in text.split()])
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.spelling = {b: c for c, b in byte_letters().items() if b != 0x20}
+        suffix = self.library.model.end_of_word_suffix
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a piece
+        self.is_last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.words: dict[bytes, bytes] = {}  # pieces are words too
+        self.old_words: dict[bytes, bytes] = {}
+        self.long: set[bytes] = set()
+
+    def _learn_pieces(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        spelled = b" ".join(new).decode("latin-1").translate(self.spelling)
+        ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, self.kind)
+        ends = (np.nonzero(self.is_last[ids])[0] + 1) * self.kind.itemsize
+        raw, at = ids.tobytes(), 0
+        for piece, end in zip(new, ends.tolist()):
+            self.words[piece] = raw[at:end]
+            at = end
+        self.long.update(p for p in new if len(p) > LONG)
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of words that are not remembered."""
+        known = self.words
+        letters = [w for w in words if w.isalpha() and w.islower()]  # of ASCII; they are one piece each
+        cut, accented, whole = [], [], []
+        for word in words.difference(letters):
+            text = word.decode("utf-8")
+            if b"<|" in word or not LATIN.fullmatch(text):
+                whole.append(word)
+            elif text.isascii():
+                cut.append(ASCII_PIECES.findall(word))
+            else:
+                accented.append(word)
+        mixed = [b"".join(pieces) for pieces in cut] + accented
+        if accented:  # a blank keeps words apart, whatever is done to their letters
+            normal = self.library.normalizer.normalize_str(b" ".join(accented).decode("utf-8")).split(" ")
+            cut += [[p.encode() for p in WORD_PIECES.findall(t)] for t in normal]
+        self._learn_pieces(letters + list({p for pieces in cut for p in pieces}.difference(letters, known.keys())))
+        for word, pieces in zip(mixed, cut):
+            known[word] = b"".join([known[p] for p in pieces])
+        for word in whole:
+            ids = self.library.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            known[word] = array(self.code, ids).tobytes()
+        self.long.update(w for w in words if len(w) > LONG)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (UTF-8 strings) as little-endian integers of ``kind``.
+
+        Arrow cuts the texts and numbers their words, so Python sees each
+        distinct word of the batch once.
+        """
+        if len(self.words) > WORDS:
+            self.old_words, self.words = self.words, {}
+        texts = texts.cast(pa.large_string())
+        # the vocabulary is of lower case; special tokens are not
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        else:
+            texts = pc.ascii_lower(texts)
+        split = pc.ascii_split_whitespace(texts)
+        numbered = split.flatten().dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.large_binary()).to_pylist()
+        new = set(distinct) - self.words.keys()
+        again = new & self.old_words.keys()
+        self.words.update((w, self.old_words[w]) for w in again)
+        self._learn(new - again)
+        ids = pa.array([*map(self.words.__getitem__, distinct)], pa.large_binary()).take(numbered.indices)
+        if not len(ids):
+            return [b""] * len(texts)
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[ids.offset:][np.asarray(split.offsets) - split.offsets[0].as_py()].tolist()
+        data = memoryview(data) if data is not None else b""
+        for w in self.long:
+            del self.words[w]
+        self.long.clear()
+        return [bytes(data[low:high]) for low, high in zip(at[:-1], at[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -229,8 +287,8 @@ def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path)
         end = array(encoder.code, [end_id]).tobytes()
-        for batch in batches:
-            ids = [encoder.encode(t) + end for t in utf8(batch.column("text"))]
+        for batch in lots(batches):
+            ids = [i + end for i in encoder.encode(batch.column("text"))]
             width = pa.array([encoder.kind.itemsize] * len(ids), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("id"), width, pa.array(ids, pa.binary())],
                                              ["id", "width", "ids"])

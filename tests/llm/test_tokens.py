@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelens.llm import bpe, queries, tokens
@@ -70,11 +71,16 @@ def test_op7_on_the_whole_table(spark, sf_dir):
             len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
 
 
-def test_word_ids_equal_the_library():
-    own, library = tokens.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
-    own.words.limit = 50
-    for t in texts():
-        assert np.frombuffer(own.encode(t.encode()), own.kind).tolist() == library.encode(t, add_special_tokens=False).ids
+@pytest.mark.parametrize("size, memory", [(1, 50), (40, 50), (2000, tokens.WORDS)])
+def test_word_ids_equal_the_library(monkeypatch, size, memory):
+    monkeypatch.setattr(tokens, "WORDS", memory)
+    own, library, lots = tokens.WordEncoder(WORDS), Tokenizer.from_file(WORDS), texts()
+    for i in range(0, len(lots), size):
+        lot = lots[i:i + size]
+        found = own.encode(pa.array(["", *lot, ""], pa.string()).slice(1, len(lot)))
+        assert [np.frombuffer(f, own.kind).tolist() for f in found] == [
+            library.encode(t, add_special_tokens=False).ids for t in lot]
+    assert own.encode(pa.array([], pa.string())) == [] and own.encode(pa.array([""])) == [b""]
 
 
 @pytest.mark.parametrize("n, top", [(0, 0), (1, 0), (511, 3), (512, 1), (513, 70_000), (3000, 49_407)])
