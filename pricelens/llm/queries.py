@@ -124,8 +124,7 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_merge_replay_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer_path(BYTE_RANKS), byte_pattern()
-    ids = replay.encode(_documents(spark, sf_dir), path, pattern, carry=["doc_id"])
-    out = replay.decode(ids, path, pattern)
+    out = replay.encode(_documents(spark, sf_dir), path, pattern, carry=["doc_id"], decoded=True)
     return out.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

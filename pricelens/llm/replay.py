@@ -17,7 +17,7 @@ import base64
 import re
 from array import array
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -27,10 +27,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_of
+from .common import lots, small_batches, text_of
 
-REMEMBERED = 200_000  # a worker remembers one or two times as many words; they only save time
-PAIRS = 1_000_000  # and its pairs of tokens
+REMEMBERED = 400_000  # a worker remembers one or two times as many words; they only save time
+LONG = 100  # characters; longer texts are not remembered
+PAIRS = 300_000  # and so many pairs of tokens
 # A blank before a character that is not white space always begins a piece, so
 # a text may be cut there. ``re`` counts a few more characters as white space
 # than the pattern does; not to cut is always right.
@@ -43,6 +44,18 @@ class Recent(dict):
 
     old: dict = {}
 
+    def learn(self, texts: list, ids: list) -> None:
+        self.update(zip(texts, ids))
+        self.long = [t for t in texts if len(t) > LONG]
+
+    def trim(self) -> None:
+        """Long texts stay for their batch only."""
+        for t in self.long:
+            self.pop(t, None)
+        self.long = []
+
+    long: list = []
+
     def unknown(self, texts: set) -> set:
         """The texts that have to be learnt, after those of the older half have been taken over."""
         if len(self) > REMEMBERED:
@@ -151,12 +164,14 @@ class Replay:
             out[i], low = data[4 * low:4 * high], high
         return out
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of texts that stand between borders; pieces not yet known are merged together."""
-        cut = {w: self.pieces.findall(w) for w in words}
-        new = list(self.known.unknown({p for pieces in cut.values() for p in pieces}))
-        self.known.update(zip(new, self.merge([p.encode() for p in new])))
-        return {w: b"".join([self.known[p] for p in pieces]) for w, pieces in cut.items()}
+        cut = [self.pieces.findall(w) for w in words]
+        new = list(self.known.unknown({p for pieces in cut for p in pieces}))
+        self.known.learn(new, self.merge([p.encode() for p in new]))
+        out = [b"".join([self.known[p] for p in pieces]) for pieces in cut]
+        self.known.trim()
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of a batch of texts as little-endian 32-bit integers."""
@@ -166,11 +181,15 @@ class Replay:
             heads.append(words.pop(0))
             rest.append(words)
             new.update(words)
-        for w, ids in self._learn([" " + w for w in self.words.unknown(new)]).items():
-            self.words[w[1:]] = ids
-        self.heads.update(self._learn(self.heads.unknown(set(heads))))
+        new = list(self.words.unknown(new))
+        self.words.learn(new, self._learn([" " + w for w in new]))
+        first = list(self.heads.unknown(set(heads)))
+        self.heads.learn(first, self._learn(first))
         word = self.words.__getitem__
-        return [self.heads[h] + b"".join(map(word, w)) for h, w in zip(heads, rest)]
+        out = [self.heads[h] + b"".join(map(word, w)) for h, w in zip(heads, rest)]
+        self.words.trim()
+        self.heads.trim()
+        return out
 
     def decode(self, ids: list[bytes]) -> pa.Array:
         """The bytes that each list of ids spells."""
@@ -189,14 +208,16 @@ def load(path: str, pattern: str) -> Replay:
     return Replay(path, pattern)
 
 
-def _encode(path: str, pattern: str):
+def _encode(path: str, pattern: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = load(path, pattern)
-        for batch in batches:
+        for batch in lots(batches):
             ids = replay.encode([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["row", "n_tokens", "ids"])
+            out = {"row": batch.column("row"), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
+                   "ids": pa.array(ids, pa.binary())}
+            if decoded:
+                out["decoded"] = replay.decode(ids)
+            yield pa.RecordBatch.from_arrays([*out.values()], [*out])
 
     return run
 
@@ -211,16 +232,19 @@ def _decode(path: str, pattern: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", carry: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
     """``row`` (the input row, or its columns in ``carry``), ``n_tokens`` and ``ids`` of the whole text.
 
-    ``ids`` are little-endian unsigned 32-bit integers. A NULL or empty text
-    has none; an empty table gives no rows; repeated rows stay.
+    ``ids`` are little-endian unsigned 32-bit integers. With ``decoded``, the
+    bytes that they spell follow, from the same pass. A NULL or empty text has
+    no ids; an empty table gives no rows; repeated rows stay.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row")
     whole = small_batches(docs).select(row, text_of(text).alias("text"))
     kind = whole.schema["row"].dataType.simpleString()
-    return whole.mapInArrow(_encode(path, pattern), f"row {kind}, n_tokens bigint, ids binary")
+    return whole.mapInArrow(_encode(path, pattern, decoded),
+                            f"row {kind}, n_tokens bigint, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

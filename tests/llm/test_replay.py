@@ -83,6 +83,8 @@ def test_frames(spark, documents, library):
         want = library.encode_ordinary(text)
         assert (ids_of([r.ids])[0], r.n_tokens, bytes(r.decoded)) == (want, len(want), text.encode())
         assert r.row.ids == "x"
+    both = replay.encode(documents(rows), PATH, PATTERN, decoded=True).select("ids", "decoded").collect()
+    assert sorted(map(tuple, both)) == sorted(map(tuple, replay.decode(ids, PATH, PATTERN).select("ids", "decoded").collect()))
     assert replay.decode(replay.encode(documents([]), PATH, PATTERN), PATH, PATTERN).count() == 0
 
 
