@@ -102,23 +102,32 @@ def keyword_filter(listing: DataFrame, keywords: Sequence[str] | None = None) ->
     return listing if keywords is None else listing.filter(c("keyword").isin(*dict.fromkeys(keywords)))
 
 
-def skipped_pages(pages: DataFrame, keywords: Sequence[str] | None = None,
-                  max_pages: int | None = None) -> DataFrame:
-    """Pages that carry items and are left out by what was asked for, with a reason."""
-    full = pages.filter(item_count() > 0).select("run_id", "keyword", "page", item_count().alias("n_items"))
-    reason = F.lit(None).cast("string")
+def page_fates(full: DataFrame, keywords: Sequence[str] | None = None,
+               max_pages: int | None = None) -> DataFrame:
+    """Pages that carry items, with ``reason``: why what was asked for leaves them out (NULL: kept).
+
+    A page is beyond its run's prefix if any page before it is missing, empty,
+    failed or malformed: only pages in ``full`` count as present.
+    """
+    out, reason = full, F.lit(None).cast("string")
     if max_pages is not None:
-        kept = page_prefix(pages, max_pages).select(
+        kept = page_prefix(full, max_pages).select(
             c("run_id").alias("__r"), c("keyword").alias("__k"), c("page").alias("__p")).distinct()
-        full = full.join(kept, full["run_id"].eqNullSafe(kept["__r"]) & full["keyword"].eqNullSafe(kept["__k"])
-                         & (full["page"] == kept["__p"]), "left")
+        out = out.join(kept, out["run_id"].eqNullSafe(kept["__r"]) & out["keyword"].eqNullSafe(kept["__k"])
+                       & (out["page"] == kept["__p"]), "left")
         reason = F.when(c("__p").isNull(), F.when(c("page") > max_pages, F.lit("beyond the page cap"))
                         .otherwise(F.lit("after a missing page")))
     if keywords is not None:
         chosen = F.coalesce(c("keyword"), F.lit("")).isin(*dict.fromkeys(keywords))
         reason = F.when(~chosen, F.lit("keyword not chosen")).otherwise(reason)
-    return full.withColumn("reason", reason).filter(c("reason").isNotNull()).select(
-        "run_id", "keyword", "page", "n_items", "reason")
+    return out.select(*full.columns, reason.alias("reason"))
+
+
+def skipped_pages(pages: DataFrame, keywords: Sequence[str] | None = None,
+                  max_pages: int | None = None) -> DataFrame:
+    """Pages that carry items and are left out by what was asked for, with a reason."""
+    fates = page_fates(pages.filter(item_count() > 0), keywords, max_pages).filter(c("reason").isNotNull())
+    return fates.select("run_id", "keyword", "page", item_count().alias("n_items"), "reason")
 
 
 def union_keywords(batches: Iterable[DataFrame]) -> DataFrame:

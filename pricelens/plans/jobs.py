@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens import config
-from pricelens.plans import ingest, marts, quality, reports
+from pricelens.plans import ingest, marts, quality, refresh, reports
 from pricelens.sources import landed, store
 
 MART_NAMES = ["price_history", "price_movers", "category_summary", "daily_deals"]
@@ -17,37 +17,44 @@ MART_NAMES = ["price_history", "price_movers", "category_summary", "daily_deals"
 
 def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
                keywords: Sequence[str] | None = None, max_pages: int | None = None,
-               load_id: str | None = None) -> dict:
-    """Validate page documents and append valid records (+ rejects).
-
-    The checked records are written once, to ``raw/checked``; the snapshot
-    table, the rejects and the page counts are read from there. Every landed
-    item is accounted for: appended, rejected, on a page that was asked to be
-    left out (``raw/skipped_pages``, with the reason), or on a page that could
-    not be read (``raw/malformed_pages``, the line itself). Malformed lines
-    are counted in the first pass and only then looked for again.
+               load_id: str | None = None, owner: str = "") -> dict:
+    """Validate page documents and append valid records (+ rejects), as one load.
+
+    The pages are parsed once and written with the one fate each of them has
+    (full, empty, malformed; full ones are then kept or skipped, if a cut was
+    asked for); everything else is read from there. So every landed item is
+    accounted for: appended, rejected, on a page that was asked to be left out
+    (``raw/skipped_pages``, with the reason), or on a page that could not be
+    read (``raw/malformed_pages``, the line itself), whatever the cut. The
+    commit is written last: before it, nothing of the load is visible.
     """
-    load_id = load_id or store.new_load_id()
+    load = store.Load(spark, warehouse, load_id, owner)
     obs = Observation(f"landed_{uuid.uuid4().hex[:8]}")
-    if landed.CORRUPT in pages.columns:
-        seen = pages.observe(obs, F.count_if(F.col(landed.CORRUPT).isNotNull()).alias("malformed"))
-    else:
-        seen = pages.observe(obs, F.lit(0).alias("zero"), F.count_if(F.lit(False)).alias("malformed"))
-    good = landed.wellformed(seen)
-    checked = store.write_load(ingest.ingest(good, keywords, max_pages), warehouse, store.CHECKED_TABLE, load_id)
-    written = store.append_snapshots(ingest.valid_snapshots(checked), warehouse, load_id)
-    rejected = store.write_load(ingest.rejects(checked), warehouse, store.REJECTS_TABLE, load_id)
-    store.write_load(ingest.page_counts(checked), warehouse, store.PAGE_COUNTS_TABLE, load_id)
-    bad_lines = int(obs.get["malformed"] or 0)
-    lines = landed.malformed(pages)
-    store.write_load(lines if bad_lines else lines.limit(0), warehouse, store.MALFORMED_TABLE, load_id)
-    result = {"load_id": load_id, "appended": written, "rejected": rejected.count(),
-              "malformed_pages": bad_lines, "skipped_items": 0}
+    seen = landed.fated(pages).observe(obs, F.count_if(F.col("fate") == landed.MALFORMED).alias("malformed"),
+                                       F.sum(ingest.item_count()).alias("items"))
+    stored = load.write(seen, store.PAGES_TABLE, "fate")
+    of = lambda df, fate: df.filter(F.col("fate") == fate)
+    kept, skipped_items = of(stored, landed.FULL), 0
     if keywords is not None or max_pages is not None:
-        skipped = ingest.skipped_pages(landed.wellformed(pages), keywords, max_pages)
-        skipped = store.write_load(skipped, warehouse, store.SKIPPED_TABLE, load_id)
-        result["skipped_items"] = int(skipped.agg(F.sum("n_items")).first()[0] or 0)
-    return result
+        cut = ingest.page_fates(kept.drop("line", "fate"), keywords, max_pages)
+        cut = cut.withColumn("fate", F.when(F.col("reason").isNull(), landed.FULL).otherwise(landed.SKIPPED))
+        cut = load.write(cut, store.PAGES_TABLE + "_cut", "fate")
+        kept = of(cut, landed.FULL)
+        skipped = of(cut, landed.SKIPPED).select("run_id", "keyword", "page", ingest.item_count().alias("n_items"), "reason")
+        skipped = load.write(skipped, store.SKIPPED_TABLE)
+        skipped_items = int(skipped.agg(F.sum("n_items")).first()[0] or 0)
+    checked = load.write(ingest.ingest(kept), store.CHECKED_TABLE)
+    written = load.append(ingest.valid_snapshots(checked))
+    rejected = load.write(ingest.rejects(checked), store.REJECTS_TABLE).count()
+    load.write(ingest.page_counts(checked), store.PAGE_COUNTS_TABLE)
+    load.write(of(stored, landed.MALFORMED).select("line"), store.MALFORMED_TABLE)
+    landed_items = int(obs.get["items"] or 0)
+    if landed_items != written + rejected + skipped_items:
+        raise RuntimeError(f"{landed_items} items landed, {written} + {rejected} + {skipped_items} accounted for")
+    counts = {"appended": written, "rejected": rejected, "malformed_pages": int(obs.get["malformed"] or 0),
+              "skipped_items": skipped_items}
+    load.commit(**counts)
+    return {"load_id": load.load_id, **counts}
 
 
 def run(spark: SparkSession, landed_dir: str, warehouse: str,
@@ -67,31 +74,60 @@ def run(spark: SparkSession, landed_dir: str, warehouse: str,
     return result
 
 
-def transform(spark: SparkSession, warehouse: str) -> list:
-    """Rebuild every mart from the snapshot table, then run the checks.
+def transform(spark: SparkSession, warehouse: str, full: bool = False) -> list:
+    """Bring the marts up to date with the committed loads, check them, then publish them.
 
-    price_history is written once and read back by its two consumers, so the
-    ``lag`` is computed once and the lineage is cut at a table in the
-    warehouse (the shared folder), not on a machine-local disk. The marts'
-    rules are counted while they are written; the snapshot table and the
-    staging dataset take one pass for theirs.
+    Only the days that changed are rebuilt (all of them the first time, or
+    with ``full``): those that a new, replaced or vanished load touches, and
+    those in which an item's first snapshot follows another one than before
+    (see ``plans.refresh``). The rules are counted over what is rebuilt. If one
+    fails, nothing is published and readers stay with the marts they had.
     """
     config.configure(spark)
-    snap = store.read_snapshots(spark, warehouse)
+    before = store.published(spark, warehouse)
+    loads = {i: {"attempt": r["attempt"], "days": r["days"]} for i, r in store.commits(spark, warehouse).items()}
+    full = full or not before["n"]
+    old = {} if full else before["loads"]
+    changed = [r[i] for i in old.keys() | loads.keys() if old.get(i) != loads.get(i) for r in (old, loads) if i in r]
+    touched = sorted({d for r in changed for d in r["days"]})
+    if not full and not touched:
+        return [Row(**r) for r in before["checks"]]
+
+    version, made, rows = before["n"] + 1, {}, []
+    days_of = {} if full else before["marts"]
+    snap = store.read_snapshots(spark, warehouse, None if full else touched)
     stg = marts.stg_prices(snap)
-    rows = quality.quality_report({"price_snapshots": snap, "stg_prices": stg}).collect()
-
-    def write(name: str, mart: DataFrame) -> None:
-        mart, counted = quality.observed(name, mart)
-        store.write_mart(mart, warehouse, name)
-        rows.extend(counted())
-
-    write("price_history", marts.price_history(stg))
-    history = store.read_mart(spark, warehouse, "price_history")
-    write("price_movers", marts.price_movers(history))
-    write("category_summary", marts.category_summary(stg))
-    write("daily_deals", marts.daily_deals(history))
+    rows += quality.quality_report({"price_snapshots": snap, "stg_prices": stg}).collect()
+
+    def write(name: str, mart: DataFrame, replaced: list[str]) -> DataFrame:
+        if name in quality.RULES:
+            mart, counted = quality.observed(name, mart)
+        fresh = store.write_days(mart, warehouse, name, version)
+        made[name] = {d: v for d, v in days_of.get(name, {}).items() if d not in replaced} | fresh
+        if name in quality.RULES:
+            rows.extend(counted())
+        return store.read_days(spark, warehouse, name, fresh).drop(store.DAY)
+
+    if full:
+        days = touched
+        write("price_carry", refresh.chained(refresh.closes(stg)), days)
+        history = write("price_history", marts.price_history(stg), days)
+    else:
+        known = days_of.get("price_carry", {})
+        carry = lambda of: store.read_days(spark, warehouse, "price_carry", of).drop(store.DAY)
+        other = {d: v for d, v in known.items() if d not in touched}
+        gone = carry({d: v for d, v in known.items() if d in touched})
+        links = refresh.new_links(stg, carry(other), gone, config.checkpoint_dir(spark))
+        followers = refresh.days_in(links.filter("NOT is_new"))
+        days = sorted({*touched, *followers})
+        fresh = write("price_carry", refresh.merged(links, carry({d: other[d] for d in followers})), days)
+        again = marts.stg_prices(store.read_snapshots(spark, warehouse, days))
+        history = write("price_history", refresh.history(again, fresh), days)
+    write("price_movers", marts.price_movers(history), days)
+    write("category_summary", marts.category_summary(stg), touched)
+    write("daily_deals", marts.daily_deals(history), days)
     quality.assert_rows(rows)
+    store.publish(spark, warehouse, before, made, loads, [r.asDict() for r in rows])
     return rows  # 29, one per rule
 
 
@@ -123,14 +159,14 @@ def register_views(spark: SparkSession, warehouse: str) -> list[str]:
 def report(spark: SparkSession, warehouse: str, name: str, as_of=None) -> DataFrame:
     """R1-R4 over the stored marts: ``todays_drops``, ``todays_deals``,
     ``category_trend`` or ``fresh_drops``. "Today" is ``as_of`` or the newest
-    day that was built, known from the history's folders; only that day's
+    day that was built, known from the publication record; only that day's
     files are read."""
     mart = lambda n: store.read_mart(spark, warehouse, n, keep_partition=True)
     if name == "category_trend":
         return reports.category_trend(mart("category_summary"))
     if name == "fresh_drops":
         return reports.fresh_drops(mart("daily_deals").drop("snapshot_day"))
-    as_of = as_of or mart("price_history").agg(F.max("snapshot_day")).first()[0]
+    as_of = as_of or max(store.published(spark, warehouse)["marts"].get("price_history", {}), default=None)
     if name == "todays_drops":
         return reports.todays_drops(mart("price_movers"), as_of)
     if name == "todays_deals":

@@ -68,7 +68,12 @@ def price_history(stg: DataFrame, num_parts: int | None = None,
         stg, key="item_id", order=["scraped_at", *STG_TIE], value="current_price",
         out="prev_price", num_parts=num_parts, min_rows=min_rows,
     )
-    changed = lagged.withColumn("price_change_abs", c("current_price") - c("prev_price"))
+    return with_changes(lagged)
+
+
+def with_changes(rows: DataFrame) -> DataFrame:
+    """The history's columns from staging rows with their ``prev_price``."""
+    changed = rows.withColumn("price_change_abs", c("current_price") - c("prev_price"))
     return changed.select(
         *[
             X.pct_change("current_price", "prev_price").alias(n) if n == "price_change_pct"

@@ -118,7 +118,12 @@ def _mart(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, _MART_TYPES.get(n, S), True) for n in columns])
 
 
+# Each item's last price of a day and the one it had before that day.
+CARRY_COLUMNS = ["item_id", "snapshot_date", "close", "prev_close"]
+_MART_TYPES |= {"close": _D, "prev_close": _D}
+
 MART_SCHEMAS = {
+    "price_carry": _mart(CARRY_COLUMNS),
     "price_history": _mart(HISTORY_COLUMNS),
     "price_movers": _mart(MOVERS_COLUMNS),
     "category_summary": _mart(CATEGORY_COLUMNS),

@@ -26,25 +26,28 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page documents from a landing folder of JSON-lines files.
 
     A line with anything that cannot be read keeps its text in
-    ``_corrupt_record``. Spark may still fill some of its other columns;
-    ``wellformed`` leaves such a page out whole, ``malformed`` keeps its line.
+    ``_corrupt_record``. Spark may still fill some of its other columns; see
+    ``fated``.
     """
     return spark.read.schema(PAGE_WITH_CORRUPT).options(**JSON_OPTIONS).json(path)
 
 
-def wellformed(pages: DataFrame) -> DataFrame:
-    """Pages read in full: a malformed page is recorded, never half ingested."""
-    return pages.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in pages.columns else pages
+# What becomes of a landed line (a page); items of a full page are then checked one by one.
+FULL, EMPTY, MALFORMED, SKIPPED = "full", "empty", "malformed", "skipped"
 
 
-def malformed(pages: DataFrame) -> DataFrame:
-    """Landed lines that could not be read as page documents."""
-    if CORRUPT not in pages.columns:
-        return pages.sparkSession.createDataFrame([], T.StructType([T.StructField("line", T.StringType())]))
-    # every column must be read: a line is found to be malformed only in the
-    # columns that the scan parses
-    whole = F.to_json(F.struct(*[f.name for f in PAGE.fields]))
-    return pages.filter(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), whole).alias("line"))
+def fated(pages: DataFrame) -> DataFrame:
+    """Pages with their one ``fate`` as read, and a malformed page's ``line``.
+
+    A malformed page is kept as its line alone, never half ingested. All
+    columns must be read in the same pass: Spark finds a line to be corrupt
+    only in the columns that a scan parses.
+    """
+    corrupt = F.col(CORRUPT) if CORRUPT in pages.columns else F.lit(None).cast("string")
+    n_items = F.coalesce(F.size("mods.listItems"), F.lit(0))
+    fate = F.when(corrupt.isNotNull(), MALFORMED).when(n_items > 0, FULL).otherwise(EMPTY)
+    whole = [F.when(corrupt.isNull(), F.col(f.name)).alias(f.name) for f in PAGE.fields]
+    return pages.select(*whole, corrupt.alias("line"), fate.alias("fate"))
 
 
 def parse_pages(text: DataFrame, column: str = "value") -> DataFrame:

@@ -2,8 +2,10 @@
 
 The file source remembers which landed files it has processed (in the
 checkpoint), and each micro-batch runs the batch ingest and appends under a
-load id derived from the query and batch ids. A batch replayed after a
-failure overwrites its own load whole: the append is exactly once.
+load id made of the stream's name, its query id and the batch id. The query id
+is fixed by the checkpoint: a batch replayed after a failure replaces its own
+load whole (the append is exactly once), and a stream with another checkpoint
+has loads of its own, whatever its name.
 
 The stream loads every page that lands, whichever trigger its run's other
 pages come with: the page cap is a rule over a whole run, which no single
@@ -29,6 +31,11 @@ def landing_stream(spark: SparkSession, landed_dir: str, max_files: int | None =
     return reader.json(landed_dir)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps over restarts; Spark writes it to the checkpoint before the first batch."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def start_incremental_load(
     spark: SparkSession,
     landed_dir: str,
@@ -49,8 +56,9 @@ def start_incremental_load(
     store.bootstrap(spark, warehouse)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        jobs.load_pages(batch.sparkSession, batch, warehouse,
-                        keywords, load_id=f"{name}-{batch_id:09d}")
+        query = query_id(batch.sparkSession, checkpoint)
+        jobs.load_pages(batch.sparkSession, batch, warehouse, keywords,
+                        load_id=f"{name}-{query}-{batch_id:09d}", owner=query)
 
     writer = landing_stream(spark, landed_dir).writeStream.foreachBatch(load_batch)
     writer = writer.option("checkpointLocation", checkpoint).queryName(name)
