@@ -407,10 +407,36 @@ INGEST_SQL |= {
 SELECT run_id, keyword, page, CAST(n_items AS INTEGER) AS n_items, {_REASON} AS reason
 FROM docs WHERE NOT blank AND {_REASON} IS NOT NULL""",
     "load_accounts": _with(SNAP, ING) + f"""
+, flagged AS (
+  SELECT *, (run_no % 13 = 4 AND page = 2) OR (run_no % 17 = 6 AND page = 3) OR (run_no % 19 = 8 AND page = 1) AS bad
+  FROM docs
+), prefix AS (
+  SELECT run_id, keyword, page FROM (
+    SELECT *, dense_rank() OVER (PARTITION BY run_id, keyword ORDER BY page) AS r
+    FROM flagged WHERE NOT blank AND NOT bad AND page <= 3
+  ) WHERE r = page
+), landed AS (
+  SELECT lst.reason, keyword NOT IN ('click', 'view') OR (run_id, keyword, page) NOT IN
+         (SELECT (run_id, keyword, page) FROM prefix) AS skipped
+  FROM lst JOIN flagged USING (run_id, keyword, page) WHERE NOT bad
+), lines AS (SELECT count(*) AS malformed FROM flagged WHERE bad)
 SELECT 'whole' AS load_id, count(*) FILTER (WHERE reason IS NULL) AS appended,
-       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected, 0::BIGINT AS skipped_items FROM lst
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected, 0::BIGINT AS skipped_items, any_value(malformed) AS malformed
+FROM landed, lines
 UNION ALL
-SELECT 'cut', count(*) FILTER (WHERE skip IS NULL AND reason IS NULL),
-       count(*) FILTER (WHERE skip IS NULL AND reason IS NOT NULL), count(*) FILTER (WHERE skip IS NOT NULL)
-FROM (SELECT reason, {_REASON} AS skip FROM lst)""",
+SELECT 'cut', count(*) FILTER (WHERE NOT skipped AND reason IS NULL),
+       count(*) FILTER (WHERE NOT skipped AND reason IS NOT NULL), count(*) FILTER (WHERE skipped), any_value(malformed)
+FROM landed, lines""",
+}
+
+MART_SQL |= {
+    "late_load_history": MART_SQL["price_history"],
+    "late_load_category": MART_SQL["category_summary"],
+    "empty_append": _with(SNAP) + """
+SELECT count(*) AS total_snapshots, count(DISTINCT item_id) AS unique_items, 0::BIGINT AS appended FROM snap""",
+    "view_sql": _with(SNAP, STG) + """
+SELECT snapshot_date, price_tier, count(*) AS n, min(current_price) AS lowest, max(discount_pct) AS deepest
+FROM stg GROUP BY snapshot_date, price_tier""",
+    "run_movers": _with(SNAP.replace("\nsnap AS (", "\nevent_snap AS ("), ING,
+                        f"snap AS (SELECT {_SNAPSHOT_COLS} FROM valid)", STG, HIST, MOVERS) + "SELECT * FROM movers",
 }

@@ -6,10 +6,13 @@
   as a ``max_by`` aggregate (map-side combine) instead of a window.
 * ``rank_top_k``: ``rank() <= k`` per group, from the counts of its order
   values, so a long tie is never gathered.
+* ``number_rows``: each row's place in a total order, from its place in its
+  range and the sizes of the ranges before.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -186,6 +189,27 @@ def rank_top_k(
     return df.join(ranks, cond).select(*df.columns, out)
 
 
+def number_rows(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
+    """Add each row's 1-based place in ``order``; rows equal in it are numbered in any order.
+
+    The rows are sorted by range and written with their place in their
+    partition, so that every later reading agrees; one row a partition then
+    tells how many rows come before it. No task sees more than a range.
+    """
+    width = 33  # bits of the row's place in ``monotonically_increasing_id``
+    target = f"{config.checkpoint_dir(df.sparkSession).rstrip('/')}/numbered-{uuid.uuid4().hex}"
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("__id", F.monotonically_increasing_id()).write.parquet(target)
+    rows = df.sparkSession.read.parquet(target)
+    rows = rows.withColumn("__part", F.shiftright("__id", width)).withColumn(
+        "__at", F.col("__id").bitwiseAND(F.lit((1 << width) - 1)))
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row a partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = rows.join(offsets, "__part")
+    return placed.select(*df.columns, (F.col("__before") + F.col("__at") + 1).alias(out))
+
+
 def exact_median(
     df: DataFrame,
     keys: Sequence[str],

@@ -188,3 +188,19 @@ def landed_pages_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         mods.alias("mods"),
     )
     return docs.select(F.to_json(page_doc, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
+
+
+def with_bad_lines(pages: DataFrame) -> DataFrame:
+    """Landed text in which some lines cannot be read (fixed rules; the oracle mirrors).
+
+    By run_no: % 13 = 4 breaks the time of page 2, % 17 = 6 the number of
+    page 3, % 19 = 8 the line of page 1 as a whole.
+    """
+    line = F.col("value")
+    run = F.substring(F.get_json_object(line, "$.run_id"), 2, 6).cast("int")
+    page = F.get_json_object(line, "$.page").cast("int")
+    return pages.select(
+        F.when((run % 13 == 4) & (page == 2), F.regexp_replace(line, '"captured_at":"[^"]*"', '"captured_at":"not a time"'))
+        .when((run % 17 == 6) & (page == 3), F.regexp_replace(line, '"page":3', '"page":"three"'))
+        .when((run % 19 == 8) & (page == 1), F.substring(line, 1, 40))
+        .otherwise(line).alias("value"))
