@@ -4,8 +4,8 @@
   without sending a whole hot key to one task.
 * ``latest_by``: one row per group, the one with the greatest ordering key,
   as a ``max_by`` aggregate (map-side combine) instead of a window.
-* ``rank_top_k``: ``rank() <= k`` per group, from the counts of its order
-  values, so a long tie is never gathered.
+* ``rank_top_k``: ``rank() <= k`` per group; each task keeps its first ranks
+  and their counts are merged, so a long tie is never gathered.
 * ``number_rows``: each row's place in a total order, from its place in its
   range and the sizes of the ranges before.
 """
@@ -29,6 +29,7 @@ def _num_parts(df: DataFrame, num_parts: int | None) -> int:
 
 BOUNDS = "__bounds"
 SAMPLES_PER_RANGE = 64
+RANK_SLICES = 16
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -52,15 +53,16 @@ def _hot_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
     so every use of it agrees. Returns ``None`` when no key is hot.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-    total = counts.agg(F.sum("__cnt")).scalar()
+    worst = counts.agg(F.max("__cnt").alias("m"), F.sum("__cnt").alias("t")).first()  # one narrow scan
+    if not worst["m"] or worst["m"] * n <= worst["t"] or worst["m"] <= min_rows:
+        return None
+    total = F.lit(worst["t"])
     per_range = F.greatest(total / n, F.lit(float(min_rows)))
     hot = counts.filter((F.col("__cnt") * n > total) & (F.col("__cnt") > min_rows)).select(
         *[F.col(k).alias(f"__h_{k}") for k in keys], F.col("__cnt"),
         F.ceil(F.col("__cnt") / per_range).alias("__ranges"))
     config.checkpoint_dir(df.sparkSession)
     hot = hot.checkpoint()  # fewer than n rows
-    if hot.isEmpty():
-        return None
     rows = df.select(*keys, *[F.col(c).alias(f"__o_{c}") for c in order])
     rows = rows.join(F.broadcast(hot), _match(rows, hot, keys, "__h_"))
     share = F.col("__ranges") * SAMPLES_PER_RANGE / F.col("__cnt")
@@ -165,28 +167,39 @@ def rank_top_k(
     order: Sequence[Column],
     k: int,
     out: str,
+    slices: int = RANK_SLICES,
 ) -> DataFrame:
     """Rows whose ``rank()`` within ``partition``, by ``order`` values
     descending (NULLs last), is at most ``k`` (ties kept).
 
-    Rows are first counted per (partition, order tuple), map-side combined;
-    the rank of a tuple is one more than the rows before it, and only the
-    first ``k`` tuples can have a rank within ``k``. That small table is then
-    joined to the rows, so tied rows never meet in one task.
+    A partition's rows are dealt by a hash of the row over ``slices``; in each
+    slice, and in each task before anything is shuffled, only the first ``k``
+    ranks stay (Spark's window group limit). A row that fewer than ``k`` rows
+    precede is among them, and so are all rows before it: counts of the rows
+    left give its rank. They are written once, so that ``df`` is computed once,
+    and their ranks are joined to them: a long tie stays dealt over its slices.
     """
     key, tie = [f"__p{i}" for i in range(len(partition))], [f"__t{i}" for i in range(len(order))]
-    tuples = df.select(*[F.col(p).alias(a) for p, a in zip(partition, key)],
-                       *[v.alias(a) for v, a in zip(order, tie)])
-    counts = tuples.groupBy(*key, *tie).agg(F.count(F.lit(1)).alias("__n"))
-    by = Window.partitionBy(*key).orderBy(*[F.col(a).desc_nulls_last() for a in tie])
-    # at most k tuples a partition pass the (pushed-down) row number limit
+    named = df.select("*", *[v.alias(a) for v, a in zip(order, tie)])
+    dealt = named.withColumn("__slice", F.pmod(F.xxhash64(*df.columns), F.lit(slices)))
+    down = [F.col(a).desc_nulls_last() for a in tie]
+    near = F.rank().over(Window.partitionBy(*partition, "__slice").orderBy(*down))
+    left = dealt.withColumn("__near", near).filter(F.col("__near") <= k).drop("__near", "__slice")
+    target = f"{config.checkpoint_dir(df.sparkSession).rstrip('/')}/ranked-{uuid.uuid4().hex}"
+    left.write.parquet(target)
+    left = df.sparkSession.read.schema(left.schema).parquet(target)
+
+    counts = left.groupBy(*[F.col(p).alias(a) for p, a in zip(partition, key)], *tie).agg(F.count(F.lit(1)).alias("__n"))
+    by = Window.partitionBy(*key).orderBy(*down)
+    # at most k values a partition pass the (pushed-down) row number limit
     firsts = counts.withColumn("__i", F.row_number().over(by)).filter(F.col("__i") <= k)
     before = F.coalesce(F.sum("__n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = firsts.withColumn(out, (before + 1).cast("bigint")).filter(F.col(out) <= k).drop("__n", "__i")
+    ranks = firsts.withColumn(out, (before + 1).cast("bigint")).filter(F.col(out) <= k)
+    ranks = ranks.select(*key, *[F.col(a).alias(f"{a}r") for a in tie], out)
     cond = F.lit(True)
-    for a, b in [*zip([df[p] for p in partition], key), *zip(order, tie)]:
-        cond = cond & a.eqNullSafe(F.col(b))
-    return df.join(ranks, cond).select(*df.columns, out)
+    for x, y in [*zip(partition, key), *[(a, f"{a}r") for a in tie]]:
+        cond = cond & left[x].eqNullSafe(ranks[y])
+    return left.join(ranks, cond).select(*df.columns, out)
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:

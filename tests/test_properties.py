@@ -116,3 +116,30 @@ def test_exact_median_matches_percentile(spark, rows, parts):
     want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
     got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", parts, min_rows=1).collect()}
     assert got == want
+
+
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["d1", "d1", "d1", "d2", None]), st.sampled_from([None, 1, 2, 2, 2, 3, 4, 5]),
+                          st.integers(0, 3)), min_size=1, max_size=300), st.integers(1, 6), st.integers(1, 16))
+def test_rank_top_k_matches_rank(spark, rows, k, slices):
+    from pyspark.sql import Window
+
+    from pricelens.operators.ordered import rank_top_k
+
+    df = spark.createDataFrame(rows, "day string, v int, w int").repartition(3)
+    order = [F.abs("v"), F.col("w")]
+    got = rank_top_k(df, ["day"], order, k, "r", slices)
+    by = Window.partitionBy("day").orderBy(*[c.desc_nulls_last() for c in order])
+    want = df.withColumn("r", F.rank().over(by)).filter(F.col("r") <= k)
+    as_rows = lambda d: sorted(map(str, d.select("day", "v", "w", F.col("r").cast("bigint")).collect()))
+    assert as_rows(got) == as_rows(want)
+
+
+def test_a_long_tie_stays_dealt_and_its_input_is_read_once(spark):
+    from pricelens.operators import ordered
+
+    df = spark.range(20_000).selectExpr("'d' AS day", "id", "1 AS v").observe("__seen", F.count(F.lit(1)).alias("n"))
+    got = ordered.rank_top_k(df, ["day"], [F.col("v")], 3, "r")
+    assert got.count() == 20_000 and got.filter("r = 1").count() == 20_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and plan.count("Relation") == 2  # both of the written rows
