@@ -74,6 +74,13 @@ def run(spark: SparkSession, landed_dir: str, warehouse: str,
     return result
 
 
+def _changes(spark: SparkSession, warehouse: str, old: dict) -> tuple[dict, list[str]]:
+    """The committed loads, and the days of those that are new, replaced or gone since ``old``."""
+    loads = {i: {"attempt": r["attempt"], "days": r["days"]} for i, r in store.commits(spark, warehouse).items()}
+    changed = [r[i] for i in old.keys() | loads.keys() if old.get(i) != loads.get(i) for r in (old, loads) if i in r]
+    return loads, sorted({d for r in changed for d in r["days"]})
+
+
 def transform(spark: SparkSession, warehouse: str, full: bool = False) -> list:
     """Bring the marts up to date with the committed loads, check them, then publish them.
 
@@ -85,11 +92,8 @@ def transform(spark: SparkSession, warehouse: str, full: bool = False) -> list:
     """
     config.configure(spark)
     before = store.published(spark, warehouse)
-    loads = {i: {"attempt": r["attempt"], "days": r["days"]} for i, r in store.commits(spark, warehouse).items()}
     full = full or not before["n"]
-    old = {} if full else before["loads"]
-    changed = [r[i] for i in old.keys() | loads.keys() if old.get(i) != loads.get(i) for r in (old, loads) if i in r]
-    touched = sorted({d for r in changed for d in r["days"]})
+    loads, touched = _changes(spark, warehouse, {} if full else before["loads"])
     if not full and not touched:
         return [Row(**r) for r in before["checks"]]
 
@@ -123,6 +127,7 @@ def transform(spark: SparkSession, warehouse: str, full: bool = False) -> list:
         fresh = write("price_carry", refresh.merged(links, carry({d: other[d] for d in followers})), days)
         again = marts.stg_prices(store.read_snapshots(spark, warehouse, days))
         history = write("price_history", refresh.history(again, fresh), days)
+    write("item_days", marts.item_days(snap), touched)
     write("price_movers", marts.price_movers(history), days)
     write("category_summary", marts.category_summary(stg), touched)
     write("daily_deals", marts.daily_deals(history), days)
@@ -131,14 +136,26 @@ def transform(spark: SparkSession, warehouse: str, full: bool = False) -> list:
     return rows  # 29, one per rule
 
 
-def status(spark: SparkSession, warehouse: str) -> DataFrame:
-    """Total snapshots and unique items (latest rows)."""
+def item_days(spark: SparkSession, warehouse: str) -> DataFrame:
+    """``marts.item_days`` over all committed loads: as published, and from the
+    snapshots for the days that changed since."""
     config.configure(spark)
-    return marts.status(store.read_snapshots(spark, warehouse))
+    before = store.published(spark, warehouse)
+    _, touched = _changes(spark, warehouse, before["loads"])
+    known = {d: v for d, v in before["marts"].get("item_days", {}).items() if d not in touched}
+    out = store.read_days(spark, warehouse, "item_days", known).drop(store.DAY)
+    if touched:
+        out = out.unionAll(marts.item_days(store.read_snapshots(spark, warehouse, touched)).select(*out.columns))
+    return out
+
+
+def status(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Total snapshots and unique items (latest rows); no raw snapshots are read of published days."""
+    return marts.status_of_days(item_days(spark, warehouse))
 
 
 def latest_snapshot(spark: SparkSession, warehouse: str) -> DataFrame:
-    return marts.latest_snapshot(store.read_snapshots(spark, warehouse))
+    return marts.latest_of_days(item_days(spark, warehouse))
 
 
 def register_views(spark: SparkSession, warehouse: str) -> list[str]:
@@ -149,7 +166,7 @@ def register_views(spark: SparkSession, warehouse: str) -> list[str]:
     config.configure(spark)
     snap = store.read_snapshots(spark, warehouse)
     views = {"price_snapshots": snap, "stg_prices": marts.stg_prices(snap),
-             "latest_snapshot": marts.latest_snapshot(snap)}
+             "latest_snapshot": latest_snapshot(spark, warehouse)}
     views |= {name: store.read_mart(spark, warehouse, name, keep_partition=True) for name in MART_NAMES}
     for name, df in views.items():
         df.createOrReplaceTempView(name)

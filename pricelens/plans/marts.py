@@ -20,6 +20,7 @@ from pricelens.schema import (
     CATEGORY_COLUMNS,
     DEALS_COLUMNS,
     HISTORY_COLUMNS,
+    ITEM_DAY_COLUMNS,
     LATEST_COLUMNS,
     MOVERS_COLUMNS,
     RAW_TIE,
@@ -178,6 +179,32 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     ).select(*LATEST_COLUMNS)
 
 
+def item_days(snapshots: DataFrame) -> DataFrame:
+    """Each item's latest raw snapshot of a day with the number of its snapshots there.
+
+    A day's rows depend on that day's snapshots alone, so it is kept up to date
+    by touched days; ``latest_of_days`` and ``status_of_days`` read nothing else.
+    """
+    columns = ["snapshot_date", *LATEST_COLUMNS]
+    dated = snapshots.withColumn("snapshot_date", F.date_trunc("DAY", c("scraped_at")))
+    row = F.struct(*[c(n) for n in columns if n not in ("item_id", "snapshot_date")])
+    order = F.struct(*[c(n).alias(f"o{i}") for i, n in enumerate(["scraped_at", *RAW_TIE])])
+    days = dated.groupBy("item_id", "snapshot_date").agg(
+        F.max_by(row, order).alias("__best"), F.count(F.lit(1)).alias("n_snapshots"))
+    return days.select("item_id", "snapshot_date", "__best.*", "n_snapshots").select(*ITEM_DAY_COLUMNS)
+
+
+def latest_of_days(days: DataFrame) -> DataFrame:
+    """M6 from ``item_days``: the row of each item's last day."""
+    return latest_by(days, ["item_id"], ["snapshot_date"], LATEST_COLUMNS[1:]).select(*LATEST_COLUMNS)
+
+
+def status_of_days(days: DataFrame) -> DataFrame:
+    """M7 from ``item_days``."""
+    return days.agg(F.coalesce(F.sum("n_snapshots"), F.lit(0)).cast("bigint").alias("total_snapshots"),
+                    F.count_distinct("item_id").alias("unique_items"))
+
+
 def status(snapshots: DataFrame) -> DataFrame:
     """M7: total snapshots and unique items (= rows of latest_snapshot,
     since item_id is never NULL in the table)."""

@@ -122,8 +122,13 @@ def _mart(columns: list[str]) -> T.StructType:
 CARRY_COLUMNS = ["item_id", "snapshot_date", "close", "prev_close"]
 _MART_TYPES |= {"close": _D, "prev_close": _D}
 
+# Each item's latest raw snapshot of a day, and how many it has there.
+ITEM_DAY_COLUMNS = ["snapshot_date", *LATEST_COLUMNS, "n_snapshots"]
+_MART_TYPES |= {"n_snapshots": _B}
+
 MART_SCHEMAS = {
     "price_carry": _mart(CARRY_COLUMNS),
+    "item_days": _mart(ITEM_DAY_COLUMNS),
     "price_history": _mart(HISTORY_COLUMNS),
     "price_movers": _mart(MOVERS_COLUMNS),
     "category_summary": _mart(CATEGORY_COLUMNS),

@@ -13,7 +13,7 @@ from pricelens.plans import ingest, jobs, marts, quality
 from pricelens.sources import landed, store
 from pricelens.streaming.incremental import start_incremental_load
 
-MARTS = ["price_history", "price_movers", "category_summary", "daily_deals", "price_carry"]
+MARTS = ["price_history", "price_movers", "category_summary", "daily_deals", "price_carry", "item_days"]
 
 
 def captured(rng, day, items, n):
@@ -100,6 +100,26 @@ def test_replaced_load_is_rebuilt(spark, warehouse, tmp_path):
     same_as_full(spark, warehouse, tmp_path, [a, b])
 
 
+def test_status_and_latest_are_kept_up_to_date(spark, warehouse):
+    """Before and after a refresh, also where a load was replaced; published days are not read again."""
+    rng = random.Random(5)
+    loads = {"a": [r for d in (0, 2, 5) for r in captured(rng, d, range(4), 9)], "b": captured(rng, 2, [4, 9], 5)}
+
+    def check():
+        snap = store.read_snapshots(spark, warehouse)
+        assert rows_of(jobs.status(spark, warehouse)) == rows_of(marts.status(snap))
+        assert rows_of(jobs.latest_snapshot(spark, warehouse)) == rows_of(marts.latest_snapshot(snap))
+
+    check()
+    for load_id, rows in [*loads.items(), ("b", loads["b"][:1]), ("b", [])]:
+        store.append_snapshots(snapshots_df(spark, rows), warehouse, load_id)
+        check()
+        jobs.transform(spark, warehouse)
+        check()
+        for df in (jobs.status(spark, warehouse), jobs.latest_snapshot(spark, warehouse)):
+            assert df.inputFiles() and not any("/raw/" in f for f in df.inputFiles())
+
+
 def test_history_of_days_splits_a_hot_item(spark):
     from pricelens.plans import refresh
 
