@@ -40,8 +40,9 @@ def word_count(column):
     return F.size(F.filter(F.split(column, SPACE_CLASS + "+"), lambda w: w != "")).cast("bigint")
 
 
-def order_hash(doc_id, seed: int):
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def order_hash(doc_id, text, seed: int):
+    """A document's place in its source's order; the text tells rows that share an id apart."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(text)))
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -105,7 +106,7 @@ def mixing_plan(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEAT
     """One row per source: size, target, whole passes and the cut of the last.
 
     ``sized``: source, size, h. A document is in the last, partial pass if
-    ``h <= cut`` (NULL: none is). Ties in ``h`` (repeated ids) go together.
+    ``h <= cut`` (NULL: none is). Ties in ``h`` (repeated rows) go together.
     """
     sources = staged(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")),
                                     weights, max_repeats), "mix-sources")
@@ -148,7 +149,7 @@ def sized_documents(docs: DataFrame, seed: int = SEED, source: str = "source",
                     text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     return docs.select(F.col(doc_id).alias("id"), F.col(source).cast("string").alias("source"),
                        word_count(text_of(text)).alias("size"),
-                       order_hash(F.col(doc_id), seed).alias("h"))
+                       order_hash(F.col(doc_id), text_of(text), seed).alias("h"))
 
 
 def mix_copies(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED,
@@ -156,21 +157,21 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
     """``id, size, source_size, target, copies`` for each document.
 
     The mix is made and written as ``mix`` says; ``copies`` counts the rows of
-    a document that were dealt to a shard. Rows of one source that share an id
-    are taken together and have the same number.
+    a document that were dealt to a shard. Rows of one source that share id and
+    text are taken together and have the same number.
 
     A NULL text has size 0; NULL is a source of its own, ordered last. A
     source without words takes nothing. An empty table gives no rows.
     """
     sized, plan = _planned(docs, weights, max_repeats, seed, source, text, doc_id)
     mixed = staged(_dealt(docs, plan, SHARDS, seed, source, text, doc_id), "mix-rows")
-    there = sized.select("id", "source", F.lit(1).alias("n"), F.lit(0).alias("dealt"))
-    dealt = mixed.select(F.col(f"row.`{doc_id}`").alias("id"), F.col(f"row.`{source}`").cast("string").alias("source"),
+    there = sized.select("h", "source", F.lit(1).alias("n"), F.lit(0).alias("dealt"))
+    dealt = mixed.select("h", F.col(f"row.`{source}`").cast("string").alias("source"),
                          F.lit(0).alias("n"), F.lit(1).alias("dealt"))
-    per = there.unionAll(dealt).groupBy("id", "source").agg(F.sum("n").alias("n"), F.sum("dealt").alias("dealt"))
-    per = staged(per.select(F.col("id").alias("i"), F.col("source").alias("s"),
+    per = there.unionAll(dealt).groupBy("h", "source").agg(F.sum("n").alias("n"), F.sum("dealt").alias("dealt"))
+    per = staged(per.select(F.col("h").alias("k"), F.col("source").alias("s"),
                             F.expr("dealt div n").alias("copies")), "mix-counts")
-    met = sized.join(per, F.col("id").eqNullSafe(F.col("i")) & F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    met = sized.join(per, (F.col("h") == F.col("k")) & F.col("source").eqNullSafe(F.col("s"))).drop("s")
     plan = plan.select(F.col("source").alias("s"), "source_size", "target")
     met = met.join(plan, F.col("source").eqNullSafe(F.col("s")))
     return met.select("id", "source", "size", "source_size", "target", "copies")
@@ -198,15 +199,14 @@ def _dealt(docs: DataFrame, plan: DataFrame, shards: int, seed: int, source: str
     plan = staged(plan.join(tree, F.col("source").eqNullSafe(F.col("t"))).select(
         F.col("source").alias("s"), "passes", "cut", "ends"), "mix-tree")
     whole = packed(docs, F.col(source).cast("string").alias("source"),
-                   order_hash(F.col(doc_id), seed).alias("h"), F.xxhash64(text_of(text)).alias("text_hash"))
+                   order_hash(F.col(doc_id), text_of(text), seed).alias("h"))
     met = whole.join(plan, F.col("source").eqNullSafe(F.col("s"))).filter(_copies() > 0)
     met = met.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), _copies() - 1)))
     rank = F.col("copy") * BLOCKS + F.conv(F.substring("h", 1, BLOCK_DIGITS), 16, 10).cast("bigint")
     met = met.withColumn("rank", rank)
     shard = F.size(F.filter("ends", lambda e: e <= F.col("rank"))).cast("int")
-    # the text is in the key for rows without an id, which share their h
-    met = met.select("row", F.col("copy").cast("int").alias("copy"), shard.alias("shard"),
-                     F.xxhash64("h", "copy", "text_hash", F.lit(seed)).alias("order_key"))
+    met = met.select("row", "h", F.col("copy").cast("int").alias("copy"), shard.alias("shard"),
+                     F.xxhash64("h", "copy", F.lit(seed)).alias("order_key"))
     # a shard is cut into ranges of its (uniform) order keys: more tasks than shards, no sampling
     ranges = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
     high = F.shiftright("order_key", 32) + F.lit(1 << 31)
@@ -216,7 +216,7 @@ def _dealt(docs: DataFrame, plan: DataFrame, shards: int, seed: int, source: str
 
 def mix(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, max_repeats: int = MAX_REPEATS,
         seed: int = SEED, source: str = "source", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The mixed rows: ``row`` once per copy, with ``copy``, ``shard`` and ``order_key``.
+    """The mixed rows: ``row`` once per copy, with ``h`` (its place in the order), ``copy``, ``shard`` and ``order_key``.
 
     Every partition holds one shard, or one range of its order keys, sorted by
     them; partitions are in the order of shards and ranges, so the files of a

@@ -26,7 +26,7 @@ FROM marked GROUP BY r, doc_id
 OP10_SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
+         md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS h
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,

@@ -214,3 +214,27 @@ def test_jensen_shannon_distance(spark):
     with np.errstate(divide="ignore", invalid="ignore"):
         want = (np.nansum(a * np.log2(a / m)) + np.nansum(b * np.log2(b / m))) / 2
     assert got == pytest.approx(want)
+
+
+def test_language_equals_plain_distances(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    want = brute.languages(docs)
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in queries.op4_language_id(spark, sf_dir).collect()}
+    assert got.keys() == want.keys()
+    for i, (held, lang, score) in want.items():
+        assert got[i][:2] == (held, lang) and got[i][2] == pytest.approx(score)
+
+
+def test_mixing_near_the_target_where_rows_share_an_id(spark, documents):
+    """Rows without an id, or with one id, are told apart by their texts."""
+    rng = random.Random(8)
+    rows = [("w " * 10 + str(i), None, "null ids", None) for i in range(3000)]
+    rows += [("w " * rng.randint(5, 15) + str(i), None, "one id", 5) for i in range(1500)]
+    rows += [("w " * 20 + str(i), None, "large", i) for i in range(6000)]
+    sums = {}
+    for r in mixing.mix_copies(documents(rows)).collect():
+        own = sums.setdefault(r.source, [0, r.target])
+        own[0] += r.size * r.copies
+    assert len(sums) == 3
+    for taken, target in sums.values():
+        assert abs(taken - target) <= 0.01 * target
