@@ -315,6 +315,7 @@ _LIN = "run_id, keyword, page, pos"
 INGEST_SQL = {
     "explode_pages": _with(SNAP, ING) + f"SELECT {_LIN}, captured_at, itemId, nid, price, priceShow FROM raw_items",
     "page_prefix": _with(SNAP, ING) + "SELECT run_id, keyword, page, n_items FROM kept",
+    "stream_prefix": _with(SNAP, ING) + "SELECT run_id, keyword, page, n_items FROM kept",
     "listing_map": _with(SNAP, ING) + """
 SELECT run_id, pos, item_id, name, price, original_price, brand, category, item_url, image_url,
        rating_text AS rating, review_text AS review_count, location, keyword, page FROM lst""",

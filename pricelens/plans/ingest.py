@@ -22,6 +22,8 @@ from pricelens.schema import ITEM_FIELDS, LISTING_COLUMNS, REQUIRED_COLUMNS, SNA
 c = F.col
 LINEAGE = ["run_id", "keyword", "page", "pos"]
 CHECKED_COLUMNS = ["run_id", "pos", *SNAPSHOT_COLUMNS, "reason"]
+# Why a page is left out.
+NOT_CHOSEN, BEYOND_CAP, AFTER_GAP = "keyword not chosen", "beyond the page cap", "after a missing page"
 
 
 def item_count() -> Column:
@@ -102,6 +104,13 @@ def keyword_filter(listing: DataFrame, keywords: Sequence[str] | None = None) ->
     return listing if keywords is None else listing.filter(c("keyword").isin(*dict.fromkeys(keywords)))
 
 
+def chosen(keywords: Sequence[str] | None) -> Column:
+    """Whether a page's keyword was asked for (None: all were)."""
+    if keywords is None:
+        return F.lit(True)
+    return F.coalesce(c("keyword"), F.lit("")).isin(*dict.fromkeys(keywords))
+
+
 def page_fates(full: DataFrame, keywords: Sequence[str] | None = None,
                max_pages: int | None = None) -> DataFrame:
     """Pages that carry items, with ``reason``: why what was asked for leaves them out (NULL: kept).
@@ -115,11 +124,10 @@ def page_fates(full: DataFrame, keywords: Sequence[str] | None = None,
             c("run_id").alias("__r"), c("keyword").alias("__k"), c("page").alias("__p")).distinct()
         out = out.join(kept, out["run_id"].eqNullSafe(kept["__r"]) & out["keyword"].eqNullSafe(kept["__k"])
                        & (out["page"] == kept["__p"]), "left")
-        reason = F.when(c("__p").isNull(), F.when(c("page") > max_pages, F.lit("beyond the page cap"))
-                        .otherwise(F.lit("after a missing page")))
+        reason = F.when(c("__p").isNull(), F.when(c("page") > max_pages, F.lit(BEYOND_CAP))
+                        .otherwise(F.lit(AFTER_GAP)))
     if keywords is not None:
-        chosen = F.coalesce(c("keyword"), F.lit("")).isin(*dict.fromkeys(keywords))
-        reason = F.when(~chosen, F.lit("keyword not chosen")).otherwise(reason)
+        reason = F.when(~chosen(keywords), F.lit(NOT_CHOSEN)).otherwise(reason)
     return out.select(*full.columns, reason.alias("reason"))
 
 

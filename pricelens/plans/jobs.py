@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens import config
-from pricelens.plans import ingest, marts, quality, refresh, reports
+from pricelens.plans import ingest, marts, open_runs, quality, refresh, reports
 from pricelens.sources import landed, store
 
 MART_NAMES = ["price_history", "price_movers", "category_summary", "daily_deals"]
@@ -17,7 +18,8 @@ MART_NAMES = ["price_history", "price_movers", "category_summary", "daily_deals"
 
 def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
                keywords: Sequence[str] | None = None, max_pages: int | None = None,
-               load_id: str | None = None, owner: str = "") -> dict:
+               load_id: str | None = None, owner: str = "", resume: str | None = None,
+               patience: float | None = None) -> dict:
     """Validate page documents and append valid records (+ rejects), as one load.
 
     The pages are parsed once and written with the one fate each of them has
@@ -27,19 +29,37 @@ def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
     (``raw/skipped_pages``, with the reason), or on a page that could not be
     read (``raw/malformed_pages``, the line itself), whatever the cut. The
     commit is written last: before it, nothing of the load is visible.
+
+    With ``patience`` (seconds) the cap holds for runs whose pages come in
+    several loads: a page that waits for an earlier one is held, and the load
+    goes on from the one named by ``resume`` (see ``plans.open_runs``).
     """
+    if patience is not None and max_pages is None:
+        raise ValueError("patience is for a page cap")
     load = store.Load(spark, warehouse, load_id, owner)
     obs = Observation(f"landed_{uuid.uuid4().hex[:8]}")
     seen = landed.fated(pages).observe(obs, F.count_if(F.col("fate") == landed.MALFORMED).alias("malformed"),
                                        F.sum(ingest.item_count()).alias("items"))
     stored = load.write(seen, store.PAGES_TABLE, "fate")
     of = lambda df, fate: df.filter(F.col("fate") == fate)
-    kept, skipped_items = of(stored, landed.FULL), 0
+    kept = of(stored, landed.FULL)
+    items_of = lambda df: int(df.agg(F.sum(ingest.item_count())).first()[0] or 0)
+    skipped_items = resumed_items = held_items = 0
     if keywords is not None or max_pages is not None:
-        cut = ingest.page_fates(kept.drop("line", "fate"), keywords, max_pages)
-        cut = cut.withColumn("fate", F.when(F.col("reason").isNull(), landed.FULL).otherwise(landed.SKIPPED))
-        cut = load.write(cut, store.PAGES_TABLE + "_cut", "fate")
+        cut = kept.drop("line", "fate")
+        if patience is None:
+            cut = ingest.page_fates(cut, keywords, max_pages)
+        else:
+            held, before = open_runs.left_by(spark, store.commits(spark, warehouse)[resume] if resume else None)
+            now = dt.datetime.now(dt.timezone.utc)
+            progress = open_runs.progress(cut, held, before, max_pages, patience, now, keywords)
+            progress = load.write(progress, store.PROGRESS_TABLE)
+            cut = open_runs.page_fates(cut.unionByName(held), progress, max_pages, keywords)
+            resumed_items = items_of(held)
+        fate = F.when(F.col("reason").isNull(), landed.FULL).when(F.col("reason") == open_runs.WAITS, landed.HELD)
+        cut = load.write(cut.withColumn("fate", fate.otherwise(landed.SKIPPED)), store.CUT_TABLE, "fate")
         kept = of(cut, landed.FULL)
+        held_items = items_of(of(cut, landed.HELD)) if patience is not None else 0
         skipped = of(cut, landed.SKIPPED).select("run_id", "keyword", "page", ingest.item_count().alias("n_items"), "reason")
         skipped = load.write(skipped, store.SKIPPED_TABLE)
         skipped_items = int(skipped.agg(F.sum("n_items")).first()[0] or 0)
@@ -48,11 +68,12 @@ def load_pages(spark: SparkSession, pages: DataFrame, warehouse: str,
     rejected = load.write(ingest.rejects(checked), store.REJECTS_TABLE).count()
     load.write(ingest.page_counts(checked), store.PAGE_COUNTS_TABLE)
     load.write(of(stored, landed.MALFORMED).select("line"), store.MALFORMED_TABLE)
-    landed_items = int(obs.get["items"] or 0)
-    if landed_items != written + rejected + skipped_items:
-        raise RuntimeError(f"{landed_items} items landed, {written} + {rejected} + {skipped_items} accounted for")
+    landed_items = int(obs.get["items"] or 0) + resumed_items
+    if landed_items != written + rejected + skipped_items + held_items:
+        raise RuntimeError(f"{landed_items} items landed or held before, "
+                           f"{written} + {rejected} + {skipped_items} + {held_items} accounted for")
     counts = {"appended": written, "rejected": rejected, "malformed_pages": int(obs.get["malformed"] or 0),
-              "skipped_items": skipped_items}
+              "skipped_items": skipped_items, "held_items": held_items}
     load.commit(**counts)
     return {"load_id": load.load_id, **counts}
 

@@ -33,7 +33,8 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 # What becomes of a landed line (a page); items of a full page are then checked one by one.
-FULL, EMPTY, MALFORMED, SKIPPED = "full", "empty", "malformed", "skipped"
+# HELD: it waits for an earlier page of its run (see plans.open_runs).
+FULL, EMPTY, MALFORMED, SKIPPED, HELD = "full", "empty", "malformed", "skipped", "held"
 
 
 def fated(pages: DataFrame) -> DataFrame:

@@ -36,6 +36,8 @@ from pricelens.schema import MART_SCHEMAS, SNAPSHOT, SNAPSHOT_COLUMNS
 
 RAW_TABLE = "raw/price_snapshots"
 PAGES_TABLE = "raw/pages"
+CUT_TABLE = "raw/pages_cut"
+PROGRESS_TABLE = "raw/page_progress"
 REJECTS_TABLE = "raw/rejects"
 PAGE_COUNTS_TABLE = "raw/page_counts"
 MALFORMED_TABLE = "raw/malformed_pages"
@@ -64,7 +66,7 @@ def _fs(spark: SparkSession, target: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
+def names(spark: SparkSession, folder: str) -> list[str]:
     fs, at = _fs(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
@@ -99,7 +101,7 @@ def _get(spark: SparkSession, target: str) -> dict:
 def commits(spark: SparkSession, warehouse: str) -> dict[str, dict]:
     """The newest commit record of every load, by load id."""
     folder, newest = path(warehouse, "commits"), {}
-    for name in _names(spark, folder):  # sorted: a later record of a load comes after its earlier ones
+    for name in names(spark, folder):  # sorted: a later record of a load comes after its earlier ones
         load_id, _, rest = name.removesuffix(".json").partition("~")
         if rest and name.endswith(".json"):
             newest[load_id] = name
@@ -143,7 +145,7 @@ class Load:
 
     def commit(self, **counts) -> dict:
         """Make the load visible: all of its tables at once."""
-        days = [n.partition("=")[2] for n in _names(self.spark, self.folder(RAW_TABLE)) if n.startswith(f"{DAY}=")]
+        days = [n.partition("=")[2] for n in names(self.spark, self.folder(RAW_TABLE)) if n.startswith(f"{DAY}=")]
         n = self.before["n"] + 1 if self.before else 1
         record = {"load_id": self.load_id, "n": n, "owner": self.owner, "attempt": self.attempt, "days": days,
                   "tables": self.tables, "counts": counts}
@@ -152,7 +154,7 @@ class Load:
         kept = {f"attempt={a}" for a in (self.attempt, (self.before or {}).get("attempt"))}
         for table in self.tables:
             folder = f"{path(self.warehouse, table)}/load_id={self.load_id}"
-            for name in _names(self.spark, folder):
+            for name in names(self.spark, folder):
                 if name.startswith("attempt=") and name not in kept:
                     _delete(self.spark, f"{folder}/{name}")
         return record
@@ -200,10 +202,10 @@ def row_count(spark: SparkSession, warehouse: str) -> int:
 
 def published(spark: SparkSession, warehouse: str) -> dict:
     """The newest publication: ``n``, ``marts`` (name -> day -> version), ``loads``, ``checks``."""
-    names = [n for n in _names(spark, path(warehouse, "published")) if n.endswith(".json")]
-    if not names:
+    records = [n for n in names(spark, path(warehouse, "published")) if n.endswith(".json")]
+    if not records:
         return {"n": 0, "marts": {}, "loads": {}, "checks": []}
-    return _get(spark, f"{path(warehouse, 'published')}/{names[-1]}")
+    return _get(spark, f"{path(warehouse, 'published')}/{records[-1]}")
 
 
 def publish(spark: SparkSession, warehouse: str, before: dict, marts: dict[str, dict[str, int]], loads: dict,
@@ -216,11 +218,11 @@ def publish(spark: SparkSession, warehouse: str, before: dict, marts: dict[str,
     for name in marts:
         kept = {v for m in used for v in m.get(name, {}).values()}
         target = path(warehouse, f"marts/{name}")
-        for version in _names(spark, target):
+        for version in names(spark, target):
             number = int(version.partition("=")[2])
             if number not in kept and number < record["n"]:
                 _delete(spark, f"{target}/{version}")
-    for name in [n for n in _names(spark, folder) if n.endswith(".json")][:-KEPT_RECORDS]:
+    for name in [n for n in names(spark, folder) if n.endswith(".json")][:-KEPT_RECORDS]:
         _delete(spark, f"{folder}/{name}")
 
 
@@ -236,7 +238,7 @@ def write_days(mart: DataFrame, warehouse: str, name: str, version: int) -> dict
     target = f"{path(warehouse, f'marts/{name}')}/version={version:09d}"
     by_day = mart.withColumn(DAY, F.to_date("snapshot_date")).hint("rebalance", DAY)
     by_day.write.mode("overwrite").partitionBy(DAY).parquet(target)
-    found = _names(mart.sparkSession, target)
+    found = names(mart.sparkSession, target)
     return {n.partition("=")[2]: version for n in found if n.startswith(f"{DAY}=")}
 
 
