@@ -30,6 +30,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
+PART = 256  # items that one fold gathers
 WINDOW = 20
 SCALE = 1_000_000
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
@@ -60,6 +61,37 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _scan(items: Column, state: Column, step, kind: str) -> Column:
+    """``step(carry, item) -> struct(carry, out)`` along an array; returns the ``out`` that are not NULL.
+
+    An array that grows inside a fold is copied for every item. Here it is at
+    most ``PART`` long, and the parts are put together at the end: the work is
+    linear up to millions of items.
+    """
+    def part(xs: Column, i: Column) -> Column:
+        return F.slice(xs, i * PART + 1, F.lit(PART))
+
+    def inside(a: Column, x: Column) -> Column:
+        return let(step(a["carry"], x), lambda n: F.struct(
+            n["carry"].alias("carry"), F.when(n["out"].isNull(), a["found"]).otherwise(
+                F.concat(a["found"], F.array(n["out"]).cast(f"array<{kind}>"))).alias("found")))
+
+    def over(xs: Column) -> Column:
+        none = F.array().cast(f"array<{kind}>")
+        parts = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / PART).cast("int"))
+        start = F.struct(state.alias("carry"), F.array().cast(f"array<array<{kind}>>").alias("parts"))
+
+        def outside(a: Column, i: Column) -> Column:
+            one = F.aggregate(part(xs, i), F.struct(a["carry"].alias("carry"), none.alias("found")), inside)
+            return let(one, lambda n: F.struct(n["carry"].alias("carry"),
+                                               F.concat(a["parts"], F.array(n["found"])).alias("parts")))
+
+        return F.when(F.size(xs) == 0, none).otherwise(
+            F.flatten(F.aggregate(parts, start, outside, lambda a: a["parts"])))
+
+    return let(items, over)
+
+
 def _matches(text: Column, pattern: str, group: int | None = None) -> Column:
     """``start, end, value`` of all matches, from the pieces between them.
 
@@ -68,18 +100,16 @@ def _matches(text: Column, pattern: str, group: int | None = None) -> Column:
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     zipped = F.arrays_zip(F.split(text, pattern).alias("gap"), whole.alias("whole"), value.alias("value"))
-    kind = "array<struct<start:bigint,end:bigint,value:string>>"
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind).alias("found"))
+    kind = "struct<start:bigint,end:bigint,value:string>"
 
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + F.length(x["gap"])
+    def step(at: Column, x: Column) -> Column:
+        begin = at + F.length(x["gap"])
         end = begin + F.coalesce(F.length(x["whole"]), F.lit(0))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))).cast(kind)
-        return F.struct(end.alias("at"), F.when(x["whole"].isNull(), a["found"])
-                        .otherwise(F.concat(a["found"], one)).alias("found"))
+        one = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")).cast(kind)
+        return F.struct(end.cast("bigint").alias("carry"), F.when(x["whole"].isNotNull(), one).alias("out"))
 
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda a: a["found"])).otherwise(
-        F.array().cast(kind))
+    found = _scan(zipped, F.lit(0).cast("bigint"), step, kind)
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{kind}>"))
 
 
 def _entropy_limit(bits: float) -> int:
@@ -150,9 +180,23 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
                                  F.transform(_matches(F.col("t"), HEX), span("hex"))))
     found = whole.select("row", base.alias("base"),
                          F.transform(entropy_spans(F.col("t")), span("entropy")).alias("more"))
-    new = F.filter("more", lambda e: ~F.exists(
-        "base", lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"])))
-    return found.select("row", "base", F.array_sort(F.concat(F.col("base"), new)).alias("spans"))
+    return found.select("row", "base", _uncovered(F.array_sort(F.concat("base", "more"))).alias("spans"))
+
+
+def _uncovered(spans: Column) -> Column:
+    """Sorted spans without the entropy findings that lie inside a base finding.
+
+    Base findings come first among equal starts, so the largest end of those
+    before a span tells whether one of them covers it.
+    """
+    entropy = KINDS.index("entropy")
+
+    def step(reach: Column, s: Column) -> Column:
+        own = s["kind"] == entropy
+        return F.struct(F.when(own, reach).otherwise(F.greatest(reach, s["end"])).alias("carry"),
+                        F.when(~own | (s["end"] > reach), s).alias("out"))
+
+    return _scan(spans, F.lit(-1).cast("bigint"), step, "struct<start:bigint,kind:int,end:bigint>")
 
 
 def spans_text(spans: Column) -> Column:

@@ -1,6 +1,8 @@
 """Lines, mixing, language, secrets, quality: edge rows, and queries against brute force."""
 
+import hashlib
 import random
+import time
 
 import brute
 import numpy as np
@@ -167,6 +169,35 @@ def test_secrets_against_brute_force(spark, documents):
     assert secrets.scan_secrets(documents([])).count() == 0
 
 
+def test_many_secrets_in_one_text(spark, documents):
+    """80,000 findings: more than a part of the fold, and more than squared work would allow."""
+    hexes = "0123456789abcdef01234567"
+    texts = [f"é{hexes} " * n for n in (secrets.PART - 1, secrets.PART, secrets.PART + 1, 80_000)]
+    texts += [f"token={hexes} " * 700]
+    start = time.monotonic()
+    rows = secrets.scan_secrets(documents(texts)).select(
+        "row.doc_id", secrets.count_kind(F.col("base"), "hex").alias("n"), secrets.count_kind(F.col("spans"), "entropy").alias("more"),
+        F.md5(secrets.spans_text(F.col("base"))).alias("base")).collect()
+    assert time.monotonic() - start < 60
+    for r in rows:
+        counts, spans = brute.secrets(texts[r.doc_id])
+        assert (r.n, r.more, r.base) == (counts["hex"], 0, hashlib.md5(spans.encode()).hexdigest())
+
+
+def test_entropy_findings_inside_base_findings(spark):
+    """The running end equals a comparison with every base finding."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        spans = [(a := rng.randint(0, 60), rng.choice([0, 1, 2, 3, 3]), a + rng.randint(1, 30)) for _ in range(rng.randint(0, 12))]
+        rows.append((i, sorted(spans)))
+    df = spark.createDataFrame(rows, "i int, s array<struct<start:bigint,kind:int,end:bigint>>")
+    for r in df.select("i", secrets._uncovered(F.col("s")).alias("s")).collect():
+        spans = rows[r.i][1]
+        want = [s for s in spans if s[1] != 3 or not any(b[1] != 3 and b[0] <= s[0] and b[2] >= s[2] for b in spans)]
+        assert [tuple(s) for s in r.s] == want
+
+
 def test_entropy_spans(spark, documents):
     value = "".join(random.Random(1).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40))
     flat = "abababababababababab1" * 2
