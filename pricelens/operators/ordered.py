@@ -83,12 +83,26 @@ def has_hot_group(df: DataFrame, keys: Sequence[str], num_parts: int | None = No
     return bool(worst["m"]) and worst["m"] * n > worst["t"] and worst["m"] > min_rows
 
 
+def count_below(bounds: Column, own: Column) -> Column:
+    """How many of the sorted ``bounds`` lie below ``own``: found by halving, not by comparing with each."""
+    def step(a: Column, _: Column) -> Column:
+        mid = F.floor((a["low"] + a["high"]) / 2).cast("int")
+        below = F.get(bounds, mid) < own
+        open_ = a["low"] < a["high"]
+        return F.struct(F.when(open_ & below, mid + 1).otherwise(a["low"]).alias("low"),
+                        F.when(open_ & ~below, mid).otherwise(a["high"]).alias("high"))
+
+    halvings = F.sequence(F.lit(0), F.length(F.bin(F.size(bounds))))
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+    return F.aggregate(halvings, start, step, lambda a: a["low"])
+
+
 def _ranged(df: DataFrame, bounds: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: str) -> DataFrame:
     """``df`` with each row's range: how many of its key's bounds lie below it
     (NULL for the rows of other keys). Rows equal in ``order`` stay together."""
     own = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
     joined = df.join(F.broadcast(bounds), _match(df, bounds, keys, "__h_"), "left")
-    below = F.size(F.filter(F.col(BOUNDS), lambda b: b < own))
+    below = count_below(F.col(BOUNDS), own)
     return joined.select(*df.columns, F.when(F.col(BOUNDS).isNotNull(), below).cast("long").alias(chunk))
 
 

@@ -1,6 +1,7 @@
 """Property-based checks of the scalar functions (hypothesis generates the
 values; each property evaluates one batch in a single Spark job)."""
 
+import random
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -143,3 +144,17 @@ def test_a_long_tie_stays_dealt_and_its_input_is_read_once(spark):
     assert got.count() == 20_000 and got.filter("r = 1").count() == 20_000
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Range" not in plan and plan.count("Relation") == 2  # both of the written rows
+
+
+def test_count_below_equals_a_comparison_with_every_bound(spark):
+    from pricelens.operators.ordered import count_below
+
+    rng = random.Random(3)
+    value = lambda: (rng.choice([None, 0, 1, 2, 3]), rng.choice([None, "a", "b"]))
+    rows = [([value() for _ in range(n)], value()) for n in (0, 1, 2, 3, 7, 8, 9, 40) for _ in range(12)] + [(None, (1, "a"))]
+    df = spark.createDataFrame(rows, "s array<struct<x:int,y:string>>, own struct<x:int,y:string>")
+    df = df.select(F.array_sort("s").alias("s"), "own")
+    out = df.select(count_below(F.col("s"), F.col("own")).alias("got"),
+                    F.expr("size(filter(s, b -> b < own))").alias("want"), F.col("s").isNull().alias("none"))
+    for r in out.collect():
+        assert r.none or r.got == r.want
