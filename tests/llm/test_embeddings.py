@@ -43,7 +43,73 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch):
     assert groups(spark, rows) == expected(rows)
     monkeypatch.setattr(embeddings, "HOME_BLOCK", 20)  # many cells, and cells of several blocks
     monkeypatch.setattr(embeddings, "MEMBER_BLOCK", 16)
-    assert groups(spark, rows) == expected(rows)
+    assert groups(spark, rows, margin=None) == expected(rows)
+
+
+def links_of(spark, rows, **kw):
+    return sum(n for n, _, _ in groups(spark, rows, **kw).values())
+
+
+def planted(n, dim, cosines, seed):
+    """Random vectors, a third of them with a partner at a cosine from ``cosines``."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g = rng.normal(size=(n // 3, dim))
+    g -= (g * x[:n // 3]).sum(axis=1, keepdims=True) * x[:n // 3]
+    g /= np.linalg.norm(g, axis=1, keepdims=True)
+    c = rng.choice(cosines, size=(n // 3, 1))
+    return np.concatenate([x, c * x[:n // 3] + np.sqrt(1 - c * c) * g])
+
+
+def pair_counts(x):
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    return near.sum(axis=1)
+
+
+def test_default_margin_recall_and_symmetric_counts(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "HOME_BLOCK", 40)  # 50 cells
+    monkeypatch.setattr(embeddings, "MEMBER_BLOCK", 64)
+    x = planted(1500, 64, [0.91, 0.95, 0.99], 3)
+    got = groups(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    counts, want = np.array([got[i][0] for i in range(len(x))]), pair_counts(x)
+    assert (counts <= want).all() and counts.sum() >= 0.9 * want.sum()
+    partner = np.arange(500)  # both ends of a pair count it, or neither does
+    assert (counts[partner] == counts[1500 + partner]).all()
+    assert all(got[1500 + i][1] == (i if counts[i] else 1500 + i) for i in range(500))
+
+
+def test_visits_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "HOME_BLOCK", 20)
+    seen = []
+    for n in (600, 4800):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        df = spark.createDataFrame([(i, 1, v.tobytes()) for i, v in enumerate(x)], "rep long, mult long, vec binary")
+        rows = embeddings.cells_of(df)
+        assert rows.filter("home = 1").count() == n
+        seen.append(rows.count() / n)
+    assert max(seen) <= embeddings.MAX_VISITS
+
+
+def test_two_levels_index_every_vector_once(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "HOME_BLOCK", 20)
+    monkeypatch.setattr(embeddings, "MEMBER_BLOCK", 64)
+    monkeypatch.setattr(embeddings, "MAX_CELLS", 12)  # 100 cells are wanted
+    x = planted(1500, 64, [0.92, 0.99], 5)
+    df = spark.createDataFrame([(i, 1, v.tobytes()) for i, v in enumerate(x)], "rep long, mult long, vec binary")
+    rows = embeddings.cells_of(df).collect()
+    assert sorted(r.rep for r in rows if r.home) == list(range(len(x)))
+    assert len({r.at for r in rows}) > 40 and all(r.cell in r.visits and r.at == r.cell for r in rows if r.home)
+    got = groups(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    counts, want = np.array([got[i][0] for i in range(len(x))]), pair_counts(x)
+    assert (counts <= want).all() and counts.sum() >= 0.9 * want.sum()
+    assert (counts[:500] == counts[1500:]).all()
+    # one cell may hold nearly everything
+    same = np.array([1.0] + [0.0] * 63) + 0.01 * np.random.default_rng(6).normal(size=(400, 64))
+    same /= np.linalg.norm(same, axis=1, keepdims=True)
+    assert links_of(spark, [(i, v.tolist()) for i, v in enumerate(same)], margin=None) == pair_counts(same).sum()
+    assert links_of(spark, [(i, v.tolist()) for i, v in enumerate(same)]) >= 0.9 * pair_counts(same).sum()
 
 
 def test_edge_vectors(spark):
