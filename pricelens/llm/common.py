@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +25,35 @@ BATCH_ROWS = 1000
 LOT_BYTES = 8 << 20
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scope: ContextVar[list[str] | None] = ContextVar("staged_tables", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Deletes the tables that were staged inside, but for lasting ones, at the end.
+
+    What was built inside must have been written by then: a frame that still
+    reads one of those tables fails. Without a scope staged tables stay, since
+    an operator returns a frame that its caller has yet to run.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None and not lasting:
+        scope.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

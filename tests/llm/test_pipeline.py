@@ -1,6 +1,7 @@
 """The pipeline's stages, each on its own input, and the registered queries."""
 
 import random
+from pathlib import Path
 
 import brute
 import corpus_pipeline
@@ -11,7 +12,7 @@ from test_simhash import expected as simhash_expected
 from test_texts import plain_lines
 
 import __spark_entry__ as entry
-from pricelens.llm.common import staged
+from pricelens.llm.common import scratch_tables, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGES = dict(corpus_pipeline.STAGES)
@@ -44,6 +45,21 @@ def test_stage_names_and_columns(spark, documents):
     assert last.columns == df.columns + ["n_tokens", "ids", "round_trip"]
 
 
+def test_staged_tables_of_a_scope_are_deleted(spark):
+    outside = staged(spark.range(3), "outside")
+    with scratch_tables(spark):
+        gone = staged(spark.range(5), "inside")
+        path = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        lasting = staged(gone.filter("id > 1"), "result", lasting=True)
+        assert Path(path).exists()
+    assert not Path(path).exists()
+    assert lasting.count() == 3 and outside.count() == 3
+    with pytest.raises(ValueError), scratch_tables(spark):
+        path = staged(spark.range(2), "failed").inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        raise ValueError
+    assert not Path(path).exists()
+
+
 def test_language_stage_keeps_clean_documents(spark, documents):
     df, rows = made_up(documents)
     kept = {r.doc_id for r in STAGES["language_id"](spark, df, None).collect()}
@@ -109,7 +125,8 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(entry.LLM_SQL))
 def test_query_equals_its_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    for path in Path(sf_dir).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
     result = con.execute(entry.LLM_SQL[name])
     columns = sorted(d[0] for d in result.description)
     want = result.df()[columns].sort_values(columns).reset_index(drop=True)
