@@ -2,7 +2,8 @@
 
 ``run`` applies the stages to ``documents``. Each stage is written as Parquet
 in the shared folder and read back as the next one's documents, so a lost
-executor never reaches further than the stage that is running.
+executor never reaches further than the stage that is running, and the tables
+that a stage staged for itself are deleted once its result is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pricelens import config
 from pricelens.llm import bpe, langid, lines, mixing, simhash
-from pricelens.llm.common import read_table, staged, unpacked
+from pricelens.llm.common import read_table, scratch_tables, staged, unpacked
 from pricelens.llm.queries import BYTE_VOCABULARY, tokenizer_path
 
 #: A text whose n-grams stand less close than this to every profile is in no known language.
@@ -75,5 +76,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     config.configure(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_tables(spark):
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", lasting=True)
     return STAGES[-1][1](spark, docs, sf_dir)
