@@ -6,8 +6,9 @@ and meet, whatever document they stand in. Neighbouring strings with the same
 minimizer travel as one segment, first as a hash only:
 
 1. Segments that are equal as a whole need no suffix array: all but those of
-   the smallest document are covered. This is combined per batch before the
-   shuffle, so a passage that is everywhere sends one row a batch.
+   the smallest document are covered. This is combined in lots of segments
+   before the shuffle, so a passage that is everywhere sends one row a lot.
+   The segments meet in buckets, as many as the bytes of the texts ask for.
 2. Segments of one minimizer that differ, in different documents, are fetched
    and sorted in shards bounded by segments and by bytes: a suffix array by induced
    sorting, permuted common prefixes, and the smallest document of every run
@@ -31,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, staged, text_of, utf8
+from .common import packed, small_batches, staged, text_of, utf8
 from .suffixes import common_prefixes, suffix_array
 
 WINDOW = 50
 GRAM = 24  # longer: more segments, fewer that share a minimizer by chance
 BATCH_BYTES = 1 << 20
+LOT_SEGMENTS = 400_000  # combined at once before the shuffle, whatever the batches
 BUCKETS_PER_PARTITION = 4
+BUCKET_BYTES = 8 << 20  # of segments, on average
 SHARD_SEGMENTS = 12_000
 SHARD_BYTES = 1 << 19  # of segments, on average
 TASKS_PER_PARTITION = 10
@@ -123,40 +126,48 @@ def joined(docs: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
     return docs[at], starts[at], np.append(reach[at[1:] - 1], reach[-1]) - offset[at] - starts[at]
 
 
-def _windows(docs: list[int], texts: list[bytes]):
-    """The texts in lots of about BATCH_BYTES."""
+def _text_lots(batches: Iterator[pa.RecordBatch]):
+    """The texts and their documents in lots of about BATCH_BYTES."""
     lot, ids, size = [], [], 0
-    for i, t in zip(docs, texts):
-        lot.append(t)
-        ids.append(i)
-        size += len(t)
-        if size >= BATCH_BYTES:
-            yield lot, np.array(ids, np.int64)
-            lot, ids, size = [], [], 0
+    for batch in batches:
+        for i, t in zip(batch.column("doc").to_pylist(), utf8(batch.column("text"))):
+            lot.append(t)
+            ids.append(i)
+            size += len(t)
+            if size >= BATCH_BYTES:
+                yield lot, np.array(ids, np.int64)
+                lot, ids, size = [], [], 0
     if lot:
         yield lot, np.array(ids, np.int64)
 
 
 def _parts(buckets: int, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            docs = batch.column("doc").to_pylist()
-            found = [segments(*lot, window, gram) for lot in _windows(docs, utf8(batch.column("text")))]
-            p, covered = covered_by_equal(np.concatenate(found))
-            # the batch's own covers ride along in any bucket, neighbours as one
-            doc, start, size = joined(p["doc"][covered], p["start"][covered], p["n"][covered] + window - 1)
-            covers = np.zeros(len(doc), PART)
-            covers["doc"], covers["start"], covers["n"] = doc, start, size - window + 1
-            yield _rows([hash(docs[0]) % buckets], [COVER], [covers])
-            p = p[~covered]
-            bucket = (p["mh"] >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            p, bucket = p[order], bucket[order]
-            at = np.nonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[0] if len(p) else []
-            yield _rows([int(bucket[a]) for a in at], [CANDIDATE] * len(at),
-                        [p[a:b] for a, b in zip(at, [*at[1:], len(p)])])
+        held, size = [], 0
+        for texts, docs in _text_lots(batches):
+            held.append(segments(texts, docs, window, gram))
+            size += len(held[-1])
+            if size >= LOT_SEGMENTS:
+                yield from sent(held, int(docs[0]))
+                held, size = [], 0
+        if size:
+            yield from sent(held, int(docs[0]))
+
+    def sent(held: list[np.ndarray], any_doc: int) -> Iterator[pa.RecordBatch]:
+        p, covered = covered_by_equal(np.concatenate(held))
+        held.clear()
+        # the lot's own covers ride along in any bucket, neighbours as one
+        doc, start, size = joined(p["doc"][covered], p["start"][covered], p["n"][covered] + window - 1)
+        covers = np.zeros(len(doc), PART)
+        covers["doc"], covers["start"], covers["n"] = doc, start, size - window + 1
+        yield _rows([hash(any_doc) % buckets], [COVER], [covers])
+        p = p[~covered]
+        bucket = (p["mh"] >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        p, bucket = p[order], bucket[order]
+        at = np.nonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[0] if len(p) else []
+        yield _rows([int(bucket[a]) for a in at], [CANDIDATE] * len(at),
+                    [p[a:b] for a, b in zip(at, [*at[1:], len(p)])])
 
     return run
 
@@ -169,12 +180,16 @@ def _rows(bucket: list[int], kind: list[int], parts: list[np.ndarray]) -> pa.Rec
         ["bucket", "kind", "body"])
 
 
-def _unpack(body: bytes) -> np.ndarray:
-    n, at = len(body) // PART.itemsize, 0
-    out = np.empty(n, PART)
-    for c in PART.names:
-        out[c] = np.frombuffer(body, PART[c], n, at)
-        at += n * PART[c].itemsize
+def _unpack(bodies: list[pa.Scalar]) -> np.ndarray:
+    """The segments of all the bodies."""
+    buffers = [b.as_buffer() for b in bodies]
+    out, at = np.empty(sum(b.size for b in buffers) // PART.itemsize, PART), 0
+    for b in buffers:
+        n, offset = b.size // PART.itemsize, 0
+        for c in PART.names:
+            out[c][at:at + n] = np.frombuffer(b, PART[c], n, offset)
+            offset += n * PART[c].itemsize
+        at += n
     return out
 
 
@@ -183,18 +198,16 @@ FOUND = "kind int, mh bigint, doc bigint, start int, n int"
 
 def _meet(table: pa.Table) -> pa.Table:
     """Covers among equal segments, and segments whose minimizer has others in other documents."""
-    kinds, bodies = table.column("kind").to_pylist(), table.column("body").to_pylist()
-    covers = [_unpack(b) for k, b in zip(kinds, bodies) if k == COVER]
-    p, covered = covered_by_equal(np.concatenate([np.zeros(0, PART), *[
-        _unpack(b) for k, b in zip(kinds, bodies) if k == CANDIDATE]]))
-    covers.append(p[covered])
+    kinds, bodies = table.column("kind").to_pylist(), table.column("body")
+    covers = _unpack([b for k, b in zip(kinds, bodies) if k == COVER])
+    p, covered = covered_by_equal(_unpack([b for k, b in zip(kinds, bodies) if k == CANDIDATE]))
+    c = np.concatenate([covers, p[covered]])
     p = p[~covered]
     if len(p):
         at = np.nonzero(np.concatenate(([True], p["mh"][1:] != p["mh"][:-1])))[0]
         size = np.diff(np.append(at, len(p)))
         several = np.minimum.reduceat(p["doc"], at) != np.maximum.reduceat(p["doc"], at)
         p = p[np.repeat(several, size)]
-    c = np.concatenate(covers)
     both = np.concatenate([c, p])
     kind = np.repeat(np.array([COVER, CANDIDATE], np.int32), [len(c), len(p)])
     return pa.table({"kind": kind, "mh": both["mh"].astype(np.int64), "doc": both["doc"], "start": both["start"], "n": both["n"]})
@@ -322,8 +335,12 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text:
     Spans may overlap. ``doc`` is the id, ``LAST_ID`` for NULL.
     """
     spark = docs.sparkSession
-    slim = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST_ID)).alias("doc"), text_of(text).alias("text"))
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slim = small_batches(docs.select(
+        F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LAST_ID)).alias("doc"), text_of(text).alias("text")))
+    n_bytes = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # two in (width + 1) places begin a segment on average
+    segment_bytes = PART.itemsize * 2 * n_bytes // (window - gram + 2)
+    buckets = max(BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-segment_bytes // BUCKET_BYTES))
     parts = slim.mapInArrow(_parts(buckets, window, gram), "bucket int, kind int, body binary")
     found = staged(parts.groupBy("bucket").applyInArrow(_meet, FOUND), "repeat-segments")
     covers = found.filter(F.col("kind") == COVER).select("doc", "start", (F.col("n") + window - 1).alias("size"))

@@ -5,6 +5,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelens.llm import queries, repeats, suffixes
@@ -126,6 +127,32 @@ def test_a_passage_in_many_contexts_fills_no_shard(spark, documents, monkeypatch
     check(documents(texts).repartition(3), texts)
 
 
+def test_segments_leave_in_bounded_lots():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, 1 << 19, np.uint8).tobytes() for _ in range(20)]  # one batch
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20), pa.int64()), pa.array(texts, pa.binary())], ["doc", "text"])
+    got = [(k, b) for out in repeats._parts(8, 50, 24)(iter([batch])) for k, b in zip(out["kind"], out["body"])]
+    sizes = [len(b.as_buffer()) for k, b in got if k.as_py() == repeats.CANDIDATE]
+    assert sum(sizes) == repeats.PART.itemsize * len(repeats.segments(texts, np.arange(20)))
+    most = (repeats.LOT_SEGMENTS + repeats.BATCH_BYTES // 8) * repeats.PART.itemsize  # for all eight buckets
+    assert max(sizes) < most / 7
+
+
+def test_buckets_grow_with_the_bytes(spark, documents, monkeypatch):
+    meet = repeats._meet
+
+    def bounded(table):
+        assert sum(len(b.as_buffer()) for b in table["body"]) < 100_000, "a bucket grows with the input"
+        return meet(table)
+
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(repeats, "_meet", bounded)
+    rng = random.Random(14)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(40_000)) for _ in range(40)]
+    texts[7] = texts[3][:500] + texts[7]
+    check(documents(texts).repartition(3), texts)
+
+
 def test_null_repeated_and_no_documents(spark, documents):
     text = "0123456789" * 6
     rows = [(text, None, None, 5), (text, None, None, 5), (text, None, None, None), (text, None, None, None)]
