@@ -7,16 +7,15 @@ of each language by Jensen-Shannon distance (in bits, of the better language),
 with minimum-length guards: a text shorter than the guard has no verdict
 against it, and short texts get room for the noise of few words.
 
-The language references are fitted on a bounded sample of labelled rows
-(about ``SAMPLE_DOCS`` a language, drawn by the hash of the id): class totals,
-and the ``COMMON_WORDS`` most frequent words. They are the only thing that
-reaches the driver. Everything else happens in the document's own row; no row
-is shuffled.
+The language references are fitted on all labelled rows that pass the base
+rules: class totals, and the ``COMMON_WORDS`` most frequent words. They are the
+only thing that reaches the driver. The rows are staged with their measures,
+which are taken once, and scored from there; word counts are shuffled, no row is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, packed, staged, text_of
@@ -24,7 +23,7 @@ from .common import SPACE_CLASS, packed, staged, text_of
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 2000  # the SQL draws above this many a language; the operator reads every row
 COMMON_WORDS = 100
 GUARD_WORDS = 50  # fewer: no verdict on common words
 GUARD_CHARS = 200  # fewer: no verdict on character classes
@@ -40,7 +39,7 @@ def let(value: Column, body) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
 
 
 def _run_starts(s: Column) -> Column:
@@ -60,8 +59,8 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
             (a["n"] + F.least(F.lit(window), p - a["at"])).alias("n"), p.alias("at")), lambda a: a["n"])
 
     def windows(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)),
-                             lambda i: F.xxhash64(F.slice(w, i, window)))
+        hashes = let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(
+            F.sequence(F.lit(0), F.size(h) - window), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)])))
         return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("bigint"))
                    .otherwise(let(F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered)))
 
@@ -75,13 +74,13 @@ def duplicate_lines(text: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text", *more: Column) -> DataFrame:
-    """``row``, the base measures, and the text's class counts and lower-cased words."""
+    """``row``, the base measures, and the text's class counts."""
     whole = packed(docs, text_of(text).alias("t"), *more)
     cols = [c for c in whole.columns if c != "t"]
     split = whole.select(*cols, "t", words_of(F.col("t")).alias("w"),
                          F.regexp_replace("t", r"[\p{L}\x20\x09-\x0D]+", "").alias("rest"))
     out = split.select(
-        *cols, "w", F.size("w").cast("bigint").alias("n_words"),
+        *cols, F.size("w").cast("bigint").alias("n_words"),
         F.length(F.array_join("w", "")).cast("bigint").alias("word_chars"),
         F.length(F.regexp_replace("rest", r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
         duplicate_lines(F.col("t")).alias("n_dup_lines"), repeated_words(F.col("w")).alias("n_repeat_words"),
@@ -95,29 +94,30 @@ def measured(docs: DataFrame, text: str = "text", *more: Column) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return out.select(*cols, *base, failed.alias("base_failed"), "n_chars", counts.alias("classes"), "w")
-
-
-def references(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, common_words: int = COMMON_WORDS, text: str = "text",
-               lang: str = "lang", doc_id: str = "doc_id") -> list[tuple[list[float], dict[str, float]]]:
-    """Per language: shares of the character classes, and of the common words."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    rows = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    if not rows:
-        return []
-    share = F.create_map(*[F.lit(x) for k, n in rows.items() for x in (k, min(1.0, sample_docs / n))])
-    draw = F.conv(F.substring(F.md5(F.col(doc_id).cast("string")), 1, 8), 16, 10).cast("bigint") / float(1 << 32)
-    sample = measured(known.filter(draw < F.element_at(share, F.col(lang))), text, F.col(lang).alias("lang"))
-    sample = staged(sample.filter("NOT base_failed").select("lang", "classes", "w"), "quality-sample")
+    return out.select(*cols, *base, failed.alias("base_failed"), "n_chars", counts.alias("classes"))
+
+
+def lower_words(text: str) -> Column:
+    """Lower-cased words of the text column of ``row``."""
+    return words_of(F.lower(text_of(f"row.{text}")))
+
+
+def references(measures: DataFrame, common_words: int = COMMON_WORDS, text: str = "text",
+               lang: str = "lang") -> list[tuple[list[float], dict[str, float]]]:
+    """Per language: shares of the character classes, and of the common words.
+
+    ``measures``: rows of ``measured``; all that have a language and pass the base rules count.
+    """
+    known = measures.select("*", F.col(f"row.{lang}").alias("lang")).filter("lang IS NOT NULL AND NOT base_failed")
     sums = [F.sum(F.get("classes", F.lit(i))).alias(c) for i, c in enumerate(CLASSES)]
-    totals = sample.groupBy("lang").agg(*sums, F.sum(F.size("w")).alias("words")).collect()
-    counts = staged(sample.select("lang", F.explode("w").alias("word")).groupBy("lang", F.lower("word").alias("word"))
-                    .agg(F.count("*").alias("n")), "quality-words")
+    totals = known.groupBy("lang").agg(*sums, F.sum("n_words").alias("words")).collect()
+    counts = known.select("lang", F.explode(lower_words(text)).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # each partition sends its best only
+    top = counts.withColumn("k", place).filter(F.col("k") <= common_words).orderBy("lang", "k").collect()
     out = []
-    for r in sorted(totals, key=lambda r: r["lang"]):  # a distributed top-k each
+    for r in sorted(totals, key=lambda r: r["lang"]):
         chars = sum(r[c] for c in CLASSES)
-        top = counts.filter(F.col("lang") == r["lang"]).orderBy(F.desc("n"), "word").limit(common_words).collect()
-        out.append(([r[c] / chars for c in CLASSES], {t["word"]: t["n"] / r["words"] for t in top}))
+        out.append(([r[c] / chars for c in CLASSES], {t["word"]: t["n"] / r["words"] for t in top if t["lang"] == r["lang"]}))
     return out
 
 
@@ -151,19 +151,21 @@ def word_distance(runs: Column, n_words: Column, shares: dict[str, float]) -> Co
 
 
 def quality_rules(docs: DataFrame, refs: list[tuple[list[float], dict[str, float]]] | None = None, text: str = "text",
-                  lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+                  lang: str = "lang") -> DataFrame:
     """``row``, the base measures, ``base_failed``, the two distances and ``kept``.
 
     A NULL or empty text has no words and fails the base rules. A distance is
     NULL where its guard holds or there is no reference; NULL never rejects.
     ``lang`` is read for the references only. An empty table gives no rows.
     """
-    refs = references(docs, text=text, lang=lang, doc_id=doc_id) if refs is None else refs
     m = measured(docs, text)
-    base = [c for c in m.columns if c not in ("n_chars", "classes", "w")]
+    if refs is None:
+        m = staged(m, "quality-measures")
+        refs = references(m, text=text, lang=lang)
+    base = [c for c in m.columns if c not in ("n_chars", "classes")]
     if refs:
         known = sorted(set().union(*[r[1] for r in refs]))
-        common = F.array_sort(F.filter(F.transform("w", F.lower), lambda w: w.isin(known)))
+        common = F.array_sort(F.filter(lower_words(text), lambda w: w.isin(known)))
         runs = let(common, lambda s: let(_run_starts(s), lambda b: F.transform(b, lambda at, j: F.struct(
             F.get(s, at).alias("w"), (F.coalesce(F.get(b, j + 1), F.size(s)) - at).alias("n")))))
         empty = F.array().cast("array<struct<w:string,n:int>>")

@@ -1,5 +1,6 @@
 """Lines, mixing, language, secrets, quality: edge rows, and queries against brute force."""
 
+import collections
 import hashlib
 import random
 import time
@@ -224,6 +225,23 @@ def test_quality_base_against_brute_force(spark, documents):
     assert quality.quality_rules(documents([])).count() == 0
 
 
+def test_quality_references_count_every_row(spark, documents, monkeypatch):
+    seen = []
+    fit = quality.references
+    monkeypatch.setattr(quality, "references", lambda *a, **kw: seen.append(fit(*a, **kw)) or seen[-1])
+    rng = random.Random(8)
+    vocab = ["the", "The", "Οδός", *[f"w{i}" for i in range(40)]]
+    rows = [(" ".join(rng.choice(vocab) for _ in range(24)), "xx", None, i if i % 9 else None) for i in range(2600)]
+    odd = [("few words", "xx"), (None, "xx"), ("w1 " * 60, "xx"), ("no language " + rows[1][0], None)]
+    assert quality.quality_rules(documents(rows + odd).repartition(3)).count() == 2604
+    counts = collections.Counter(w.lower() for r in rows for w in r[0].split())
+    (shares, words), = seen[0]
+    assert words == {w: n / (24 * 2600) for w, n in counts.items()}
+    whole = "".join(r[0] for r in rows)
+    assert shares[0] == sum(c.isupper() for c in whole) / len(whole)
+    assert shares[4] == 23 * 2600 / len(whole)
+
+
 def test_quality_keeps_good_documents(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op9_quality_rules(spark, sf)
