@@ -10,9 +10,10 @@ minimizer travel as one segment, first as a hash only:
    before the shuffle, so a passage that is everywhere sends one row a lot.
    The segments meet in buckets, as many as the bytes of the texts ask for.
 2. Segments of one minimizer that differ, in different documents, are fetched
-   and sorted in shards bounded by segments and by bytes: a suffix array by induced
-   sorting, permuted common prefixes, and the smallest document of every run
-   of suffixes that share ``WINDOW`` bytes.
+   in shards bounded by segments and by bytes. What surrounds the minimizer in
+   them tells windows that can stand in one document only; the rest is sorted:
+   a suffix array by induced sorting, permuted common prefixes, and the smallest
+   document of every run of suffixes that share ``WINDOW`` bytes.
 3. A minimizer with more segments than a shard holds is cut into single
    windows. Equal ones (by their bytes) collapse to their smallest document,
    per batch and then before the shuffle, and that document is joined back to
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +39,18 @@ from .suffixes import common_prefixes, suffix_array
 WINDOW = 50
 GRAM = 24  # longer: more segments, fewer that share a minimizer by chance
 BATCH_BYTES = 1 << 20
+HASH_BLOCK = 1 << 15  # places hashed at once, they stay in the processor's cache
 LOT_SEGMENTS = 400_000  # combined at once before the shuffle, whatever the batches
 BUCKETS_PER_PARTITION = 4
 BUCKET_BYTES = 8 << 20  # of segments, on average
 SHARD_SEGMENTS = 12_000
 SHARD_BYTES = 1 << 19  # of segments, on average
 TASKS_PER_PARTITION = 10
+CONTEXTS = 4  # parts of the places a minimizer can have in a window
 LAST_ID = (1 << 63) - 1  # a document without an id comes after all others
 COVER, CANDIDATE = 0, 1
+ODD = np.uint64(0x9E3779B97F4A7C15)
+HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 PART = np.dtype([("mh", "<u8"), ("sh", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])
 
 
@@ -57,14 +62,16 @@ def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
         part = np.frombuffer(data, "<u8", (len(data) - o) // 8, o)
         words[o::8] = part[:len(words[o::8])]
     size = len(data) - gram + 1
-    h = np.zeros(size, np.uint64)
-    for o in [*range(0, gram - 8, 8), gram - 8]:  # eight bytes at a time, the last ones from the end
-        h += words[o:o + size]
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    return h
+    out = np.zeros(size, np.uint64)
+    for at in range(0, size, HASH_BLOCK):
+        h = out[at:at + HASH_BLOCK]
+        for o in [*range(0, gram - 8, 8), gram - 8]:  # eight bytes at a time, the last ones from the end
+            h += words[at + o:at + o + len(h)]
+            h *= ODD
+            h ^= h >> np.uint64(32)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return out
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -80,37 +87,67 @@ def segments(texts: list[bytes], docs: np.ndarray, window: int = WINDOW, gram: i
     data = b"".join(texts)
     if len(data) < window:
         return np.zeros(0, PART)
-    ends = np.cumsum([len(t) for t in texts])
-    least = sliding_min(gram_hashes(data, gram), window - gram + 1)
-    at = np.arange(len(least))
-    owner = np.searchsorted(ends, at, "right")
-    valid = at + window <= ends[owner]
-    new = np.ones(len(least), bool)
-    new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
-    bounds = np.append(np.nonzero(new | ~valid)[0], len(least))
-    first = bounds[:-1]
-    keep = valid[first]
-    first, n = first[keep], np.diff(bounds)[keep]
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    h = gram_hashes(data, gram)
+    least = sliding_min(h, window - gram + 1)
+    new = np.ones(len(least) + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:-1])
+    # a text's first window, and the first that runs over its end
+    for edge in (ends - sizes, np.maximum(ends - window + 1, ends - sizes)):
+        new[edge[edge < len(new)]] = True
+    bounds = np.nonzero(new)[0]
+    first, n = bounds[:-1], np.diff(bounds)
+    owner = np.searchsorted(ends, first, "right")
+    keep = first + window <= ends[owner]
+    first, n, owner = first[keep], n[keep], owner[keep]
     out = np.empty(len(first), PART)
-    digest, size = xxhash.xxh3_64_intdigest, window - 1
     out["mh"] = least[first]
-    out["sh"] = [digest(data[a:b]) for a, b in zip(first.tolist(), (first + n + size).tolist())]
-    out["doc"] = docs[owner[first]]
-    out["start"] = first - (ends - np.array([len(t) for t in texts]))[owner[first]]
+    out["sh"] = span_hashes(h, first, n + window - 1, gram)
+    out["doc"] = docs[owner]
+    out["start"] = first - (ends - sizes)[owner]
     out["n"] = n
     return out
 
 
+def span_hashes(h: np.ndarray, first: np.ndarray, size: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``size`` (at least ``gram``) bytes from each place, out of the hashes of their grams."""
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    count = size // gram  # side by side from the start, and one that ends with the span
+    at = np.cumsum(count) - count
+    k = np.arange(count.sum()) - np.repeat(at, count)
+    powers = np.multiply.accumulate(np.full(int(count.max()), ODD))
+    out = np.add.reduceat(h[np.repeat(first, count) + k * gram] * powers[k], at)
+    out += h[first + size - gram]
+    out ^= out >> np.uint64(32)
+    out += size.astype(np.uint64)
+    out *= ODD
+    return out
+
+
 def covered_by_equal(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorts the segments; which are not of the smallest document of those equal to them."""
-    p = p[np.lexsort((p["doc"], p["sh"], p["mh"]))]
+    """Sorts the segments, equal ones side by side; which are not of the smallest document of those equal to them."""
+    key = (p["mh"] * ODD & HIGH) | (p["sh"] & LOW)
+    by = np.argsort(key)
+    key, p = key[by], p[by]
     new = np.ones(len(p), bool)
     new[1:] = (p["sh"][1:] != p["sh"][:-1]) | (p["mh"][1:] != p["mh"][:-1])
+    if (new[1:] & (key[1:] == key[:-1])).any():  # one key, different segments: equal ones may be apart
+        p = p[np.lexsort((p["sh"], p["mh"], p["mh"] * ODD & HIGH))]
+        new[1:] = (p["sh"][1:] != p["sh"][:-1]) | (p["mh"][1:] != p["mh"][:-1])
     at = np.nonzero(new)[0]
-    first = np.repeat(p["doc"][at], np.diff(np.append(at, len(p))))
+    if not len(at):
+        return p, np.zeros(0, bool)
+    first = np.repeat(np.minimum.reduceat(p["doc"], at), np.diff(np.append(at, len(p))))
     return p, p["doc"] > first
 
 
+def bucket_of(mh: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of minimizers; they grow in the order of ``covered_by_equal``."""
+    return (mh * ODD >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+
+
 def joined(docs: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans (doc, start, size) that overlap or touch become one."""
     if not len(docs):
@@ -162,9 +199,7 @@ def _parts(buckets: int, window: int, gram: int):
         covers["doc"], covers["start"], covers["n"] = doc, start, size - window + 1
         yield _rows([hash(any_doc) % buckets], [COVER], [covers])
         p = p[~covered]
-        bucket = (p["mh"] >> np.uint64(32)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        p, bucket = p[order], bucket[order]
+        bucket = bucket_of(p["mh"], buckets)
         at = np.nonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))[0] if len(p) else []
         yield _rows([int(bucket[a]) for a in at], [CANDIDATE] * len(at),
                     [p[a:b] for a, b in zip(at, [*at[1:], len(p)])])
@@ -204,6 +239,7 @@ def _meet(table: pa.Table) -> pa.Table:
     c = np.concatenate([covers, p[covered]])
     p = p[~covered]
     if len(p):
+        p = p[np.argsort(p["mh"])]
         at = np.nonzero(np.concatenate(([True], p["mh"][1:] != p["mh"][:-1])))[0]
         size = np.diff(np.append(at, len(p)))
         several = np.minimum.reduceat(p["doc"], at) != np.maximum.reduceat(p["doc"], at)
@@ -213,20 +249,22 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"kind": kind, "mh": both["mh"].astype(np.int64), "doc": both["doc"], "start": both["start"], "n": both["n"]})
 
 
+def _listed(column: pa.ListArray, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The row of every struct in the column's lists, and the structs' fields."""
+    count = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), count), [flat.field(c).to_numpy(zero_copy_only=False) for c in names]
+
+
 def _fetch(window: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shard, doc, start, body = [], [], [], []
-            for i, text, wanted in zip(batch.column("doc").to_pylist(), utf8(batch.column("text")),
-                                       batch.column("wanted").to_pylist()):
-                for w in wanted:
-                    a, n = w["start"], w["n"]
-                    shard.append((w["mh"] * 0x9E3779B97F4A7C15 >> 20) % shards)
-                    doc.append(i)
-                    start.append(a)
-                    body.append(text[a:a + n + window - 1])
+            row, (mh, start, n) = _listed(batch.column("wanted"), ["mh", "start", "n"])
+            shard = (mh.astype(np.uint64) * ODD >> np.uint64(20)) % np.uint64(shards)
+            texts = utf8(batch.column("text"))
+            body = [texts[i][a:b] for i, a, b in zip(row.tolist(), start.tolist(), (start + n + window - 1).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()),
+                [pa.array(shard.astype(np.int64)), pa.array(batch.column("doc").to_numpy()[row]), pa.array(start, pa.int32()),
                  pa.array(body, pa.binary())], ["shard", "doc", "start", "body"])
 
     return run
@@ -276,8 +314,7 @@ def shard_covers(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], wind
     left[place] = (ends[owner] - np.arange(len(text)))
     run = np.cumsum(shared[sa] < window) - 1
     doc = np.where((row[sa] >= 0) & (left[sa] >= window), docs[row[sa]], LAST_ID)
-    least = np.full(run[-1] + 1, LAST_ID)
-    np.minimum.at(least, run, doc)
+    least = np.minimum.reduceat(doc, np.nonzero(shared[sa] < window)[0])
     hit = np.zeros(len(s) + 1, bool)
     hit[sa] = (left[sa] >= window) & (doc > least[run])
     edges = np.diff(np.concatenate(([0], hit.astype(np.int8))))
@@ -287,6 +324,63 @@ def shard_covers(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], wind
     return docs[owner], starts[owner] + a - first[owner], b - a + window - 1
 
 
+def narrowed(docs: np.ndarray, starts: np.ndarray, bodies: list[bytes], window: int = WINDOW,
+             gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The segments, without windows whose minimizer has other surroundings in all other documents.
+
+    A window's minimizer stands in one of ``CONTEXTS`` parts of its places, so
+    the window holds all bytes that the windows of that part have in common.
+    Windows of two documents can be equal only if those bytes are (by the
+    hashes of their grams). What stays of a segment is one piece.
+    """
+    sizes = np.array([len(b) for b in bodies])
+    if (sizes < window).any():  # other texts of the same id may be shorter
+        long = np.nonzero(sizes >= window)[0]
+        docs, starts, bodies, sizes = docs[long], starts[long], [bodies[i] for i in long.tolist()], sizes[long]
+    if not bodies:
+        return docs, starts, bodies
+    ends = np.cumsum(sizes)
+    first = ends - sizes
+    h = gram_hashes(b"".join(bodies), gram)
+    least = np.minimum.reduceat(h, np.column_stack((first, ends - gram + 1)).ravel()[:-1])[::2]
+    at = np.nonzero(h == np.repeat(least, sizes)[:len(h)])[0]
+    owner = np.searchsorted(ends, at, "right")
+    inside = at + gram <= ends[owner]
+    at, owner = at[inside], owner[inside]
+    low, high = ends.copy(), first - 1
+    places = np.linspace(0, window - gram + 1, CONTEXTS + 1).astype(int).tolist()
+    for lo, hi in zip(places, [p - 1 for p in places[1:]]):
+        right = window - gram - hi
+        whole = (at - lo >= first[owner]) & (at + gram + right <= ends[owner])
+        g, o = at[whole], owner[whole]
+        if not len(g):
+            continue
+        key = ((least[o] * ODD ^ h[g - lo]) * ODD ^ h[g + right]) * ODD
+        by = np.argsort(key)
+        g, o, key = g[by], o[by], key[by]
+        new = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+        several = np.minimum.reduceat(docs[o], new) != np.maximum.reduceat(docs[o], new)
+        several = np.repeat(several, np.diff(np.append(new, len(key))))
+        g, o = g[several], o[several]
+        np.minimum.at(low, o, np.maximum(g - hi, first[o]))
+        np.maximum.at(high, o, np.minimum(g - lo, ends[o] - window))
+    keep = np.nonzero(low <= high)[0]
+    a, b = (low - first)[keep], (high - first)[keep] + window
+    return docs[keep], starts[keep] + a, [bodies[i][x:y] for i, x, y in zip(keep.tolist(), a.tolist(), b.tolist())]
+
+
+def _narrow(window: int, gram: int, then):
+    """``then`` on what is left of a shard."""
+    def run(table: pa.Table) -> pa.Table:
+        docs, starts, bodies = narrowed(table.column("doc").to_numpy(), table.column("start").to_numpy(),
+                                        table.column("body").to_pylist(), window, gram)
+        if not bodies:
+            return pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("size", pa.int32())]).empty_table()
+        return then(pa.table({"doc": docs, "start": starts.astype(np.int32), "body": pa.array(bodies, pa.binary())}))
+
+    return run
+
+
 def _sort_shard(window: int):
     def run(table: pa.Table) -> pa.Table:
         doc, start, n = joined(*shard_covers(table.column("doc").to_numpy(), table.column("start").to_numpy(),
@@ -312,19 +406,25 @@ def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_bytes, spans, kept = [], [], []
-        for text, found in zip(utf8(batch.column("text")), batch.column("spans").to_pylist()):
-            gone = merged([(s["start"], s["start"] + s["size"]) for s in found or []], len(text))
-            at, rest = 0, []
-            for a, b in gone:
-                rest.append(text[at:a])
-                at = b
-            n_bytes.append(len(text))
-            spans.append([{"start": a, "end": b} for a, b in gone])
-            kept.append(b"".join(rest) + text[at:] if gone else text)
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        texts = utf8(batch.column("text"))
+        sizes = np.array([len(t) for t in texts], np.int64)
+        owner, (starts, lengths) = _listed(batch.column("spans"), ["start", "size"])
+        owner, starts, lengths = joined(owner, starts.astype(np.int64), lengths.astype(np.int64))
+        ends = np.minimum(starts + lengths, sizes[owner])
+        there = starts < ends
+        owner, starts, ends = owner[there], starts[there], ends[there]
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+        kept, cuts, at = [], list(zip(starts.tolist(), ends.tolist())), bounds.tolist()
+        for text, i, j in zip(texts, at, at[1:]):
+            done, rest = 0, []
+            for a, b in cuts[i:j]:
+                rest.append(text[done:a])
+                done = b
+            kept.append(b"".join(rest) + text[done:] if rest else text)
+        spans = pa.ListArray.from_arrays(
+            pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(starts), pa.array(ends)], ["start", "end"]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(n_bytes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())],
+            [batch.column("row"), pa.array(sizes), spans, pa.array(kept, pa.binary())],
             ["row", "n_bytes", "spans", "kept"])
 
 
@@ -355,7 +455,8 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text:
         _fetch(window, shards), "shard bigint, doc bigint, start int, body binary")
     # by number: AQE would join shards by their bytes, which tell little of the work in them
     tasks = min(shards, TASKS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_ = fetched.repartition(tasks, "shard").groupBy("shard").applyInArrow(_sort_shard(window), "doc bigint, start int, size int")
+    sorted_ = fetched.repartition(tasks, "shard").groupBy("shard").applyInArrow(
+        _narrow(window, gram, _sort_shard(window)), "doc bigint, start int, size int")
     covers = covers.unionAll(sorted_)
     if n["large"]:
         covers = covers.unionAll(_large_covers(_with_wanted(slim, asked.filter("large")), window))

@@ -90,21 +90,20 @@ class _Buckets:
         self.run_start = np.nonzero(new)[0][np.cumsum(new) - 1].astype(np.int32)
 
     def _runs(self) -> list[tuple[int, int]]:
-        to, out, c, size = self.large_to.tolist(), [], 0, len(self.starts)
+        # a run ends before the first bucket that any from its first one on induces to
+        reach = np.minimum.accumulate(self.large_to[::-1])[::-1].tolist()
+        out, c, size = [], 0, len(self.starts)
         while c < size:
-            end, reach = c + 1, to[c]
-            while reach > c and end < size and min(reach, to[end]) > end:
-                reach, end = min(reach, to[end]), end + 1
+            end = max(c + 1, reach[c])
             out.append((c, end))
             c = end
         return out
 
     def _runs_down(self) -> list[tuple[int, int]]:
-        to, out, c = self.small_to.tolist(), [], len(self.starts) - 1
+        reach = np.maximum.accumulate(self.small_to).tolist()
+        out, c = [], len(self.starts) - 1
         while c >= 0:
-            end, reach = c - 1, to[c]
-            while reach < c and end >= 0 and max(reach, to[end]) < end:
-                reach, end = max(reach, to[end]), end - 1
+            end = min(c - 1, reach[c])
             out.append((end + 1, c + 1))
             c = end
         return out
@@ -195,24 +194,28 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each position, how much its suffix shares
     with the one before it in ``sa``, up to ``most`` (0 for the first).
 
-    Four characters (below 2 ** 16) are compared at a time. The last one, 0,
-    occurs once, so no comparison runs past the end.
+    Eight characters (below 2 ** 8), else four (below 2 ** 16) are compared at a
+    time. The last one, 0, occurs once, so no comparison runs past the end.
     """
     n = len(s)
-    padded = np.zeros(n + most + 4, np.uint16)
+    lanes = 8 if s.max() < 1 << 8 else 4
+    bits = 64 // lanes
+    padded = np.zeros(n + most + 2 * lanes, f"<u{bits // 8}")
     padded[:n] = s
-    four = np.zeros(n + most, np.uint64)
-    for lane in range(4):
-        four |= padded[lane:lane + len(four)].astype(np.uint64) << np.uint64(16 * lane)
+    data = padded.tobytes()
+    many = np.empty(n + most, np.uint64)
+    for lane in range(lanes):
+        at = many[lane::lanes]
+        at[:] = np.frombuffer(data, "<u8", len(at), lane * bits // 8)
     out = np.zeros(n, np.int64)
     live, other = sa[1:].astype(np.int64), sa[:-1].astype(np.int64)
-    for d in range(0, most, 4):
-        differ = four[live + d] ^ four[other + d]
+    for d in range(0, most, lanes):
+        differ = many[live + d] ^ many[other + d]
         same = differ == 0
         stop = differ[~same]
         stop &= ~stop + np.uint64(1)  # the lowest bit that differs tells the lane
-        lanes = sum((stop >> np.uint64(16 * k) > 0).astype(np.int64) for k in (1, 2, 3))
-        out[live[~same]] = np.minimum(d + lanes, most)
+        shared = sum((stop >> np.uint64(bits * k) > 0).astype(np.int64) for k in range(1, lanes))
+        out[live[~same]] = np.minimum(d + shared, most)
         live, other = live[same], other[same]
         if not len(live):
             break

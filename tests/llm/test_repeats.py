@@ -127,6 +127,80 @@ def test_a_passage_in_many_contexts_fills_no_shard(spark, documents, monkeypatch
     check(documents(texts).repartition(3), texts)
 
 
+def test_equal_segments_whatever_their_order():
+    rng = np.random.default_rng(8)
+    for low in (1 << 63, 3):  # 3: many keys are shared by segments that differ
+        p = np.zeros(600, repeats.PART)
+        p["mh"] = rng.integers(0, 12, 600)
+        p["sh"] = rng.integers(0, 3, 600).astype(np.uint64) << np.uint64(40) | rng.integers(0, low, 600).astype(np.uint64) % np.uint64(5)
+        p["doc"], p["start"] = rng.integers(0, 9, 600), np.arange(600)
+        least = {}
+        for r in p:
+            k = int(r["mh"]), int(r["sh"])
+            least[k] = min(least.get(k, 99), int(r["doc"]))
+        want = sorted(int(r["start"]) for r in p if r["doc"] > least[int(r["mh"]), int(r["sh"])])
+        q, covered = repeats.covered_by_equal(p)
+        assert sorted(q["start"].tolist()) == list(range(600))
+        assert sorted(q["start"][covered].tolist()) == want
+        assert (np.diff(repeats.bucket_of(q["mh"], 7).astype(int)) >= 0).all()
+
+
+def test_segment_hashes_tell_bytes_and_length():
+    rng = random.Random(15)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 130))) for _ in range(60)]
+    texts += [t[:i] + b"#" + t[i + 1:] for t in texts[:20] for i in range(len(t))] + [b"z" * n for n in range(50, 130)] + texts
+    data = b"".join(texts)
+    size = np.array([len(t) for t in texts])
+    got = repeats.span_hashes(repeats.gram_hashes(data), np.cumsum(size) - size, size, repeats.GRAM)
+    assert len(set(got.tolist())) == len(set(texts)) == len(set(zip(got.tolist(), texts)))
+
+
+def test_narrowed_segments_keep_every_shared_window():
+    rng = random.Random(16)
+    some = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    shared = dropped = 0
+    for _ in range(200):
+        phrase, left, right = some(rng.randint(24, 50)), [some(40) for _ in range(3)], [some(40) for _ in range(3)]
+        texts = [rng.choice(left)[rng.randint(0, 40):] + phrase + rng.choice(right)[:rng.randint(0, 40)] for _ in range(6)]
+        texts += [b"xyz" * rng.randint(17, 30), b"z" + b"xyz" * 20]  # the minimizer stands in them more than once
+        docs = np.array([0, 0, 1, 2, 3, 4, 5, 6])
+        p = repeats.segments(texts, np.arange(len(texts)))
+        bodies = [texts[r["doc"]][r["start"]:r["start"] + r["n"] + 49] for r in p]
+        own = docs[p["doc"]]
+        d, s, kept = repeats.narrowed(own, p["start"], bodies)
+        windows = lambda d, s, b: [(i, a + k, t[k:k + 50]) for i, a, t in zip(d.tolist(), s.tolist(), b) for k in range(len(t) - 49)]
+        before, after = windows(own, p["start"], bodies), windows(d, s, kept)
+        where = {}
+        for i, _, w in before:
+            where.setdefault(w, set()).add(i)
+        need = {x for x in before if len(where[x[2]]) > 1}
+        assert need <= set(after) <= set(before)
+        shared, dropped = shared + len(need), dropped + len(before) - len(after)
+    assert shared > 1000 and dropped > 1000
+
+
+def test_a_common_phrase_alone_is_not_sorted(spark, documents, monkeypatch):
+    sort = repeats._sort_shard
+
+    def bounded(window):
+        inner = sort(window)
+
+        def run(table):
+            assert sum(len(b) for b in table["body"].to_pylist()) < 1500, "segments that share a phrase only are sorted"
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(repeats, "_sort_shard", bounded)
+    rng = random.Random(17)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, passage = some(36), some(70)
+    texts = [some(80) + phrase + some(80) for _ in range(300)]
+    for i in (3, 90, 200):
+        texts[i] = some(10) + passage + some(10)
+    check(documents(texts).repartition(3), texts)
+
+
 def test_segments_leave_in_bounded_lots():
     rng = np.random.default_rng(4)
     texts = [rng.integers(97, 123, 1 << 19, np.uint8).tobytes() for _ in range(20)]  # one batch
@@ -162,6 +236,24 @@ def test_null_repeated_and_no_documents(spark, documents):
     assert [bytes(r.kept) for r in repeats.suffix_dedup(documents([None, ""])).collect()] == [b"", b""]
 
 
+def test_different_texts_of_one_id(spark, documents):
+    rng = random.Random(18)
+    texts = made_up(rng, 90) + ["", None, "ab", "x" * 20]
+    ids = [rng.choice([None, *range(25)]) for _ in texts]
+    rows = [((t or "").encode(), len(ids) if i is None else i) for t, i in zip(texts, ids)]
+    first, gone = {}, {}
+    for t, i in rows:
+        for a in range(len(t) - 49):
+            first[t[a:a + 50]] = min(first.get(t[a:a + 50], i), i)
+    for t, i in rows:
+        for a in range(len(t) - 49):
+            if first[t[a:a + 50]] < i:
+                gone.setdefault(i, set()).update(range(a, a + 50))
+    want = sorted((i, bytes(c for a, c in enumerate(t) if a not in gone.get(i, ()))) for t, i in rows)
+    got = repeats.suffix_dedup(documents([(t, None, None, i) for t, i in zip(texts, ids)]).repartition(4)).collect()
+    assert sorted((len(ids) if r.row.doc_id is None else r.row.doc_id, bytes(r.kept)) for r in got) == want
+
+
 def test_query_on_the_whole_table(spark, sf_dir):
     docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     want = brute.suffix_dedup(docs)
